@@ -137,7 +137,7 @@ query("seq_master", SEQ, lambda s: s.seq, "seq")
 query(
     "event_id", "event_id master_seq target_concept_id",
     lambda s: vocab.map_codes(
-        s.k30, vocab.target_rank(vocab.mapping_for(*s.vocabulary, "drug")), F.col("div_cd")
+        s.k30, vocab.used(s.code_map, vocab.DRUG), F.col("div_cd")
     ).withColumn("event_id", codes.event_id(F.col("master_seq"), F.col("rn"))),
     "select f.master_seq * 10 + row_number() over (partition by f.key_seq, f.seq_no "
     "order by m.target_concept_id) as event_id, f.master_seq, m.target_concept_id "
@@ -186,13 +186,13 @@ query(
 
 # --- vocabulary and codes -----------------------------------------------------------------
 
-query("build_source_map", SOURCE_MAP, lambda s: s.source_map, "smap")
+query("build_source_map", SOURCE_MAP, lambda s: s.fresh("source_map"), "smap")
 for _domain in ("drug", "procedure", "device", "condition"):
     query(
         f"mapping_for_{_domain}", MAP,
-        lambda s, d=_domain: vocab.mapping_for(*s.vocabulary, d), f"m_{_domain}",
+        lambda s, d=_domain: vocab.mapping_for(s.source_map, s.concept, d), f"m_{_domain}",
     )
-query("mapping_all", MAP, lambda s: vocab.mapping_all(*s.vocabulary), "m_all")
+query("mapping_all", MAP, lambda s: vocab.mapping_all(s.source_map, s.concept), "m_all")
 for _own, _other in (("procedure", "device"), ("device", "procedure")):
     query(
         f"ambiguous_codes_{_own}", MAP,
@@ -200,25 +200,29 @@ for _own, _other in (("procedure", "device"), ("device", "procedure")):
     )
     query(
         f"exclusive_mapping_{_own}", MAP,
-        lambda s, a=_own, b=_other: vocab.exclusive_mapping(*s.vocabulary, a, b), f"x_{_own}",
+        lambda s, a=_own, b=_other: vocab.exclusive_mapping(s.source_map, s.concept, a, b), f"x_{_own}",
     )
+query(
+    "code_map", "use:string source_code:string target_concept_id rn",
+    lambda s: s.fresh("code_map"), "code_map",
+)
 query(
     "map_codes", "key_seq seq_no div_cd:string target_concept_id",
-    lambda s: vocab.map_codes(s.t30, vocab.mapping_for(*s.vocabulary, "drug"), F.col("div_cd")),
+    lambda s: vocab.map_codes(s.t30, vocab.used(s.code_map, vocab.DRUG), F.col("div_cd")),
     "select key_seq, seq_no, div_cd, target_concept_id from {t30} "
     "join {m_drug} on div_cd = source_code",
 )
 query(
     "map_codes_prefix", "key_seq seq_no div_cd:string target_concept_id",
     lambda s: vocab.map_codes_prefix(
-        s.t30, vocab.exclusive_mapping(*s.vocabulary, "procedure", "device"), F.col("div_cd")
+        s.t30, vocab.used(s.code_map, vocab.PROCEDURE_ONLY), F.col("div_cd")
     ),
     "select key_seq, seq_no, div_cd, target_concept_id from {t30} "
     "join {x_procedure} on left(div_cd, 5) = source_code",
 )
 query(
     "unmapped_codes", "key_seq seq_no sick_sym:string",
-    lambda s: vocab.unmapped_codes(s.t40, vocab.mapping_all(*s.vocabulary), F.col("sick_sym")),
+    lambda s: vocab.unmapped_codes(s.t40, vocab.mapping_all(s.source_map, s.concept), F.col("sick_sym")),
     "select key_seq, seq_no, sick_sym from {t40} "
     "where sick_sym not in (select source_code from {m_all})",
 )
@@ -297,12 +301,12 @@ query(
     "location",
     "location_id address_1:string address_2:string city:string state:string zip:string "
     "county:string location_source_value:string",
-    lambda s: visits.location(s.regions),
+    lambda s: s.fresh("location"),
     "select cast(code as integer) as location_id, province as address_1, "
     "code || ' ' || district as address_2, province as city, null as state, null as zip, "
     "'KOREA' as county, code as location_source_value from {regions}",
 )
-query("care_site", CARE_SITE, lambda s: visits.care_site(s.yk), "care_site")
+query("care_site", CARE_SITE, lambda s: s.fresh("care_site"), "care_site")
 query(
     "person_latest", "person_id sex sgg:string", lambda s: person.person_latest(s.jk), "latest"
 )
@@ -313,9 +317,9 @@ query(
 query(
     "birth_year", "person_id rule:string year_of_birth", lambda s: person.birth_year(s.jk), "births"
 )
-query("person", PERSON, lambda s: s.person, "person")
-query("death", DEATH, lambda s: s.death, "death")
-query("observation_period", PERIOD, lambda s: s.period, "period")
+query("person", PERSON, lambda s: s.fresh("person"), "person")
+query("death", DEATH, lambda s: s.fresh("death"), "death")
+query("observation_period", PERIOD, lambda s: s.fresh("period"), "period")
 query(
     "visit_occurrence_claims", VISIT, lambda s: visits.visit_occurrence_claims(s.t20),
     "visit_claims",
@@ -324,23 +328,23 @@ query(
     "visit_occurrence_screening", VISIT,
     lambda s: visits.visit_occurrence_screening(s.gj, s.seq), "visit_screening",
 )
-query("visit_occurrence", VISIT, lambda s: s.visit, "visit")
+query("visit_occurrence", VISIT, lambda s: s.fresh("visit"), "visit")
 
 # --- events -------------------------------------------------------------------------------
 
 for _kind in ("mapped", "unmapped"):
     query(
         f"condition_occurrence_{_kind}", CONDITION,
-        lambda s, k=_kind: events.condition_occurrence(s.k40, s.period, *s.vocabulary, (k,)),
+        lambda s, k=_kind: events.condition_occurrence(s.k40, s.period, s.code_map, (k,)),
         f"condition_{_kind}",
     )
-query("condition_occurrence", CONDITION, lambda s: s.condition, "condition")
+query("condition_occurrence", CONDITION, lambda s: s.fresh("condition"), "condition")
 for _source, _prescription in (("30", False), ("60", True)):
     for _kind in ("mapped", "unmapped"):
         query(
             f"drug_exposure_{_source}t_{_kind}", DRUG,
             lambda s, f=f"k{_source}", p=_prescription, k=_kind: events.drug_lines(
-                getattr(s, f), *s.vocabulary, p, (k,)
+                getattr(s, f), s.code_map, p, (k,)
             ),
             f"drug_{_source}_{_kind}",
         )
@@ -348,28 +352,28 @@ for _source, _prescription in (("30", False), ("60", True)):
         query(
             f"procedure_{_source}t_{_kind}", PROCEDURE,
             lambda s, f=f"k{_source}", p=_prescription, k=_kind: events.procedure_lines(
-                getattr(s, f), *s.vocabulary, p, (k,)
+                getattr(s, f), s.code_map, p, (k,)
             ),
             f"procedure_{_source}_{_kind}",
         )
         query(
             f"device_{_source}t_{_kind}", DEVICE,
             lambda s, f=f"k{_source}", p=_prescription, k=_kind: events.device_lines(
-                getattr(s, f), *s.vocabulary, p, (k,)
+                getattr(s, f), s.code_map, p, (k,)
             ),
             f"device_{_source}_{_kind}",
         )
 
 
 def _raw_drug(s: Stages) -> DataFrame:
-    return events.drug_lines(s.k30, *s.vocabulary, False).unionByName(
-        events.drug_lines(s.k60, *s.vocabulary, True)
+    return events.drug_lines(s.k30, s.code_map, False).unionByName(
+        events.drug_lines(s.k60, s.code_map, True)
     )
 
 
 def _raw_procedure(s: Stages) -> DataFrame:
-    return events.procedure_lines(s.k30, *s.vocabulary, False).unionByName(
-        events.procedure_lines(s.k60, *s.vocabulary, True)
+    return events.procedure_lines(s.k30, s.code_map, False).unionByName(
+        events.procedure_lines(s.k60, s.code_map, True)
     )
 
 
@@ -381,13 +385,13 @@ query(
     "drug_end_clipped_to_death", DRUG,
     lambda s: events.drug_end_clipped_to_death(_raw_drug(s), s.death), "drug_clipped",
 )
-query("drug_exposure", DRUG, lambda s: s.drug, "drug")
+query("drug_exposure", DRUG, lambda s: s.fresh("drug"), "drug")
 query(
     "procedure_dedup", PROCEDURE,
     lambda s: events.procedure_dedup(_raw_procedure(s), s.drug), "procedure",
 )
-query("procedure_occurrence", PROCEDURE, lambda s: s.procedure, "procedure")
-query("device_exposure", DEVICE, lambda s: s.device, "device")
+query("procedure_occurrence", PROCEDURE, lambda s: s.fresh("procedure"), "procedure")
+query("device_exposure", DEVICE, lambda s: s.fresh("device"), "device")
 
 # --- screenings ---------------------------------------------------------------------------
 
@@ -424,7 +428,7 @@ query(
     "observation_income", OBSERVATION,
     lambda s: screening.observation_income(s.jk, s.seq, s.observation_map), "observation_income",
 )
-query("observation", OBSERVATION, lambda s: s.observation, "observation")
+query("observation", OBSERVATION, lambda s: s.fresh("observation"), "observation")
 query(
     "measurement_continuous", MEASUREMENT,
     lambda s: screening.measurement_continuous(s.gj, s.seq, s.measurement_map),
@@ -435,7 +439,7 @@ query(
     lambda s: screening.measurement_categorical(s.gj, s.seq, s.measurement_map),
     "measurement_categorical",
 )
-query("measurement", MEASUREMENT, lambda s: s.measurement, "measurement")
+query("measurement", MEASUREMENT, lambda s: s.fresh("measurement"), "measurement")
 query(
     "measurement_fill_value", MEASUREMENT,
     lambda s: screening.measurement_fill_value(s.measurement),
@@ -446,7 +450,7 @@ query(
 
 # --- money --------------------------------------------------------------------------------
 
-query("payer_plan_period", PAYER, lambda s: s.payer, "payer")
+query("payer_plan_period", PAYER, lambda s: s.fresh("payer"), "payer")
 query("cost_visit", COST, lambda s: money.cost_visit(s.visit, s.t20), "cost_visit")
 for _source, _tag in (("30", keys.TREATMENT), ("60", keys.PRESCRIPTION)):
     query(
@@ -467,11 +471,17 @@ for _source, _tag in (("30", keys.TREATMENT), ("60", keys.PRESCRIPTION)):
     query(
         f"cost_device_{_source}t", COST,
         lambda s, f=f"k{_source}", t=_tag: money.cost_device(
-            s.device, getattr(s, f), t, *s.vocabulary
+            s.device, getattr(s, f), t, s.code_map
         ),
         f"cost_device_{_source}t",
     )
-query("cost", COST, lambda s: s.cost, "cost")
+query(
+    "cost", COST,
+    lambda s: money.cost(
+        s.visit, s.drug, s.procedure, s.device, s.t20, s.k30, s.k60, s.code_map
+    ),
+    "cost",
+)
 
 # --- eras ---------------------------------------------------------------------------------
 
@@ -484,7 +494,9 @@ query(
         "drug_era_id",
     ),
 )
-query("condition_era", CONDITION_ERA, lambda s: s.condition_era, "condition_era")
+query(
+    "condition_era", CONDITION_ERA, lambda s: eras.condition_era_spans(s.condition), "condition_era"
+)
 query(
     "dose_era", "dose_era_id " + DOSE_ERA,
     lambda s: eras.dose_era(s.drug, s.ancestor, s.concept),
@@ -535,19 +547,19 @@ for _source in ("30", "60"):
     _keyed, _lines = f"k{_source}", f"t{_source}"
     query(
         f"dq_drug_mapped_{_source}t", "multimapped count",
-        lambda s, k=_keyed: quality.dq_drug_mapped(getattr(s, k), *s.vocabulary),
+        lambda s, k=_keyed: quality.dq_drug_mapped(quality.code_counts(getattr(s, k)), s.code_map),
         "select n as multimapped, count(*) as count from (select master_seq, count(*) as n "
         f"from {{f{_source}}} join {{m_drug}} on div_cd = source_code group by 1) x group by 1",
     )
     query(
         f"dq_drug_unmapped_{_source}t", "count",
-        lambda s, k=_keyed: quality.dq_drug_unmapped(getattr(s, k), *s.vocabulary),
+        lambda s, k=_keyed: quality.dq_drug_unmapped(quality.code_counts(getattr(s, k)), s.code_map),
         f"select count(*) as count from {{f{_source}}} where div_type_cd in ('3', '4', '5') "
         "and div_cd not in (select source_code from {m_drug})",
     )
     query(
         f"dq_drug_raw_{_source}t", "div_type_cd:string multimapped count",
-        lambda s, k=_lines: quality.dq_drug_raw(getattr(s, k), *s.vocabulary),
+        lambda s, k=_lines: quality.dq_drug_raw(quality.code_counts(getattr(s, k)), s.code_map),
         "select div_type_cd, n as multimapped, count(*) as count from (select key_seq, seq_no, "
         f"div_type_cd, count(*) as n from {{t{_source}}} join {{m_drug}} on div_cd = source_code "
         "where div_type_cd not in ('3', '4', '5') group by 1, 2, 3) x group by 1, 2 "
@@ -559,7 +571,7 @@ for _source in ("30", "60"):
             query(
                 f"dq_{_table}_{_kind}_{_source}t", "count",
                 lambda s, f=getattr(quality, f"dq_{_table}_{_kind}"), k=_keyed: f(
-                    getattr(s, k), *s.vocabulary
+                    quality.code_counts(getattr(s, k)), s.code_map
                 ),
                 f"select count(*) as count from {{{_table}_{_source}_{_kind}}}",
             )
@@ -570,7 +582,7 @@ for _source in ("30", "60"):
     )
     query(
         f"dq_procedure_raw_{_source}t", "div_type_cd:string multimapped count",
-        lambda s, k=_lines: quality.dq_procedure_raw(getattr(s, k), *s.vocabulary),
+        lambda s, k=_lines: quality.dq_procedure_raw(quality.code_counts(getattr(s, k)), s.code_map),
         _histogram.format("x_procedure", "left(div_cd, 5)", "not in ('3', '4', '5', '7', '8')")
         + " union all "
         + _histogram.format("dup_procedure", "left(div_cd, 5)", "in ('1', '2')")
@@ -580,7 +592,7 @@ for _source in ("30", "60"):
     )
     query(
         f"dq_device_raw_{_source}t", "div_type_cd:string multimapped count",
-        lambda s, k=_lines: quality.dq_device_raw(getattr(s, k), *s.vocabulary),
+        lambda s, k=_lines: quality.dq_device_raw(quality.code_counts(getattr(s, k)), s.code_map),
         _histogram.format(
             "x_device", "div_cd", "not in ('1', '2', '3', '4', '5', '7', '8')"
         )
@@ -591,8 +603,8 @@ for _source in ("30", "60"):
         query(
             f"dq_expected_rows_{_domain}_{_source}t",
             "expected_rows expected_lines extra_rows multi_mapped_lines",
-            lambda s, k=_lines, d=_domain: quality.dq_expected_rows(
-                getattr(s, k), s.t20, s.source_map, d
+            lambda s, k=_keyed, d=_domain: quality.dq_expected_rows(
+                quality.code_counts(getattr(s, k)), s.source_map, d
             ),
             "select (select count(*) from {t%s} a, {smap} b, {t20} c where a.div_cd = b.source_code "
             "and b.domain_id = '%s' and b.invalid_reason is null and a.key_seq = c.key_seq) "
@@ -625,7 +637,7 @@ for _name, _source, _field, _above in (
         _name,
         f"key_seq seq_no div_cd:string {_field}:string target_concept_id concept_name:string",
         lambda s, k=f"t{_source}", c=_field, a=_above: quality.dq_dose_outliers(
-            getattr(s, k), *s.vocabulary, c, a
+            getattr(s, k), s.source_map, s.concept, c, a
         ),
         f"select a.key_seq, a.seq_no, a.div_cd, a.{_field}, m.target_concept_id, c.concept_name "
         f"from {{t{_source}}} a join {{smap}} m on a.div_cd = m.source_code "
@@ -634,18 +646,18 @@ for _name, _source, _field, _above in (
     )
 query(
     "dq_condition_mapped", "count",
-    lambda s: quality.dq_condition_mapped(s.k40, *s.vocabulary),
+    lambda s: quality.dq_condition_mapped(quality.code_counts(s.k40, "sick_sym"), s.code_map),
     "select count(*) as count from {f40} join {m_condition} on sick_sym = source_code",
 )
 query(
     "dq_condition_unmapped", "count",
-    lambda s: quality.dq_condition_unmapped(s.k40, *s.vocabulary),
+    lambda s: quality.dq_condition_unmapped(quality.code_counts(s.k40, "sick_sym"), s.code_map),
     "select count(*) as count from {f40} "
     "where sick_sym not in (select source_code from {m_all})",
 )
 query(
     "dq_condition_raw", "domain_id:string multimapped count",
-    lambda s: quality.dq_condition_raw(s.t40, *s.vocabulary),
+    lambda s: quality.dq_condition_raw(quality.code_counts(s.t40, "sick_sym"), s.code_map),
     "select 'condition' as domain_id, n as multimapped, count(*) as count from (select key_seq, "
     "seq_no, count(*) as n from {t40} join {m_condition} on sick_sym = source_code group by 1, 2) x "
     "group by 2 union all select 'Unclassified', 1, count(*) from {t40} "
@@ -731,7 +743,7 @@ def _dq_sql(domain: str, item: str, name: str) -> str:
 query(
     "dq_report", "domain:string item:string div_type:string multimapped count",
     lambda s: dq.run_dq(
-        s.t30, s.t40, s.t60, s.gj, s.k30, s.k40, s.k60, *s.vocabulary, s.measurement_map
+        s.t30, s.t40, s.t60, s.gj, s.k30, s.k40, s.k60, s.code_map, s.measurement_map
     ),
     " union all ".join(_dq_sql(*part) for part in _DQ_PARTS),
 )
@@ -756,7 +768,7 @@ _CHECKED = {
 
 def _tables(s: Stages) -> dict[str, DataFrame]:
     out = {table: getattr(s, stage) for table, (stage, _) in _CHECKED.items()}
-    return out | {"care_site": visits.care_site(s.yk), "location": visits.location(s.regions)}
+    return out | {"care_site": s.care_site, "location": s.location}
 
 
 _RELATIONS = {table: relation for table, (_, relation) in _CHECKED.items()} | {

@@ -310,7 +310,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
             *(table(spark, folder, part) for part in ("k30", "k40", "k60", "seq_gj", "seq_jk"))
         )
     elif name in ("concept", "relationship"):
-        df = normalise_vocabulary(table(spark, folder, f"raw_{name}"))
+        df = store(normalise_vocabulary(table(spark, folder, f"raw_{name}")), name)
     else:
         sql = RULES[name]
         inputs = {ref: table(spark, folder, ref) for ref in references(sql)}

@@ -1,36 +1,66 @@
-"""Lazily built conversion stages over the bound raw tables, shared by the queries."""
+"""Stage outputs over the bound raw tables, as the conversion leaves them for later stages.
+
+Stages share state through stored tables only. A query therefore builds its own result
+from the stored outputs of earlier stages, and never reads a stored copy of that result.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import eras, events, money, person, screening, visits, vocab
+from ..operators import events, money, person, screening, visits, vocab
 from ..sources import seeds
+from ..work import store
 from . import raw
 
+# stage -> how it is built from the stages before it
+BUILD: dict[str, Callable[[Stages], DataFrame]] = {
+    "source_map": lambda s: vocab.build_source_map(s.concept, s.relationship),
+    "code_map": lambda s: vocab.code_map(s.source_map, s.concept),
+    "person": lambda s: person.person(s.jk),
+    "death": lambda s: person.death(s.jk, s.code_map, s.death_map),
+    "period": lambda s: person.observation_period(s.jk, s.person, s.death),
+    "visit": lambda s: visits.visit_occurrence(s.t20, s.gj, s.seq),
+    "condition": lambda s: events.condition_occurrence(s.k40, s.period, s.code_map),
+    "drug": lambda s: events.drug_exposure(s.k30, s.k60, s.death, s.code_map),
+    "procedure": lambda s: events.procedure_occurrence(s.k30, s.k60, s.drug, s.code_map),
+    "device": lambda s: events.device_exposure(s.k30, s.k60, s.code_map),
+    "observation": lambda s: screening.observation(
+        s.gj, s.jk, s.seq, s.observation_map, s.observation_map_2009
+    ),
+    "measurement": lambda s: screening.measurement(s.gj, s.seq, s.measurement_map),
+    "payer": lambda s: money.payer_plan_period(s.jk, s.death),
+    "care_site": lambda s: visits.care_site(s.yk),
+    "location": lambda s: visits.location(s.regions),
+}
+PARTITIONED = {"code_map": ("use",)}
+
+_stored: dict[tuple[str, str, str], DataFrame] = {}
 
-class Stages:
-    """Every property is a lazy plan over stored raw tables; nothing derived is cached."""
 
+class Stages:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        known = name in raw.RULES or name in raw.KEYED or name in raw.YEARLY
-        if known or name == "seq" or name in raw.DRIVER_TABLES:
-            return raw.table(self.spark, self.folder, name)
-        raise AttributeError(name)
-
-    @cached_property
-    def source_map(self) -> DataFrame:
-        return vocab.build_source_map(self.concept, self.relationship)
-
-    @property
-    def vocabulary(self) -> tuple[DataFrame, DataFrame]:
-        return self.source_map, self.concept
+        if name in BUILD:
+            key = (self.spark.sparkContext.applicationId, self.folder, name)
+            if key not in _stored:
+                _stored[key] = store(
+                    BUILD[name](self), f"stage-{name}", PARTITIONED.get(name, ())
+                )
+            return _stored[key]
+        if name.startswith("_"):
+            raise AttributeError(name)
+        return raw.table(self.spark, self.folder, name)
+
+    def fresh(self, name: str) -> DataFrame:
+        """The plan of a stage over its stored inputs."""
+        return BUILD[name](self)
 
     @cached_property
     def death_map(self) -> DataFrame:
@@ -48,67 +78,6 @@ class Stages:
     def observation_map_2009(self) -> DataFrame:
         return seeds.seed_observation_map_2009(self.spark)
 
-    @cached_property
-    def person(self) -> DataFrame:
-        return person.person(self.jk)
-
-    @cached_property
-    def death(self) -> DataFrame:
-        return person.death(self.jk, *self.vocabulary, self.death_map)
-
-    @cached_property
-    def period(self) -> DataFrame:
-        return person.observation_period(self.jk, self.person, self.death)
-
-    @cached_property
-    def visit(self) -> DataFrame:
-        return visits.visit_occurrence(self.t20, self.gj, self.seq)
-
-    @cached_property
-    def condition(self) -> DataFrame:
-        return events.condition_occurrence(self.k40, self.period, *self.vocabulary)
-
-    @cached_property
-    def drug(self) -> DataFrame:
-        return events.drug_exposure(self.k30, self.k60, self.death, *self.vocabulary)
-
-    @cached_property
-    def procedure(self) -> DataFrame:
-        return events.procedure_occurrence(self.k30, self.k60, self.drug, *self.vocabulary)
-
-    @cached_property
-    def device(self) -> DataFrame:
-        return events.device_exposure(self.k30, self.k60, *self.vocabulary)
-
-    @cached_property
-    def observation(self) -> DataFrame:
-        return screening.observation(
-            self.gj, self.jk, self.seq, self.observation_map, self.observation_map_2009
-        )
-
-    @cached_property
-    def measurement(self) -> DataFrame:
-        return screening.measurement(self.gj, self.seq, self.measurement_map)
-
-    @cached_property
-    def payer(self) -> DataFrame:
-        return money.payer_plan_period(self.jk, self.death)
-
-    @cached_property
-    def cost(self) -> DataFrame:
-        return money.cost(
-            self.visit, self.drug, self.procedure, self.device, self.t20, self.k30, self.k60,
-            *self.vocabulary,
-        )
-
-    @cached_property
-    def drug_era(self) -> DataFrame:
-        return eras.drug_era_spans(self.drug, self.ancestor, self.concept)
-
-    @cached_property
-    def condition_era(self) -> DataFrame:
-        return eras.condition_era_spans(self.condition)
-
     @cached_property
     def overrides(self) -> DataFrame:
         """Gender corrections for a few persons of the bound tables."""

@@ -20,24 +20,29 @@ DEVICE_LINES = ("7", "8")
 
 
 def _classified(
-    lines: DataFrame, code: Column, exclusive: DataFrame, ambiguous: DataFrame | None = None
+    lines: DataFrame, code: Column, code_map: DataFrame, kind_of: dict[str, str]
 ) -> DataFrame:
-    """Lines with target, rank and kind; a code in no map keeps one row of kind 'unmapped'.
+    """Lines with target, rank and kind; a code in none of the uses is one 'unmapped' row.
 
-    A NULL code matches nothing and is dropped, as NOT IN does.
+    ``kind_of`` names the uses of the code map and the kind each stands for. A NULL code
+    matches nothing and is dropped, as NOT IN does.
     """
-    table = vocab.target_rank(exclusive).withColumn("kind", F.lit(MAPPED))
-    if ambiguous is not None:
-        table = table.unionByName(
-            vocab.target_rank(ambiguous).withColumn("kind", F.lit(AMBIGUOUS))
-        )
-    table = table.select("source_code", "target_concept_id", "rn", "kind")
+    kind = codes.null("string")
+    for use, name in kind_of.items():
+        kind = F.when(F.col("use") == use, name).otherwise(kind)
+    table = vocab.used(code_map, *kind_of).select(
+        "source_code", "target_concept_id", "rn", kind.alias("kind")
+    )
     return (
         lines.where(code.isNotNull())
         .join(table, code == F.col("source_code"), "left")
-        .withColumn("kind", F.coalesce("kind", F.lit(UNMAPPED)))
-        .withColumn("rn", F.coalesce("rn", F.lit(1)))
-        .withColumn("target_concept_id", F.coalesce("target_concept_id", F.lit(0)))
+        .withColumns(
+            {
+                "kind": F.coalesce("kind", F.lit(UNMAPPED)),
+                "rn": F.coalesce("rn", F.lit(1)),
+                "target_concept_id": F.coalesce("target_concept_id", F.lit(0)),
+            }
+        )
     )
 
 
@@ -69,8 +74,7 @@ def _span_end(start: Column, days: Column) -> Column:
 def condition_occurrence(
     k40: DataFrame,
     periods: DataFrame,
-    source_map: DataFrame,
-    concept: DataFrame,
+    code_map: DataFrame,
     kinds: tuple[str, ...] = (MAPPED, UNMAPPED),
 ) -> DataFrame:
     """Diagnosis lines inside an observation period.
@@ -78,35 +82,13 @@ def condition_occurrence(
     The period is tested with the line's date while the header's date is stored, as in the
     source system. A code mapped only to another domain gives no row at all.
     """
-    code, line_day = F.col("sick_sym"), codes.ymd(F.col("recu_fr_dt"))
-    any_domain = vocab.mapping_all(source_map, concept)
-    table = vocab.target_rank(
-        any_domain.where(F.col("domain_id") == "condition"), descending=True
-    ).withColumn("kind", F.lit(MAPPED))
-    # Codes with a valid target elsewhere only: present, so the line is not 'unmapped'.
-    elsewhere = (
-        any_domain.groupBy("source_code")
-        .agg(F.max((F.col("domain_id") == "condition").cast("int")).alias("hit"))
-        .where(F.col("hit") == 0)
-        .select(
-            "source_code",
-            codes.null("int").alias("target_concept_id"),
-            codes.null("int").alias("rn"),
-            F.lit("elsewhere").alias("kind"),
-        )
-    )
-    columns = ["source_code", "target_concept_id", "rn", "kind"]
-    target_type = table.schema["target_concept_id"].dataType
-    elsewhere = elsewhere.withColumn(
-        "target_concept_id", F.col("target_concept_id").cast(target_type)
-    )
-    table = table.select(*columns).unionByName(elsewhere.select(*columns))
-    lines = (
-        k40.where(code.isNotNull())
-        .join(table, code == F.col("source_code"), "left")
-        .withColumn("kind", F.coalesce("kind", F.lit(UNMAPPED)))
-        .where(F.col("kind").isin(*kinds))
-    )
+    line_day = codes.ymd(F.col("recu_fr_dt"))
+    lines = _classified(
+        k40,
+        F.col("sick_sym"),
+        code_map,
+        {vocab.CONDITION: MAPPED, vocab.ELSEWHERE: vocab.ELSEWHERE},
+    ).where(F.col("kind").isin(*kinds))
     spans = periods.select(
         "person_id", "observation_period_start_date", "observation_period_end_date"
     )
@@ -120,11 +102,9 @@ def condition_occurrence(
             )
         )
         .select(
-            codes.event_id(F.col("master_seq"), F.coalesce("rn", F.lit(1))).alias(
-                "condition_occurrence_id"
-            ),
+            codes.event_id(F.col("master_seq"), F.col("rn")).alias("condition_occurrence_id"),
             "person_id",
-            F.coalesce("target_concept_id", F.lit(0)).alias("condition_concept_id"),
+            F.col("target_concept_id").alias("condition_concept_id"),
             start.alias("condition_start_date"),
             codes.visit_end(
                 start, F.col("form_cd"), F.col("in_pat_cors_type"), F.col("vscn")
@@ -141,14 +121,13 @@ def condition_occurrence(
 
 def drug_lines(
     lines: DataFrame,
-    source_map: DataFrame,
-    concept: DataFrame,
+    code_map: DataFrame,
     prescription: bool,
     kinds: tuple[str, ...] = (MAPPED, UNMAPPED),
 ) -> DataFrame:
     """Drug exposures of one source: any line with a drug code, or a drug line without map."""
     code = F.col("div_cd")
-    rows = _classified(lines, code, vocab.mapping_for(source_map, concept, "drug")).where(
+    rows = _classified(lines, code, code_map, {vocab.DRUG: MAPPED}).where(
         _keep(kinds, {MAPPED: F.lit(True), UNMAPPED: F.col("div_type_cd").isin(*DRUG_LINES)})
     )
     days, quantity = _amounts(prescription)
@@ -209,11 +188,11 @@ def drug_end_clipped_to_death(drug: DataFrame, deaths: DataFrame) -> DataFrame:
 
 
 def drug_exposure(
-    k30: DataFrame, k60: DataFrame, deaths: DataFrame, source_map: DataFrame, concept: DataFrame
+    k30: DataFrame, k60: DataFrame, deaths: DataFrame, code_map: DataFrame
 ) -> DataFrame:
     """The whole table: both sources, then both death rules from one join with the deaths."""
-    drug = drug_lines(k30, source_map, concept, False).unionByName(
-        drug_lines(k60, source_map, concept, True)
+    drug = drug_lines(k30, code_map, False).unionByName(
+        drug_lines(k60, code_map, True)
     )
     return (
         _with_death(drug, deaths)
@@ -228,8 +207,7 @@ def drug_exposure(
 
 def procedure_lines(
     lines: DataFrame,
-    source_map: DataFrame,
-    concept: DataFrame,
+    code_map: DataFrame,
     prescription: bool,
     kinds: tuple[str, ...] = (MAPPED, AMBIGUOUS, UNMAPPED),
 ) -> DataFrame:
@@ -237,8 +215,8 @@ def procedure_lines(
     rows = _classified(
         lines,
         F.substring("div_cd", 1, 5),
-        vocab.exclusive_mapping(source_map, concept, "procedure", "device"),
-        vocab.ambiguous_codes(source_map, "procedure", "device"),
+        code_map,
+        {vocab.PROCEDURE_ONLY: MAPPED, vocab.PROCEDURE_AMBIGUOUS: AMBIGUOUS},
     )
     line_type = F.col("div_type_cd")
     rows = rows.where(
@@ -271,10 +249,10 @@ def procedure_dedup(procedure: DataFrame, drug: DataFrame) -> DataFrame:
 
 
 def procedure_occurrence(
-    k30: DataFrame, k60: DataFrame, drug: DataFrame, source_map: DataFrame, concept: DataFrame
+    k30: DataFrame, k60: DataFrame, drug: DataFrame, code_map: DataFrame
 ) -> DataFrame:
-    rows = procedure_lines(k30, source_map, concept, False).unionByName(
-        procedure_lines(k60, source_map, concept, True)
+    rows = procedure_lines(k30, code_map, False).unionByName(
+        procedure_lines(k60, code_map, True)
     )
     return procedure_dedup(rows, drug).select(*rows.columns)
 
@@ -284,8 +262,7 @@ def procedure_occurrence(
 
 def device_lines(
     lines: DataFrame,
-    source_map: DataFrame,
-    concept: DataFrame,
+    code_map: DataFrame,
     prescription: bool,
     kinds: tuple[str, ...] = (MAPPED, AMBIGUOUS, UNMAPPED),
 ) -> DataFrame:
@@ -297,8 +274,8 @@ def device_lines(
     rows = _classified(
         lines,
         F.col("div_cd"),
-        vocab.exclusive_mapping(source_map, concept, "device", "procedure"),
-        vocab.ambiguous_codes(source_map, "device", "procedure"),
+        code_map,
+        {vocab.DEVICE_ONLY: MAPPED, vocab.DEVICE_AMBIGUOUS: AMBIGUOUS},
     )
     line_type = F.col("div_type_cd")
     rows = rows.where(
@@ -328,9 +305,7 @@ def device_lines(
     )
 
 
-def device_exposure(
-    k30: DataFrame, k60: DataFrame, source_map: DataFrame, concept: DataFrame
-) -> DataFrame:
-    return device_lines(k30, source_map, concept, False).unionByName(
-        device_lines(k60, source_map, concept, True)
+def device_exposure(k30: DataFrame, k60: DataFrame, code_map: DataFrame) -> DataFrame:
+    return device_lines(k30, code_map, False).unionByName(
+        device_lines(k60, code_map, True)
     )

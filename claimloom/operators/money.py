@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,14 +33,16 @@ def payer_plan_period(jk: DataFrame, deaths: DataFrame) -> DataFrame:
     )
 
 
-def _cost(rows: DataFrame, event: str, domain: str, date: str, amounts: dict[str, Column]) -> DataFrame:
+def _cost(
+    rows: DataFrame, event: str, domain: Column, date: str, amounts: dict[str, Column]
+) -> DataFrame:
     def amount(name: str) -> Column:
         return amounts.get(name, codes.null("double")).cast("double").alias(name)
 
     return rows.select(
         F.col(event).alias("cost_id"),
         F.col(event).alias("cost_event_id"),
-        F.lit(domain).alias("cost_domain_id"),
+        domain.alias("cost_domain_id"),
         F.lit(codes.COST_TYPE).alias("cost_type_concept_id"),
         F.lit(codes.CURRENCY_WON).alias("currency_concept_id"),
         amount("total_charge"),
@@ -67,7 +71,7 @@ def cost_visit(visit: DataFrame, t20: DataFrame) -> DataFrame:
     return _cost(
         events.join(header, ["visit_occurrence_id", "person_id"]),
         "visit_occurrence_id",
-        "Visit",
+        F.lit("Visit"),
         "visit_start_date",
         {
             "total_charge": F.col("dmd_tramt"),
@@ -79,16 +83,43 @@ def cost_visit(visit: DataFrame, t20: DataFrame) -> DataFrame:
     )
 
 
-def _line_cost(
-    events: DataFrame, keyed: DataFrame, source: str, domain: str, event: str, date: str,
-    ranges: SerialRanges,
-) -> DataFrame:
-    """Line amount by serial and person; events of other sources are filtered by id range."""
-    own = events.select("person_id", event, date).where(ranges.holds_event(F.col(event), source))
-    own = own.withColumn("master_seq", codes.decode_event_id(F.col(event)))
-    amounts = keyed.select("master_seq", "person_id", "amt")
+def _drug_events(drug: DataFrame, rule: Column) -> DataFrame:
+    return drug.where(rule).select(
+        F.lit("Drug").alias("domain"),
+        F.col("drug_exposure_id").alias("event"),
+        "person_id",
+        F.col("drug_exposure_start_date").alias("day"),
+    )
+
+
+def _procedure_events(procedure: DataFrame) -> DataFrame:
+    return procedure.select(
+        F.lit("Procedure").alias("domain"),
+        F.col("procedure_occurrence_id").alias("event"),
+        "person_id",
+        F.col("procedure_date").alias("day"),
+    )
+
+
+def _device_events(device: DataFrame, code_map: DataFrame) -> DataFrame:
+    """Devices without the codes that are valid procedure codes too."""
+    procedures = vocab.used(code_map, vocab.PROCEDURE)
+    return vocab.unmapped_codes(device, procedures, F.col("device_source_value")).select(
+        F.lit("Device").alias("domain"),
+        F.col("device_exposure_id").alias("event"),
+        "person_id",
+        F.col("device_exposure_start_date").alias("day"),
+    )
+
+
+def _line_cost(events: DataFrame, *keyed: DataFrame) -> DataFrame:
+    """Line amounts by serial and person. Serial ranges of the sources do not overlap."""
+    amounts = reduce(
+        DataFrame.unionByName, [k.select("master_seq", "person_id", "amt") for k in keyed]
+    )
+    own = events.withColumn("master_seq", codes.decode_event_id(F.col("event")))
     return _cost(
-        own.join(amounts, ["master_seq", "person_id"]), event, domain, date,
+        own.join(amounts, ["master_seq", "person_id"]), "event", F.col("domain"), "day",
         {"total_cost": F.col("amt")},
     )
 
@@ -97,48 +128,48 @@ def cost_drug(
     drug: DataFrame, keyed: DataFrame, source: str, all_types: bool = False,
     ranges: SerialRanges = RANGES,
 ) -> DataFrame:
-    """Drug costs of one source.
+    """Drug costs of one source; events of the other are filtered by id range.
 
     As in the source system only one drug type per source is costed, and the prescription
     type is one the drug stage never writes; ``all_types`` costs every exposure.
     """
+    own = ranges.holds_event(F.col("drug_exposure_id"), source)
     if not all_types:
-        drug = drug.where(F.col("drug_type_concept_id") == COSTED_DRUG_TYPES[source])
-    return _line_cost(
-        drug, keyed, source, "Drug", "drug_exposure_id", "drug_exposure_start_date", ranges
-    )
+        own = own & (F.col("drug_type_concept_id") == COSTED_DRUG_TYPES[source])
+    return _line_cost(_drug_events(drug, own), keyed)
 
 
 def cost_procedure(
     procedure: DataFrame, keyed: DataFrame, source: str, ranges: SerialRanges = RANGES
 ) -> DataFrame:
-    return _line_cost(
-        procedure, keyed, source, "Procedure", "procedure_occurrence_id", "procedure_date", ranges
-    )
+    own = ranges.holds_event(F.col("procedure_occurrence_id"), source)
+    return _line_cost(_procedure_events(procedure.where(own)), keyed)
 
 
 def cost_device(
-    device: DataFrame, keyed: DataFrame, source: str, source_map: DataFrame, concept: DataFrame,
+    device: DataFrame, keyed: DataFrame, source: str, code_map: DataFrame,
     ranges: SerialRanges = RANGES,
 ) -> DataFrame:
-    """Device costs without the codes that are valid procedure codes too."""
-    procedures = vocab.mapping_for(source_map, concept, "procedure")
-    own = vocab.unmapped_codes(device, procedures, F.col("device_source_value"))
-    return _line_cost(
-        own, keyed, source, "Device", "device_exposure_id", "device_exposure_start_date", ranges
-    )
+    own = ranges.holds_event(F.col("device_exposure_id"), source)
+    return _line_cost(_device_events(device.where(own), code_map), keyed)
 
 
 def cost(
     visit: DataFrame, drug: DataFrame, procedure: DataFrame, device: DataFrame, t20: DataFrame,
-    k30: DataFrame, k60: DataFrame, source_map: DataFrame, concept: DataFrame,
-    ranges: SerialRanges = RANGES,
+    k30: DataFrame, k60: DataFrame, code_map: DataFrame, ranges: SerialRanges = RANGES,
 ) -> DataFrame:
-    out = cost_visit(visit, t20)
-    for source, keyed in ((TREATMENT, k30), (PRESCRIPTION, k60)):
-        out = (
-            out.unionByName(cost_drug(drug, keyed, source, ranges=ranges))
-            .unionByName(cost_procedure(procedure, keyed, source, ranges))
-            .unionByName(cost_device(device, keyed, source, source_map, concept, ranges))
-        )
-    return out
+    """Visit costs and, from a single join with the lines of both sources, all line costs."""
+    costed = reduce(
+        Column.__or__,
+        [
+            ranges.holds_event(F.col("drug_exposure_id"), source)
+            & (F.col("drug_type_concept_id") == kind)
+            for source, kind in COSTED_DRUG_TYPES.items()
+        ],
+    )
+    events = (
+        _drug_events(drug, costed)
+        .unionByName(_procedure_events(procedure))
+        .unionByName(_device_events(device, code_map))
+    )
+    return cost_visit(visit, t20).unionByName(_line_cost(events, k30, k60))

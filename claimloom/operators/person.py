@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from .vocab import mapping_for
+from .vocab import CONDITION, used
 
 
 def person_latest(jk: DataFrame) -> DataFrame:
@@ -129,14 +129,14 @@ def person(jk: DataFrame) -> DataFrame:
     )
 
 
-def death(jk: DataFrame, source_map: DataFrame, concept: DataFrame, death_map: DataFrame) -> DataFrame:
+def death(jk: DataFrame, code_map: DataFrame, death_map: DataFrame) -> DataFrame:
     """Deaths dated to the end of the month, or to 31 December where only the cause is known.
 
     A NULL month with a cause gives no death, and a cause with several targets gives several
     rows, as in the source system; the primary-key check reports the latter.
     """
     causes = (
-        mapping_for(source_map, concept, "condition")
+        used(code_map, CONDITION)
         .select("source_code", "target_concept_id")
         .unionByName(death_map.select("source_code", "target_concept_id"))
     )

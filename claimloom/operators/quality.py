@@ -1,7 +1,7 @@
 """Data-quality reports: mapping coverage, forecasts, odd values and key integrity.
 
-Coverage is counted from the number of targets per code, so no line is fanned out and
-shuffled just to be counted again.
+Coverage is counted from lines per code and targets per code, both vocabulary-sized, so no
+line is fanned out and shuffled just to be counted again.
 """
 
 from __future__ import annotations
@@ -26,50 +26,65 @@ INTEGER_KEYS = {
 MEASUREMENT_ITEMS = screening.NUMERIC_ITEMS + screening.CODED_ITEMS
 
 
-def _total(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("count"))
+def code_counts(lines: DataFrame, code: str = "div_cd") -> DataFrame:
+    """Lines per code (and line type): all that mapping coverage depends on.
 
+    One scan with a map-side count turns the lines into a vocabulary-sized table; every
+    coverage report reads that and no report touches the lines again.
+    """
+    by = ["div_type_cd", code] if "div_type_cd" in lines.columns else [code]
+    return lines.groupBy(*by).agg(F.count("*").alias("lines"))
 
-def _histogram(lines: DataFrame, mapping: DataFrame, code: Column, by: list[str]) -> DataFrame:
-    """Lines by their number of targets (and ``by``): one count per code, one map-side count."""
-    return (
-        lines.join(vocab.target_counts(mapping), code == F.col("source_code"))
-        .groupBy(*by, F.col("targets").alias("multimapped"))
-        .agg(F.count("*").alias("count"))
-    )
+
+def _sum(column: Column) -> Column:
+    return F.coalesce(F.sum(column), F.lit(0)).alias("count")
+
+
+def _mapped(counts: DataFrame, mapping: DataFrame, code: Column) -> DataFrame:
+    return counts.join(vocab.target_counts(mapping), code == F.col("source_code"))
 
 
-def _fanout_total(lines: DataFrame, mapping: DataFrame, code: Column) -> DataFrame:
-    """Rows of the 1:N join, as a sum of targets."""
-    return lines.join(vocab.target_counts(mapping), code == F.col("source_code")).agg(
-        F.coalesce(F.sum("targets"), F.lit(0)).alias("count")
+def _rows(counts: DataFrame, mapping: DataFrame, code: Column) -> DataFrame:
+    """Rows of the 1:N join with the map."""
+    return _mapped(counts, mapping, code).agg(_sum(F.col("lines") * F.col("targets")))
+
+
+def _unmapped(counts: DataFrame, mapping: DataFrame, code: Column) -> DataFrame:
+    return vocab.unmapped_codes(counts, mapping, code).agg(_sum(F.col("lines")))
+
+
+def _histogram(counts: DataFrame, mapping: DataFrame, code: Column, by: list[str]) -> DataFrame:
+    """Lines by their number of targets (and ``by``)."""
+    return (
+        _mapped(counts, mapping, code)
+        .groupBy(*by, F.col("targets").alias("multimapped"))
+        .agg(F.sum("lines").alias("count"))
     )
 
 
-def _once(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("div_type_cd").agg(F.count("*").alias("count")).select(
+def _once(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("div_type_cd").agg(F.sum("lines").alias("count")).select(
         "div_type_cd", F.lit(1).cast("bigint").alias("multimapped"), "count"
     )
 
 
 # --- drugs --------------------------------------------------------------------------------
 
-def dq_drug_mapped(keyed: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    mapping = vocab.mapping_for(source_map, concept, "drug")
-    return _histogram(keyed, mapping, F.col("div_cd"), [])
+
+def dq_drug_mapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    return _histogram(counts, vocab.used(code_map, vocab.DRUG), F.col("div_cd"), [])
 
 
-def dq_drug_unmapped(keyed: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    mapping = vocab.mapping_for(source_map, concept, "drug")
-    drug = keyed.where(F.col("div_type_cd").isin(*DRUG_LINES))
-    return _total(vocab.unmapped_codes(drug, mapping, F.col("div_cd")))
+def dq_drug_unmapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    drug = counts.where(F.col("div_type_cd").isin(*DRUG_LINES))
+    return _unmapped(drug, vocab.used(code_map, vocab.DRUG), F.col("div_cd"))
 
 
-def dq_drug_raw(lines: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    mapping = vocab.mapping_for(source_map, concept, "drug")
+def dq_drug_raw(counts: DataFrame, code_map: DataFrame) -> DataFrame:
     drug_line = F.col("div_type_cd").isin(*DRUG_LINES)
-    other = _histogram(lines.where(~drug_line), mapping, F.col("div_cd"), ["div_type_cd"])
-    return other.unionByName(_once(lines.where(drug_line)))
+    mapping = vocab.used(code_map, vocab.DRUG)
+    other = _histogram(counts.where(~drug_line), mapping, F.col("div_cd"), ["div_type_cd"])
+    return other.unionByName(_once(counts.where(drug_line)))
 
 
 # --- procedures ---------------------------------------------------------------------------
@@ -79,111 +94,89 @@ def _prefix() -> Column:
     return F.substring("div_cd", 1, 5)
 
 
-def _procedure_maps(source_map: DataFrame, concept: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return (
-        vocab.exclusive_mapping(source_map, concept, "procedure", "device"),
-        vocab.ambiguous_codes(source_map, "procedure", "device"),
-    )
+def _candidates(counts: DataFrame) -> DataFrame:
+    """Lines of the types that a procedure code may convert."""
+    return counts.where(~F.col("div_type_cd").isin(*DRUG_LINES, *DEVICE_LINES))
 
 
-def _procedure_parts(lines: DataFrame, exclusive: DataFrame, ambiguous: DataFrame):
-    line_type = F.col("div_type_cd")
-    own = lines.where(line_type.isin(*PROCEDURE_LINES))
-    either = exclusive.select("source_code").union(ambiguous.select("source_code"))
-    return (
-        lines.where(~line_type.isin(*DRUG_LINES, *DEVICE_LINES)),
-        own,
-        vocab.unmapped_codes(own, either, _prefix()),
-    )
+def _procedures(counts: DataFrame) -> DataFrame:
+    return counts.where(F.col("div_type_cd").isin(*PROCEDURE_LINES))
 
 
-def dq_procedure_mapped(keyed: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    exclusive, ambiguous = _procedure_maps(source_map, concept)
-    return _fanout_total(_procedure_parts(keyed, exclusive, ambiguous)[0], exclusive, _prefix())
+def dq_procedure_mapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    return _rows(_candidates(counts), vocab.used(code_map, vocab.PROCEDURE_ONLY), _prefix())
 
 
-def dq_procedure_ambiguous(
-    keyed: DataFrame, source_map: DataFrame, concept: DataFrame
-) -> DataFrame:
-    exclusive, ambiguous = _procedure_maps(source_map, concept)
-    return _fanout_total(_procedure_parts(keyed, exclusive, ambiguous)[1], ambiguous, _prefix())
+def dq_procedure_ambiguous(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    return _rows(_procedures(counts), vocab.used(code_map, vocab.PROCEDURE_AMBIGUOUS), _prefix())
 
 
-def dq_procedure_unmapped(
-    keyed: DataFrame, source_map: DataFrame, concept: DataFrame
-) -> DataFrame:
-    exclusive, ambiguous = _procedure_maps(source_map, concept)
-    return _total(_procedure_parts(keyed, exclusive, ambiguous)[2])
+def dq_procedure_unmapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    either = vocab.used(code_map, vocab.PROCEDURE_ONLY, vocab.PROCEDURE_AMBIGUOUS)
+    return _unmapped(_procedures(counts), either, _prefix())
 
 
-def dq_procedure_raw(lines: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    exclusive, ambiguous = _procedure_maps(source_map, concept)
-    mapped, own, unmapped = _procedure_parts(lines, exclusive, ambiguous)
+def dq_procedure_raw(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    exclusive = vocab.used(code_map, vocab.PROCEDURE_ONLY)
+    ambiguous = vocab.used(code_map, vocab.PROCEDURE_AMBIGUOUS)
+    either = vocab.used(code_map, vocab.PROCEDURE_ONLY, vocab.PROCEDURE_AMBIGUOUS)
     return (
-        _histogram(mapped, exclusive, _prefix(), ["div_type_cd"])
-        .unionByName(_histogram(own, ambiguous, _prefix(), ["div_type_cd"]))
-        .unionByName(_once(unmapped))
+        _histogram(_candidates(counts), exclusive, _prefix(), ["div_type_cd"])
+        .unionByName(_histogram(_procedures(counts), ambiguous, _prefix(), ["div_type_cd"]))
+        .unionByName(_once(vocab.unmapped_codes(_procedures(counts), either, _prefix())))
     )
 
 
 # --- devices ------------------------------------------------------------------------------
 
 
-def _device_maps(source_map: DataFrame, concept: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return (
-        vocab.exclusive_mapping(source_map, concept, "device", "procedure"),
-        vocab.ambiguous_codes(source_map, "device", "procedure"),
-    )
+def _devices(counts: DataFrame) -> DataFrame:
+    return counts.where(F.col("div_type_cd").isin(*DEVICE_LINES))
 
 
-def dq_device_mapped(keyed: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    exclusive, _ = _device_maps(source_map, concept)
-    lines = keyed.where(~F.col("div_type_cd").isin(*PROCEDURE_LINES, *DRUG_LINES))
-    return _fanout_total(lines, exclusive, F.col("div_cd"))
+def dq_device_mapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    lines = counts.where(~F.col("div_type_cd").isin(*PROCEDURE_LINES, *DRUG_LINES))
+    return _rows(lines, vocab.used(code_map, vocab.DEVICE_ONLY), F.col("div_cd"))
 
 
-def dq_device_ambiguous(keyed: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    _, ambiguous = _device_maps(source_map, concept)
-    lines = keyed.where(F.col("div_type_cd").isin(*DEVICE_LINES))
-    return _fanout_total(lines, ambiguous, F.col("div_cd"))
+def dq_device_ambiguous(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    return _rows(
+        _devices(counts), vocab.used(code_map, vocab.DEVICE_AMBIGUOUS), F.col("div_cd")
+    )
 
 
-def dq_device_unmapped(keyed: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    exclusive, ambiguous = _device_maps(source_map, concept)
-    lines = keyed.where(F.col("div_type_cd").isin(*DEVICE_LINES))
-    either = exclusive.select("source_code").union(ambiguous.select("source_code"))
-    return _total(vocab.unmapped_codes(lines, either, F.col("div_cd")))
+def dq_device_unmapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    either = vocab.used(code_map, vocab.DEVICE_ONLY, vocab.DEVICE_AMBIGUOUS)
+    return _unmapped(_devices(counts), either, F.col("div_cd"))
 
 
-def dq_device_raw(lines: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    exclusive, _ = _device_maps(source_map, concept)
-    line_type = F.col("div_type_cd")
-    other = lines.where(~line_type.isin(*PROCEDURE_LINES, *DRUG_LINES, *DEVICE_LINES))
-    return _histogram(other, exclusive, F.col("div_cd"), ["div_type_cd"]).unionByName(
-        _once(lines.where(line_type.isin(*DEVICE_LINES)))
+def dq_device_raw(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    other = counts.where(
+        ~F.col("div_type_cd").isin(*PROCEDURE_LINES, *DRUG_LINES, *DEVICE_LINES)
+    )
+    mapping = vocab.used(code_map, vocab.DEVICE_ONLY)
+    return _histogram(other, mapping, F.col("div_cd"), ["div_type_cd"]).unionByName(
+        _once(_devices(counts))
     )
 
 
 # --- conditions ---------------------------------------------------------------------------
 
 
-def dq_condition_mapped(k40: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    return _fanout_total(
-        k40, vocab.mapping_for(source_map, concept, "condition"), F.col("sick_sym")
-    )
+def dq_condition_mapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    return _rows(counts, vocab.used(code_map, vocab.CONDITION), F.col("sick_sym"))
 
 
-def dq_condition_unmapped(k40: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    return _total(
-        vocab.unmapped_codes(k40, vocab.mapping_all(source_map, concept), F.col("sick_sym"))
-    )
+def dq_condition_unmapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
+    known = vocab.used(code_map, vocab.CONDITION, vocab.ELSEWHERE)
+    return _unmapped(counts, known, F.col("sick_sym"))
 
 
-def dq_condition_raw(t40: DataFrame, source_map: DataFrame, concept: DataFrame) -> DataFrame:
+def dq_condition_raw(counts: DataFrame, code_map: DataFrame) -> DataFrame:
     mapped = _histogram(
-        t40, vocab.mapping_for(source_map, concept, "condition"), F.col("sick_sym"), []
+        counts, vocab.used(code_map, vocab.CONDITION), F.col("sick_sym"), []
     ).select(F.lit("condition").alias("domain_id"), "multimapped", "count")
-    rest = dq_condition_unmapped(t40, source_map, concept).select(
+    rest = dq_condition_unmapped(counts, code_map).select(
         F.lit("Unclassified").alias("domain_id"),
         F.lit(1).cast("bigint").alias("multimapped"),
         "count",
@@ -250,21 +243,19 @@ def dq_report(parts: list[tuple[DataFrame, str, str]]) -> DataFrame:
 # --- forecasts and odd values -------------------------------------------------------------
 
 
-def dq_expected_rows(
-    lines: DataFrame, t20: DataFrame, source_map: DataFrame, domain: str
-) -> DataFrame:
-    """Forecast of converted rows: 1:N rows, lines with a code in the map, and the excess."""
+def dq_expected_rows(counts: DataFrame, source_map: DataFrame, domain: str) -> DataFrame:
+    """Forecast of converted rows: 1:N rows, lines with a code in the map, and the excess.
+
+    ``counts`` are the code counts of lines that have a header.
+    """
     valid = source_map.where((F.col("domain_id") == domain) & F.col("invalid_reason").isNull())
-    headers = t20.select("key_seq")
-    hits = lines.join(
-        vocab.target_counts(valid), F.col("div_cd") == F.col("source_code")
-    ).join(headers, "key_seq")
-    targets = F.col("targets")
-    return hits.agg(
-        F.coalesce(F.sum(targets), F.lit(0)).alias("expected_rows"),
-        F.count("*").alias("expected_lines"),
-        F.coalesce(F.sum(F.when(targets > 1, targets - 1)), F.lit(0)).alias("extra_rows"),
-        F.count(F.when(targets > 1, 1)).alias("multi_mapped_lines"),
+    lines, targets = F.col("lines"), F.col("targets")
+    several = targets > 1
+    return _mapped(counts, valid, F.col("div_cd")).agg(
+        _sum(lines * targets).alias("expected_rows"),
+        _sum(lines).alias("expected_lines"),
+        _sum(F.when(several, lines * (targets - 1))).alias("extra_rows"),
+        _sum(F.when(several, lines)).alias("multi_mapped_lines"),
     )
 
 

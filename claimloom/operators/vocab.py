@@ -6,6 +6,8 @@ left to the statistics-based threshold and to AQE, with a sort-merge join beyond
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -137,6 +139,56 @@ def unmapped_codes(df: DataFrame, mapping: DataFrame, code: Column) -> DataFrame
     return df.where(code.isNotNull()).join(codes, code == F.col("source_code"), "left_anti")
 
 
+# Uses of the code map; "elsewhere" holds codes whose valid targets are in other domains only.
+DRUG, CONDITION, ELSEWHERE = "drug", "condition", "elsewhere"
+PROCEDURE, PROCEDURE_ONLY, PROCEDURE_AMBIGUOUS = "procedure", "procedure_only", "procedure_ambiguous"
+DEVICE_ONLY, DEVICE_AMBIGUOUS = "device_only", "device_ambiguous"
+
+
+def code_map(source_map: DataFrame, concept: DataFrame) -> DataFrame:
+    """All maps the conversion uses, in one table (use, source_code, target_concept_id, rn).
+
+    It is vocabulary-sized. The pipeline stores it once, partitioned by use, and every
+    target table reads only its part.
+    """
+    valid = mapping_all(source_map, concept)
+    exclusive = [
+        (use, exclusive_mapping(source_map, concept, own, other))
+        for use, own, other in (
+            (PROCEDURE_ONLY, "procedure", "device"),
+            (DEVICE_ONLY, "device", "procedure"),
+        )
+    ]
+    ambiguous = [
+        (PROCEDURE_AMBIGUOUS, ambiguous_codes(source_map, "procedure", "device")),
+        (DEVICE_AMBIGUOUS, ambiguous_codes(source_map, "device", "procedure")),
+    ]
+    per_domain = [
+        (DRUG, valid.where(F.col("domain_id") == "drug")),
+        (PROCEDURE, valid.where(F.col("domain_id") == "procedure")),
+    ]
+    elsewhere = (
+        valid.groupBy("source_code")
+        .agg(F.max((F.col("domain_id") == "condition").cast("int")).alias("hit"))
+        .where(F.col("hit") == 0)
+        .select("source_code", F.lit(None).cast("int").alias("target_concept_id"))
+    )
+    parts = [
+        target_rank(part).select(F.lit(use).alias("use"), "source_code", "target_concept_id", "rn")
+        for use, part in (*per_domain, *exclusive, *ambiguous, (ELSEWHERE, elsewhere))
+    ]
+    condition = target_rank(valid.where(F.col("domain_id") == "condition"), descending=True)
+    parts.append(
+        condition.select(F.lit(CONDITION).alias("use"), "source_code", "target_concept_id", "rn")
+    )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def used(codes: DataFrame, *uses: str) -> DataFrame:
+    """The part of the code map for the given uses."""
+    return codes.where(F.col("use").isin(*uses))
+
+
 def target_counts(mapping: DataFrame) -> DataFrame:
     """Targets per code: the fan-out of a line, known without joining any line."""
     return mapping.groupBy("source_code").agg(F.count("*").alias("targets"))

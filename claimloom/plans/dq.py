@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators import quality
+from ..work import store
 
 DOMAINS = (
     "drug_exposure",
@@ -18,41 +19,52 @@ DOMAINS = (
 def run_dq(
     t30: DataFrame, t40: DataFrame, t60: DataFrame, gj: DataFrame,
     k30: DataFrame, k40: DataFrame, k60: DataFrame,
-    source_map: DataFrame, concept: DataFrame, measurement_map: DataFrame,
+    code_map: DataFrame, measurement_map: DataFrame,
     domains: tuple[str, ...] = DOMAINS,
 ) -> DataFrame:
-    """All reports of the chosen domains as (domain, item, div_type, multimapped, count)."""
-    maps = (source_map, concept)
+    """All reports of the chosen domains as (domain, item, div_type, multimapped, count).
+
+    The claim tables are scanned once each: their code counts are stored (a table of the
+    size of the vocabulary) and all reports read those.
+    """
     parts: list[tuple[DataFrame, str, str]] = []
+    per_table = {
+        "drug_exposure": (
+            ("mapped", quality.dq_drug_mapped),
+            ("unmapped", quality.dq_drug_unmapped),
+            ("raw", quality.dq_drug_raw),
+        ),
+        "procedure_occurrence": (
+            ("mapped", quality.dq_procedure_mapped),
+            ("ambiguous", quality.dq_procedure_ambiguous),
+            ("unmapped", quality.dq_procedure_unmapped),
+            ("raw", quality.dq_procedure_raw),
+        ),
+        "device_exposure": (
+            ("mapped", quality.dq_device_mapped),
+            ("ambiguous", quality.dq_device_ambiguous),
+            ("unmapped", quality.dq_device_unmapped),
+            ("raw", quality.dq_device_raw),
+        ),
+    }
     for tag, lines, keyed in (("30t", t30, k30), ("60t", t60, k60)):
-        if "drug_exposure" in domains:
-            parts += [
-                (quality.dq_drug_mapped(keyed, *maps), "drug_exposure", f"mapped_{tag}"),
-                (quality.dq_drug_unmapped(keyed, *maps), "drug_exposure", f"unmapped_{tag}"),
-                (quality.dq_drug_raw(lines, *maps), "drug_exposure", f"raw_{tag}"),
-            ]
-        if "procedure_occurrence" in domains:
-            name = "procedure_occurrence"
-            parts += [
-                (quality.dq_procedure_mapped(keyed, *maps), name, f"mapped_{tag}"),
-                (quality.dq_procedure_ambiguous(keyed, *maps), name, f"ambiguous_{tag}"),
-                (quality.dq_procedure_unmapped(keyed, *maps), name, f"unmapped_{tag}"),
-                (quality.dq_procedure_raw(lines, *maps), name, f"raw_{tag}"),
-            ]
-        if "device_exposure" in domains:
-            name = "device_exposure"
-            parts += [
-                (quality.dq_device_mapped(keyed, *maps), name, f"mapped_{tag}"),
-                (quality.dq_device_ambiguous(keyed, *maps), name, f"ambiguous_{tag}"),
-                (quality.dq_device_unmapped(keyed, *maps), name, f"unmapped_{tag}"),
-                (quality.dq_device_raw(lines, *maps), name, f"raw_{tag}"),
-            ]
+        chosen = [domain for domain in per_table if domain in domains]
+        if not chosen:
+            break
+        raw_counts = store(quality.code_counts(lines), f"counts-{tag}")
+        keyed_counts = store(quality.code_counts(keyed), f"counts-keyed-{tag}")
+        for domain in chosen:
+            for kind, report in per_table[domain]:
+                counts = raw_counts if kind == "raw" else keyed_counts
+                parts.append((report(counts, code_map), domain, f"{kind}_{tag}"))
     if "condition_occurrence" in domains:
         name = "condition_occurrence"
+        keyed_counts = store(quality.code_counts(k40, "sick_sym"), "counts-keyed-40t")
+        raw_counts = store(quality.code_counts(t40, "sick_sym"), "counts-40t")
         parts += [
-            (quality.dq_condition_mapped(k40, *maps), name, "mapped_40t"),
-            (quality.dq_condition_unmapped(k40, *maps), name, "unmapped_40t"),
-            (quality.dq_condition_raw(t40, *maps), name, "raw_40t"),
+            (quality.dq_condition_mapped(keyed_counts, code_map), name, "mapped_40t"),
+            (quality.dq_condition_unmapped(keyed_counts, code_map), name, "unmapped_40t"),
+            (quality.dq_condition_raw(raw_counts, code_map), name, "raw_40t"),
         ]
     if "measurement" in domains:
         parts += [

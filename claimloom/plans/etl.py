@@ -13,6 +13,7 @@ from ..sources import seeds, sinks
 from ..work import work_root
 
 STAGES = (
+    "vocabulary",
     "cdm_source",
     "master",
     "location",
@@ -96,10 +97,14 @@ def run_etl(
         raise ValueError(f"unknown stages {sorted(unknown)}")
     chosen = [s for s in STAGES if s in stages]
     tables = _Tables(spark, out)
-    concept = vocabulary["concept"]
-    source_map = vocab.build_source_map(concept, vocabulary["concept_relationship"])
-    maps = (source_map, concept)
-    ancestor = vocabulary["concept_ancestor"]
+    concept, ancestor = vocabulary["concept"], vocabulary["concept_ancestor"]
+
+    def build_maps():
+        relationship = vocabulary["concept_relationship"]
+        tables.write_work("source_to_concept_map", vocab.build_source_map(concept, relationship))
+        tables.write_work(
+            "code_map", vocab.code_map(tables["source_to_concept_map"], concept), ("use",)
+        )
 
     def master():
         for name, source in (("t30", "130"), ("t40", "140"), ("t60", "160")):
@@ -135,6 +140,7 @@ def run_etl(
         tables.done.update(target.done)
 
     steps = {
+        "vocabulary": build_maps,
         "cdm_source": lambda: tables.write(
             "cdm_source", sinks.cdm_source(spark, concept, today or dt.date.today())
         ),
@@ -144,7 +150,7 @@ def run_etl(
         "care_site": lambda: tables.write("care_site", visits.care_site(raw["yk"])),
         "person": lambda: tables.write("person", person.person(raw["jk"])),
         "death": lambda: tables.write(
-            "death", person.death(raw["jk"], *maps, seeds.seed_death_map(spark))
+            "death", person.death(raw["jk"], tables["code_map"], seeds.seed_death_map(spark))
         ),
         "observation_period": lambda: tables.write(
             "observation_period",
@@ -160,7 +166,8 @@ def run_etl(
         ),
         "condition_occurrence": lambda: tables.write(
             "condition_occurrence",
-            events.condition_occurrence(tables["keyed_t40"], tables["observation_period"], *maps),
+            events.condition_occurrence(tables["keyed_t40"], tables["observation_period"], tables["code_map"]
+            ),
         ),
         "observation": lambda: tables.write(
             "observation",
@@ -173,14 +180,14 @@ def run_etl(
             ),
         ),
         "drug_exposure": lambda: tables.write(
-            "drug_exposure", events.drug_exposure(*lines(), tables["death"], *maps)
+            "drug_exposure", events.drug_exposure(*lines(), tables["death"], tables["code_map"])
         ),
         "procedure_occurrence": lambda: tables.write(
             "procedure_occurrence",
-            events.procedure_occurrence(*lines(), tables["drug_exposure"], *maps),
+            events.procedure_occurrence(*lines(), tables["drug_exposure"], tables["code_map"]),
         ),
         "device_exposure": lambda: tables.write(
-            "device_exposure", events.device_exposure(*lines(), *maps)
+            "device_exposure", events.device_exposure(*lines(), tables["code_map"])
         ),
         "measurement": lambda: tables.write(
             "measurement",
@@ -200,7 +207,7 @@ def run_etl(
                 tables["device_exposure"],
                 raw["t20"],
                 *lines(),
-                *maps,
+                tables["code_map"],
                 ranges,
             ),
         ),

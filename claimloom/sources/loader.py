@@ -102,7 +102,7 @@ def ingest_incremental_batch(
 def profile_table(df: DataFrame, name: str, sample: int = 5) -> DataFrame:
     """Columns, types, row count and up to ``sample`` example values per column."""
     columns = df.columns
-    counts = df.agg(F.count("*").alias("rows"))
+    counts = df.agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(name))
     head = df.limit(sample).select(*[F.col(c).cast("string").alias(c) for c in columns])
     examples = (
         head.unpivot([], columns, "column_name", "value")
@@ -114,8 +114,7 @@ def profile_table(df: DataFrame, name: str, sample: int = 5) -> DataFrame:
         [(name, i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)],
         "table_name string, position int, column_name string, type string",
     )
-    # One row of counts meets a handful of layout rows.
-    return layout.join(F.broadcast(counts)).join(examples, "column_name", "left").select(
+    return layout.join(counts, "table_name").join(examples, "column_name", "left").select(
         "table_name", "position", "column_name", "type", "rows", "examples"
     )
 
