@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import null
@@ -72,12 +72,8 @@ class SerialRanges:
 RANGES = SerialRanges()
 
 
-def ranked(df: DataFrame, order_by: list[str], name: str, label: str = "ranked") -> DataFrame:
-    """``row_number() over (order by ...)`` of a whole table without a single-task window.
-
-    Range-partitioned sorted rows are stored once with their position inside the partition;
-    the start of each partition is a running sum over one row per partition.
-    """
+def _numbered(df: DataFrame, order_by: list[str], name: str, label: str) -> tuple[DataFrame, int]:
+    """The rows with their 1..n position in the given order, and n."""
     rows = (
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
@@ -86,25 +82,35 @@ def ranked(df: DataFrame, order_by: list[str], name: str, label: str = "ranked")
     # Range bounds come from a sample: without the write, the two reads below could disagree.
     rows = store(rows, label)
     part, within = F.shiftright("_row", 33), F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
-    # One row per partition, so this window and the broadcast are bounded by the partition count.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        rows.groupBy(part.alias("_part"))
-        .agg(F.count("*").alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
-    return (
+    # One row per range partition comes to the driver, whatever the number of rows.
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).collect()
+    starts, total = [], 0
+    for size in sorted(sizes):
+        starts.append((size["_part"], total))
+        total += size["_n"]
+    starts = df.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
+    numbered = (
         rows.withColumn("_part", part)
         .join(F.broadcast(starts), "_part")
         .withColumn(name, F.col("_start") + within + 1)
         .drop("_part", "_start", "_row")
     )
+    return numbered, total
+
+
+def ranked(df: DataFrame, order_by: list[str], name: str, label: str = "ranked") -> DataFrame:
+    """``row_number() over (order by ...)`` of a whole table without a single-task window.
+
+    Range-partitioned sorted rows are stored once with their position inside the partition;
+    the position plus the rows of the earlier partitions is the row number. ``order_by``
+    should be a total order, or rows that tie on it be interchangeable.
+    """
+    return _numbered(df, order_by, name, label)[0]
 
 
 def _serial(df: DataFrame, order_by: list[str], source: str, ranges: SerialRanges) -> DataFrame:
-    numbered = ranked(df, order_by, "master_seq", f"seq-{source}")
-    last = numbered.agg(F.max("master_seq")).first()[0]
-    ranges.check(source, last or 0)
+    numbered, rows = _numbered(df, order_by, "master_seq", f"seq-{source}")
+    ranges.check(source, rows)
     return numbered.withColumn("master_seq", F.col("master_seq") + F.lit(ranges.base(source)))
 
 

@@ -102,20 +102,25 @@ def ingest_incremental_batch(
 def profile_table(df: DataFrame, name: str, sample: int = 5) -> DataFrame:
     """Columns, types, row count and up to ``sample`` example values per column."""
     columns = df.columns
-    counts = df.agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(name))
+    layout = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("position"),
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("type"),
+            )
+            for i, f in enumerate(df.schema)
+        ]
+    )
+    counted = df.agg(F.count("*").alias("rows")).select("rows", F.inline(layout))
     head = df.limit(sample).select(*[F.col(c).cast("string").alias(c) for c in columns])
     examples = (
         head.unpivot([], columns, "column_name", "value")
         .groupBy("column_name")
         .agg(F.collect_list("value").alias("examples"))
     )
-    spark = df.sparkSession
-    layout = spark.createDataFrame(
-        [(name, i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema)],
-        "table_name string, position int, column_name string, type string",
-    )
-    return layout.join(counts, "table_name").join(examples, "column_name", "left").select(
-        "table_name", "position", "column_name", "type", "rows", "examples"
+    return counted.join(examples, "column_name", "left").select(
+        F.lit(name).alias("table_name"), "position", "column_name", "type", "rows", "examples"
     )
 
 
