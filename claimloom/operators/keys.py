@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import null
-from ..work import store
+from ..work import fresh_path
 
 # Source tags and the leading digits of their serial ranges.
 TREATMENT, DIAGNOSIS, PRESCRIPTION, SCREENING, ELIGIBILITY = "130", "140", "160", "GJT", "JKT"
@@ -72,59 +72,93 @@ class SerialRanges:
 RANGES = SerialRanges()
 
 
-def _numbered(df: DataFrame, order_by: list[str], name: str, label: str) -> tuple[DataFrame, int]:
-    """The rows with their 1..n position in the given order, and n."""
+def write_numbered(df: DataFrame, order_by: list[str], path: str) -> int:
+    """Store the rows so that :func:`read_numbered` can number them; returns their count.
+
+    Rows are range-partitioned, sorted and written once with their position inside the
+    partition. A small table next to them holds how many rows come before each partition.
+    """
+    spark = df.sparkSession
     rows = (
         df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_row", F.monotonically_increasing_id())
     )
-    # Range bounds come from a sample: without the write, the two reads below could disagree.
-    rows = store(rows, label)
-    part, within = F.shiftright("_row", 33), F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    # Range bounds come from a sample: positions are only meaningful once they are written.
+    rows.write.mode("overwrite").parquet(f"{path}/rows")
     # One row per range partition comes to the driver, whatever the number of rows.
-    sizes = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).collect()
+    sizes = (
+        spark.read.schema(rows.schema)
+        .parquet(f"{path}/rows")
+        .groupBy(F.shiftright("_row", 33).alias("_part"))
+        .agg(F.count("*").alias("_n"))
+        .collect()
+    )
     starts, total = [], 0
     for size in sorted(sizes):
         starts.append((size["_part"], total))
         total += size["_n"]
-    starts = df.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
-    numbered = (
-        rows.withColumn("_part", part)
+    starts = spark.createDataFrame(starts, "_part bigint, _start bigint").coalesce(1)
+    starts.write.mode("overwrite").parquet(f"{path}/starts")
+    return total
+
+
+def read_numbered(spark: SparkSession, path: str, name: str, base: int = 0) -> DataFrame:
+    """The stored rows with ``name`` = base + 1..n in the order they were written for.
+
+    The number is computed while scanning: the broadcast side has one row per partition.
+    """
+    rows = spark.read.parquet(f"{path}/rows")
+    starts = spark.read.parquet(f"{path}/starts")
+    within = F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        rows.withColumn("_part", F.shiftright("_row", 33))
         .join(F.broadcast(starts), "_part")
-        .withColumn(name, F.col("_start") + within + 1)
+        .withColumn(name, F.col("_start") + within + F.lit(base + 1))
         .drop("_part", "_start", "_row")
     )
-    return numbered, total
 
 
 def ranked(df: DataFrame, order_by: list[str], name: str, label: str = "ranked") -> DataFrame:
     """``row_number() over (order by ...)`` of a whole table without a single-task window.
 
-    Range-partitioned sorted rows are stored once with their position inside the partition;
-    the position plus the rows of the earlier partitions is the row number. ``order_by``
-    should be a total order, or rows that tie on it be interchangeable.
+    ``order_by`` should be a total order, or rows that tie on it be interchangeable.
     """
-    return _numbered(df, order_by, name, label)[0]
+    path = fresh_path(df.sparkSession, label)
+    write_numbered(df, order_by, path)
+    return read_numbered(df.sparkSession, path, name)
 
 
-def _serial(df: DataFrame, order_by: list[str], source: str, ranges: SerialRanges) -> DataFrame:
-    numbered, rows = _numbered(df, order_by, "master_seq", f"seq-{source}")
-    ranges.check(source, rows)
-    return numbered.withColumn("master_seq", F.col("master_seq") + F.lit(ranges.base(source)))
+def _serial(
+    df: DataFrame, order_by: list[str], source: str, ranges: SerialRanges, path: str | None
+) -> DataFrame:
+    path = path or fresh_path(df.sparkSession, f"seq-{source}")
+    ranges.check(source, write_numbered(df, order_by, path))
+    return read_numbered(df.sparkSession, path, "master_seq", ranges.base(source))
 
 
 def keyed_lines(
-    lines: DataFrame, t20: DataFrame, source: str, ranges: SerialRanges = RANGES
+    lines: DataFrame,
+    t20: DataFrame,
+    source: str,
+    ranges: SerialRanges = RANGES,
+    path: str | None = None,
 ) -> DataFrame:
-    """Claim lines with their header columns and master serial, stored once.
+    """Claim lines with their header columns and master serial, stored once under ``path``.
 
     Lines without a header get no serial. Serials follow (key_seq, seq_no). Every event
     operator reads this stage, so the joins line-header and line-serial happen once and not
     once per target table.
     """
     joined = lines.join(_header(t20), "key_seq")
-    return _serial(joined, ["key_seq", "seq_no"], source, ranges)
+    return _serial(joined, ["key_seq", "seq_no"], source, ranges, path)
+
+
+def read_keyed_lines(
+    spark: SparkSession, path: str, source: str, ranges: SerialRanges = RANGES
+) -> DataFrame:
+    """Keyed lines stored by an earlier run."""
+    return read_numbered(spark, path, "master_seq", ranges.base(source))
 
 
 def join_master(lines: DataFrame, t20: DataFrame, seq: DataFrame, source: str) -> DataFrame:
@@ -142,7 +176,7 @@ def yearly_master(
 ) -> DataFrame:
     """Serial of each distinct (year, person) of the screening or eligibility table."""
     years = df.select(year, "person_id").distinct()
-    return _serial(years, [year, "person_id"], source, ranges)
+    return _serial(years, [year, "person_id"], source, ranges, None)
 
 
 def seq_master(

@@ -34,6 +34,7 @@ STAGES = (
     "dose_era",
     "data_cleansing",
 )
+SOURCES = {"t30": keys.TREATMENT, "t40": keys.DIAGNOSIS, "t60": keys.PRESCRIPTION}
 CLEANSED = {
     "visit_occurrence": cleanse.cleanse_visit,
     "condition_occurrence": cleanse.cleanse_condition,
@@ -107,20 +108,24 @@ def run_etl(
         )
 
     def master():
-        for name, source in (("t30", "130"), ("t40", "140"), ("t60", "160")):
-            keyed = keys.keyed_lines(raw[name], raw["t20"], source, ranges)
-            tables.write_work(f"keyed_{name}", keyed)
+        for name, source in SOURCES.items():
+            keys.keyed_lines(raw[name], raw["t20"], source, ranges, f"{tables.out}/keyed_{name}")
         seq = keys.seq_master(
-            tables["keyed_t30"],
-            tables["keyed_t40"],
-            tables["keyed_t60"],
+            *(keyed(name) for name in SOURCES),
             keys.yearly_master(raw["gj"], "hchk_year", keys.SCREENING, ranges),
             keys.yearly_master(raw["jk"], "stnd_y", keys.ELIGIBILITY, ranges),
         )
         tables.write_work("seq_master", seq, ("source_table",))
 
+    def keyed(name: str) -> DataFrame:
+        path = f"{tables.out}/keyed_{name}"
+        try:
+            return keys.read_keyed_lines(spark, path, SOURCES[name], ranges)
+        except AnalysisException as error:
+            raise KeyError(f"keyed lines of {name} are not stored: run stage master") from error
+
     def lines() -> tuple[DataFrame, DataFrame]:
-        return tables["keyed_t30"], tables["keyed_t60"]
+        return keyed("t30"), keyed("t60")
 
     def make_eras():
         tables.write("drug_era", eras.drug_era(tables["drug_exposure"], ancestor, concept))
@@ -166,7 +171,7 @@ def run_etl(
         ),
         "condition_occurrence": lambda: tables.write(
             "condition_occurrence",
-            events.condition_occurrence(tables["keyed_t40"], tables["observation_period"], tables["code_map"]
+            events.condition_occurrence(keyed("t40"), tables["observation_period"], tables["code_map"]
             ),
         ),
         "observation": lambda: tables.write(

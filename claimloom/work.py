@@ -26,10 +26,14 @@ def work_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    return f"{work_root(spark)}/claimloom/{name}-{uuid.uuid4().hex}"
+
+
 def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once as Parquet under a fresh folder and return the stored table."""
     spark = df.sparkSession
-    path = f"{work_root(spark)}/claimloom/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
     # The schema is passed in, so partition values keep their type.
     return spark.read.schema(df.schema).parquet(path)

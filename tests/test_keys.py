@@ -76,6 +76,15 @@ def test_keyed_lines_and_master(spark):
     assert rows(rebuilt.select(keyed.columns)) == rows(keyed)
 
 
+def test_numbered_tables_survive_the_run(spark, tmp_path):
+    path = str(tmp_path / "numbered")
+    assert keys.write_numbered(spark.range(100).repartition(3), ["id"], path) == 100
+    again = keys.read_numbered(spark, path, "n", 1000)
+    assert rows(again.where("n - 1001 <> id")) == [] and again.count() == 100
+    empty = keys.write_numbered(spark.range(0), ["id"], str(tmp_path / "empty"))
+    assert empty == 0 and keys.read_numbered(spark, str(tmp_path / "empty"), "n").count() == 0
+
+
 def test_unmapped_codes_drop_null(spark):
     lines = spark.createDataFrame([("a",), ("b",), (None,)], "code string")
     mapping = spark.createDataFrame([("a", 1)], "source_code string, target_concept_id int")
