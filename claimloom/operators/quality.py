@@ -187,25 +187,24 @@ def dq_condition_raw(counts: DataFrame, code_map: DataFrame) -> DataFrame:
 # --- measurements -------------------------------------------------------------------------
 
 
-def _screening_hits(
-    gj: DataFrame, measurement_map: DataFrame, items: tuple[str, ...], at_least: bool
-) -> DataFrame:
+def _screening_hits(gj: DataFrame, items: tuple[str, ...], rules: DataFrame) -> DataFrame:
     """Answers that map, times the screening rows of the person-year they are joined back to."""
     answers = screening.gj_vertical(gj, items).where(F.col("meas_value") != "")
-    hits = screening._match(answers, measurement_map, at_least)
+    hits = screening.match_rules(answers, rules)
     copies = gj.groupBy("person_id", "hchk_year").agg(F.count("*").alias("copies"))
     per_year = hits.groupBy("person_id", "hchk_year").agg(F.count("*").alias("hits"))
     return per_year.join(copies, ["person_id", "hchk_year"]).agg(
-        F.coalesce(F.sum(F.col("hits") * F.col("copies")), F.lit(0)).alias("count")
+        _sum(F.col("hits") * F.col("copies"))
     )
 
 
 def dq_measurement_numeric(gj: DataFrame, measurement_map: DataFrame) -> DataFrame:
-    return _screening_hits(gj, measurement_map, screening.NUMERIC_ITEMS, True)
+    rules = screening.numeric_rules(measurement_map)
+    return _screening_hits(gj, screening.NUMERIC_ITEMS, rules)
 
 
 def dq_measurement_coded(gj: DataFrame, measurement_map: DataFrame) -> DataFrame:
-    return _screening_hits(gj, measurement_map, screening.CODED_ITEMS, False)
+    return _screening_hits(gj, screening.CODED_ITEMS, screening.coded_rules(measurement_map))
 
 
 def dq_item_counts(gj: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ unpivoted, so the shuffle carries one row per screening and not one per item.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,9 +40,12 @@ EARLY_YEARS = ("2002", "2003", "2004", "2005", "2006", "2007", "2008")
 LATE_YEARS = ("2009", "2010", "2011", "2012", "2013")
 # End of fixed values.
 
+DRINK_ITEMS = (DRINK_HABIT, DRINK_QUANTITY)
+CODED_ANSWERS = (*HISTORY_ITEMS, *FAMILY_ITEMS, *HABIT_ITEMS)
+ANY_YEAR = ("0000", "9999")
 GJ_ITEMS = (
     *NUMERIC_ITEMS, *CODED_ITEMS, *HISTORY_ITEMS, *FAMILY_ITEMS, *HABIT_ITEMS,
-    DRINK_HABIT, DRINK_QUANTITY, *CONTINUOUS_ITEMS,
+    *DRINK_ITEMS, *CONTINUOUS_ITEMS,
 )
 
 
@@ -69,83 +74,125 @@ def jk_vertical(jk: DataFrame) -> DataFrame:
     )
 
 
-def _answers(
-    gj: DataFrame, seq: DataFrame, items: tuple[str, ...], years: tuple[str, ...] = ()
+def _rules(
+    items_map: DataFrame,
+    prefix: str,
+    items: tuple[str, ...],
+    at_least: bool,
+    years: tuple[str, ...] = ANY_YEAR,
+    unit: bool = True,
 ) -> DataFrame:
-    columns = ["hchk_year", "person_id", *[i.lower() for i in items]]
-    rows = gj.select(*columns)
-    if years:
-        rows = rows.where(F.col("hchk_year").isin(*years))
-    return gj_vertical(screening_master(rows, seq), items).where(F.col("meas_value") != "")
+    """Rows of a fixed item map with how, and in which years, an answer meets them."""
+    unit_column = F.col(f"{prefix}_unit_concept_id") if unit else codes.null("int")
+    return items_map.where(F.col("meas_type").isin(*items)).select(
+        F.col("meas_type").alias("item"),
+        "id_value",
+        F.col("answer").cast("string").alias("answer"),
+        F.col(f"{prefix}_concept_id").alias("item_concept_id"),
+        F.col(f"{prefix}_type_concept_id").alias("item_type_concept_id"),
+        unit_column.alias("unit_concept_id"),
+        "value_as_concept_id",
+        "value_as_number",
+        F.lit(at_least).alias("at_least"),
+        F.lit(years[0]).alias("first_year"),
+        F.lit(years[-1]).alias("last_year"),
+    )
 
 
-def _match(answers: DataFrame, items_map: DataFrame, at_least: bool) -> DataFrame:
-    """Join with an item map of under a hundred fixed rows, hence the broadcast.
+def match_rules(answers: DataFrame, rules: DataFrame) -> DataFrame:
+    """Join answers with the rules: under a hundred fixed rows, hence the broadcast.
 
-    ``at_least`` compares as text: any value that starts with a digit passes, '-5' does not.
+    Values are compared as text. For "at least" rules any value that starts with a digit
+    passes, '-5' does not.
     """
-    answer = F.col("answer").cast("string")
-    test = F.col("meas_value") >= answer if at_least else F.col("meas_value") == answer
-    on = (F.col("meas_type") == F.col("map_type")) & test
-    return answers.join(F.broadcast(items_map.withColumnRenamed("meas_type", "map_type")), on)
+    value, answer = F.col("meas_value"), F.col("answer")
+    met = F.when(F.col("at_least"), value >= answer).otherwise(value == answer)
+    year = F.col("hchk_year").between(F.col("first_year"), F.col("last_year"))
+    return answers.join(F.broadcast(rules), (F.col("meas_type") == F.col("item")) & year & met)
+
+
+def _answers(gj: DataFrame, seq: DataFrame, items: tuple[str, ...]) -> DataFrame:
+    columns = ["hchk_year", "person_id", *[i.lower() for i in items]]
+    return gj_vertical(screening_master(gj.select(*columns), seq), items).where(
+        F.col("meas_value") != ""
+    )
 
 
-def _observation(rows: DataFrame, value: str, unit: bool, visit: bool) -> DataFrame:
+def _observation(rows: DataFrame, value: str, visit: bool) -> DataFrame:
     number = F.coalesce(F.col("value_as_number"), codes.number(F.col(value)))
     return rows.select(
         codes.screening_id(F.col("master_seq"), F.col("id_value")).alias("observation_id"),
         "person_id",
-        "observation_concept_id",
+        F.col("item_concept_id").alias("observation_concept_id"),
         codes.first_day(F.col("hchk_year")).alias("observation_date"),
-        "observation_type_concept_id",
+        F.col("item_type_concept_id").alias("observation_type_concept_id"),
         number.alias("value_as_number"),
         "value_as_concept_id",
-        (F.col("observation_unit_concept_id") if unit else codes.null("int")).alias(
-            "unit_concept_id"
-        ),
+        "unit_concept_id",
         (F.col("master_seq") if visit else codes.null("bigint")).alias("visit_occurrence_id"),
         F.col(value).alias("observation_source_value"),
     )
 
 
-def observation_categorical(gj: DataFrame, seq: DataFrame, observation_map: DataFrame) -> DataFrame:
-    """Coded answers. Drinking items count up to 2008; the unit is not carried over.
+def _screened(
+    gj: DataFrame, seq: DataFrame, items: tuple[str, ...], rules: list[DataFrame]
+) -> DataFrame:
+    """Observations of the given items: one join with the serial, one unpivot, one rule join.
 
     Family history was answered 1/2 up to 2008 and 0/1 afterwards; early answers shift by one.
     """
-    items = (*HISTORY_ITEMS, *FAMILY_ITEMS, *HABIT_ITEMS, DRINK_HABIT, DRINK_QUANTITY)
     early = F.col("hchk_year").isin(*EARLY_YEARS)
     shifted = (F.col("meas_value").try_cast("int") - 1).cast("string")
     value = F.when(F.col("meas_type").isin(*FAMILY_ITEMS) & early, shifted).otherwise(
         F.col("meas_value")
     )
-    answers = (
-        _answers(gj, seq, items)
-        .where(~F.col("meas_type").isin(DRINK_HABIT, DRINK_QUANTITY) | early)
-        .withColumn("meas_value", value)
-    )
-    return _observation(_match(answers, observation_map, False), "meas_value", False, True)
+    answers = _answers(gj, seq, items)
+    if set(items) & set(FAMILY_ITEMS):
+        answers = answers.withColumn("meas_value", value)
+    return _observation(match_rules(answers, reduce(DataFrame.unionByName, rules)), "meas_value", True)
+
+
+def _categorical_rules(observation_map: DataFrame) -> list[DataFrame]:
+    """Coded answers. Drinking items count up to 2008; the unit is not carried over."""
+    return [
+        _rules(observation_map, "observation", CODED_ANSWERS, False, unit=False),
+        _rules(observation_map, "observation", DRINK_ITEMS, False, EARLY_YEARS, unit=False),
+    ]
+
+
+def _continuous_rules(observation_map: DataFrame) -> list[DataFrame]:
+    return [_rules(observation_map, "observation", CONTINUOUS_ITEMS, True)]
+
+
+def _quantity_2009_rules(map_2009: DataFrame) -> list[DataFrame]:
+    return [_rules(map_2009, "observation", (DRINK_QUANTITY,), True, LATE_YEARS)]
+
+
+def _habit_2009_rules(map_2009: DataFrame) -> list[DataFrame]:
+    return [_rules(map_2009, "observation", (DRINK_HABIT,), False, LATE_YEARS)]
+
+
+def observation_categorical(gj: DataFrame, seq: DataFrame, observation_map: DataFrame) -> DataFrame:
+    items = (*CODED_ANSWERS, *DRINK_ITEMS)
+    return _screened(gj, seq, items, _categorical_rules(observation_map))
 
 
 def observation_continuous(gj: DataFrame, seq: DataFrame, observation_map: DataFrame) -> DataFrame:
-    answers = _answers(gj, seq, CONTINUOUS_ITEMS)
-    return _observation(_match(answers, observation_map, True), "meas_value", True, True)
+    return _screened(gj, seq, CONTINUOUS_ITEMS, _continuous_rules(observation_map))
 
 
 def observation_drink_2009_quantity(gj: DataFrame, seq: DataFrame, map_2009: DataFrame) -> DataFrame:
-    answers = _answers(gj, seq, (DRINK_QUANTITY,), LATE_YEARS)
-    return _observation(_match(answers, map_2009, True), "meas_value", True, True)
+    return _screened(gj, seq, (DRINK_QUANTITY,), _quantity_2009_rules(map_2009))
 
 
 def observation_drink_2009_habit(gj: DataFrame, seq: DataFrame, map_2009: DataFrame) -> DataFrame:
-    answers = _answers(gj, seq, (DRINK_HABIT,), LATE_YEARS)
-    return _observation(_match(answers, map_2009, False), "meas_value", True, True)
+    return _screened(gj, seq, (DRINK_HABIT,), _habit_2009_rules(map_2009))
 
 
 def observation_income(jk: DataFrame, seq: DataFrame, observation_map: DataFrame) -> DataFrame:
     """Income decile of the eligibility row, matched as a number; carries no visit."""
     serial = seq.where(F.col("source_table") == "JKT").select("master_seq", "person_id", "stnd_y")
-    income = F.broadcast(observation_map.where(F.col("meas_type") == INCOME_ITEM))
+    rules = _rules(observation_map, "observation", (INCOME_ITEM,), False)
     rows = (
         jk.select(
             "person_id",
@@ -154,53 +201,69 @@ def observation_income(jk: DataFrame, seq: DataFrame, observation_map: DataFrame
         )
         .where(F.col("jk_value") != "")
         .join(serial, ["person_id", "stnd_y"])
-        .join(income, F.col("jk_value").try_cast("int") == F.col("answer"))
+        .join(
+            F.broadcast(rules.withColumn("answer", F.col("answer").cast("int"))),
+            F.col("jk_value").try_cast("int") == F.col("answer"),
+        )
         .withColumnRenamed("stnd_y", "hchk_year")
     )
-    return _observation(rows, "jk_value", True, False)
+    return _observation(rows, "jk_value", False)
 
 
 def observation(
     gj: DataFrame, jk: DataFrame, seq: DataFrame, observation_map: DataFrame, map_2009: DataFrame
 ) -> DataFrame:
-    return (
-        observation_categorical(gj, seq, observation_map)
-        .unionByName(observation_continuous(gj, seq, observation_map))
-        .unionByName(observation_drink_2009_quantity(gj, seq, map_2009))
-        .unionByName(observation_drink_2009_habit(gj, seq, map_2009))
-        .unionByName(observation_income(jk, seq, observation_map))
+    """All observations; the four screening branches share one pass over the screenings."""
+    rules = [
+        *_categorical_rules(observation_map),
+        *_continuous_rules(observation_map),
+        *_quantity_2009_rules(map_2009),
+        *_habit_2009_rules(map_2009),
+    ]
+    items = (*CODED_ANSWERS, *DRINK_ITEMS, *CONTINUOUS_ITEMS)
+    return _screened(gj, seq, items, rules).unionByName(
+        observation_income(jk, seq, observation_map)
     )
 
 
-def _measurement(rows: DataFrame) -> DataFrame:
-    return rows.select(
+def _measured(
+    gj: DataFrame, seq: DataFrame, items: tuple[str, ...], rules: DataFrame
+) -> DataFrame:
+    return match_rules(_answers(gj, seq, items), rules).select(
         codes.screening_id(F.col("master_seq"), F.col("id_value")).alias("measurement_id"),
         "person_id",
-        "measurement_concept_id",
+        F.col("item_concept_id").alias("measurement_concept_id"),
         codes.first_day(F.col("hchk_year")).alias("measurement_date"),
-        "measurement_type_concept_id",
+        F.col("item_type_concept_id").alias("measurement_type_concept_id"),
         F.col("value_as_number").cast("double").alias("value_as_number"),
         "value_as_concept_id",
-        F.col("measurement_unit_concept_id").alias("unit_concept_id"),
+        "unit_concept_id",
         F.col("master_seq").alias("visit_occurrence_id"),
         F.col("meas_value").alias("measurement_source_value"),
         F.col("meas_value").alias("value_source_value"),
     )
 
 
+def numeric_rules(measurement_map: DataFrame) -> DataFrame:
+    return _rules(measurement_map, "measurement", NUMERIC_ITEMS, True)
+
+
+def coded_rules(measurement_map: DataFrame) -> DataFrame:
+    return _rules(measurement_map, "measurement", CODED_ITEMS, False)
+
+
 def measurement_continuous(gj: DataFrame, seq: DataFrame, measurement_map: DataFrame) -> DataFrame:
-    return _measurement(_match(_answers(gj, seq, NUMERIC_ITEMS), measurement_map, True))
+    return _measured(gj, seq, NUMERIC_ITEMS, numeric_rules(measurement_map))
 
 
 def measurement_categorical(gj: DataFrame, seq: DataFrame, measurement_map: DataFrame) -> DataFrame:
-    return _measurement(_match(_answers(gj, seq, CODED_ITEMS), measurement_map, False))
+    return _measured(gj, seq, CODED_ITEMS, coded_rules(measurement_map))
 
 
 def measurement(gj: DataFrame, seq: DataFrame, measurement_map: DataFrame) -> DataFrame:
     """value_as_number stays NULL as in the source system; see :func:`measurement_fill_value`."""
-    return measurement_continuous(gj, seq, measurement_map).unionByName(
-        measurement_categorical(gj, seq, measurement_map)
-    )
+    rules = numeric_rules(measurement_map).unionByName(coded_rules(measurement_map))
+    return _measured(gj, seq, (*NUMERIC_ITEMS, *CODED_ITEMS), rules)
 
 
 def measurement_fill_value(measurements: DataFrame) -> DataFrame:
