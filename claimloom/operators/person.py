@@ -14,14 +14,16 @@ from .vocab import CONDITION, used
 
 
 def person_latest(jk: DataFrame) -> DataFrame:
-    """Sex and region of the last year; ties and duplicate rows all stay."""
-    kept = jk.groupBy("person_id", "stnd_y", "sex", "sgg").agg(F.count("*").alias("_copies"))
-    last = F.max("stnd_y").over(Window.partitionBy("person_id"))
+    """Sex and region of the last year; ties and duplicate rows all stay.
+
+    The last year is aggregated (map-side first) and joined back, so no window ever holds
+    the rows of a person.
+    """
+    last = jk.groupBy("person_id").agg(F.max("stnd_y").alias("stnd_y"))
     return (
-        kept.withColumn("_last", last)
-        .where(F.col("stnd_y") == F.col("_last"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-        .select("person_id", "sex", "sgg")
+        jk.select("person_id", "stnd_y", "sex", "sgg")
+        .join(last, ["person_id", "stnd_y"])
+        .drop("stnd_y")
     )
 
 
@@ -35,7 +37,7 @@ def age_group_profile(jk: DataFrame) -> DataFrame:
 
 
 def birth_year(jk: DataFrame) -> DataFrame:
-    """Estimated birth year and the rule that gave it, from one shuffle by person.
+    """Estimated birth year and the rule that gave it, in one pass over the age bands.
 
     A band holds five years. The band that shows a person for exactly five years, or whose
     entry year is known from the preceding band, gives the year; otherwise the first seen
@@ -43,26 +45,14 @@ def birth_year(jk: DataFrame) -> DataFrame:
     chosen year give several rows per person, and rule 1 on the newborn band gives year + 5:
     all as in the source system.
     """
-    rows = (
-        jk.groupBy("person_id", "stnd_y", "age_group")
-        .agg(F.count("*").alias("copies"), F.count("age_group").alias("banded"))
-        .repartition("person_id")
-    )
     person = Window.partitionBy("person_id")
     by_band = person.orderBy("age_group")
     band = F.col("age_group")
     follows = (F.lag("age_group").over(by_band) + 1 == band) & (
         F.lag("max_year").over(by_band) + 1 == F.col("min_year")
     )
-    bands = (
-        rows.groupBy("person_id", "age_group")
-        .agg(
-            F.sum("banded").alias("n"),
-            F.min("stnd_y").alias("min_year"),
-            F.max("stnd_y").alias("max_year"),
-        )
-        .withColumn("follows", F.coalesce(follows, F.lit(False)))
-    )
+    # At most one row per band reaches the person windows.
+    bands = age_group_profile(jk).withColumn("follows", F.coalesce(follows, F.lit(False)))
     full, longer = F.col("n") == 5, F.col("n") > 5
     facts = bands.select(
         "*",
@@ -70,11 +60,13 @@ def birth_year(jk: DataFrame) -> DataFrame:
         F.max(F.when(full, band)).over(person).alias("full_band"),
         F.max("n").over(person).alias("max_n"),
         F.min(band).over(person).alias("low_band"),
-        F.min(F.when(F.col("follows"), F.col("min_year"))).over(person).alias("change_year"),
+        F.min(F.when(F.col("follows"), F.struct("min_year", "age_group")))
+        .over(person)
+        .alias("change"),
     )
     many, short = F.col("bands") > 1, F.col("max_n") < 5
     newborn = F.col("low_band") == 0
-    no_full, no_change = F.col("full_band").isNull(), F.col("change_year").isNull()
+    no_full, no_change = F.col("full_band").isNull(), F.col("change").isNull()
     # (rule, what holds for the person, which of the person's bands is chosen)
     rules = (
         ("1", many & ~no_full, band == F.col("full_band")),
@@ -82,7 +74,7 @@ def birth_year(jk: DataFrame) -> DataFrame:
         (
             "3-1",
             many & short & ~newborn & ~no_change,
-            F.col("follows") & (F.col("min_year") == F.col("change_year")),
+            F.struct("min_year", "age_group") == F.col("change"),
         ),
         ("3-2", many & short & ~newborn & no_change, band == F.col("low_band")),
         ("4", many & no_full & ~short, longer),
@@ -97,17 +89,14 @@ def birth_year(jk: DataFrame) -> DataFrame:
     chosen = (
         facts.withColumn("rule", rule)
         .where(F.col("rule").isNotNull())
-        .select("person_id", "rule", F.col("min_year").alias("chosen_year"))
+        .select("person_id", "rule", F.col("min_year").alias("stnd_y"))
     )
-    # The chosen year is looked up in the eligibility rows: both sides keep the person
-    # partitioning, and a person has at most years x bands rows on either.
     year = F.when(F.col("rule").isin("2", "6"), F.col("stnd_y")).otherwise(
         F.col("stnd_y") - (band - 1) * 5
     )
+    rows = jk.select("person_id", "stnd_y", "age_group")
     return (
-        chosen.join(rows, "person_id")
-        .where(F.col("stnd_y") == F.col("chosen_year"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+        rows.join(chosen, ["person_id", "stnd_y"])
         .select("person_id", year.cast("int").alias("year_of_birth"), "rule")
     )
 

@@ -46,9 +46,13 @@ def test_birth_year_quirks(spark):
         2: [(y, 3) for y in range(1990, 1996)] + [(y, 4) for y in range(1996, 2002)],
         # a repeated row of the chosen year repeats the person
         3: [(2009, 2), (2009, 2)],
+        # two bands that both continue in the same year count that year once
+        4: [(2005, 2), (2006, 3), (2005, 6), (2006, 7)],
     }
     got = rows(person.birth_year(eligibility(spark, data)), "person_id", "year_of_birth")
-    assert got == [(1, 2009), (2, 1980), (2, 1981), (3, 2004), (3, 2004)]
+    assert got == [
+        (1, 2009), (2, 1980), (2, 1981), (3, 2004), (3, 2004), (4, 1976), (4, 1996),
+    ]
 
 
 def test_copies_collapse_before_the_person_window(spark):
