@@ -203,7 +203,7 @@ for _own, _other in (("procedure", "device"), ("device", "procedure")):
         lambda s, a=_own, b=_other: vocab.exclusive_mapping(s.source_map, s.concept, a, b), f"x_{_own}",
     )
 query(
-    "code_map", "use:string source_code:string target_concept_id rn",
+    "code_map", "use:string source_code:string target_concept_id rn targets",
     lambda s: s.fresh("code_map"), "code_map",
 )
 query(

@@ -27,13 +27,16 @@ MEASUREMENT_ITEMS = screening.NUMERIC_ITEMS + screening.CODED_ITEMS
 
 
 def code_counts(lines: DataFrame, code: str = "div_cd") -> DataFrame:
-    """Lines per code (and line type): all that mapping coverage depends on.
+    """Lines per code and line type: all that mapping coverage depends on.
 
     One scan with a map-side count turns the lines into a vocabulary-sized table; every
     coverage report reads that and no report touches the lines again.
     """
-    by = ["div_type_cd", code] if "div_type_cd" in lines.columns else [code]
-    return lines.groupBy(*by).agg(F.count("*").alias("lines"))
+    typed = "div_type_cd" in lines.columns
+    line_type = F.col("div_type_cd") if typed else codes.null("string")
+    return lines.groupBy(line_type.alias("div_type_cd"), F.col(code).alias("code")).agg(
+        F.count("*").alias("lines")
+    )
 
 
 def _sum(column: Column) -> Column:
@@ -41,7 +44,9 @@ def _sum(column: Column) -> Column:
 
 
 def _mapped(counts: DataFrame, mapping: DataFrame, code: Column) -> DataFrame:
-    return counts.join(vocab.target_counts(mapping), code == F.col("source_code"))
+    """Codes of the given part of the code map, with their number of targets."""
+    per_code = mapping.where(F.col("rn") == 1).select("source_code", "targets")
+    return counts.join(per_code, code == F.col("source_code"))
 
 
 def _rows(counts: DataFrame, mapping: DataFrame, code: Column) -> DataFrame:
@@ -72,18 +77,18 @@ def _once(counts: DataFrame) -> DataFrame:
 
 
 def dq_drug_mapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
-    return _histogram(counts, vocab.used(code_map, vocab.DRUG), F.col("div_cd"), [])
+    return _histogram(counts, vocab.used(code_map, vocab.DRUG), F.col("code"), [])
 
 
 def dq_drug_unmapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
     drug = counts.where(F.col("div_type_cd").isin(*DRUG_LINES))
-    return _unmapped(drug, vocab.used(code_map, vocab.DRUG), F.col("div_cd"))
+    return _unmapped(drug, vocab.used(code_map, vocab.DRUG), F.col("code"))
 
 
 def dq_drug_raw(counts: DataFrame, code_map: DataFrame) -> DataFrame:
     drug_line = F.col("div_type_cd").isin(*DRUG_LINES)
     mapping = vocab.used(code_map, vocab.DRUG)
-    other = _histogram(counts.where(~drug_line), mapping, F.col("div_cd"), ["div_type_cd"])
+    other = _histogram(counts.where(~drug_line), mapping, F.col("code"), ["div_type_cd"])
     return other.unionByName(_once(counts.where(drug_line)))
 
 
@@ -91,7 +96,7 @@ def dq_drug_raw(counts: DataFrame, code_map: DataFrame) -> DataFrame:
 
 
 def _prefix() -> Column:
-    return F.substring("div_cd", 1, 5)
+    return F.substring("code", 1, 5)
 
 
 def _candidates(counts: DataFrame) -> DataFrame:
@@ -136,18 +141,18 @@ def _devices(counts: DataFrame) -> DataFrame:
 
 def dq_device_mapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
     lines = counts.where(~F.col("div_type_cd").isin(*PROCEDURE_LINES, *DRUG_LINES))
-    return _rows(lines, vocab.used(code_map, vocab.DEVICE_ONLY), F.col("div_cd"))
+    return _rows(lines, vocab.used(code_map, vocab.DEVICE_ONLY), F.col("code"))
 
 
 def dq_device_ambiguous(counts: DataFrame, code_map: DataFrame) -> DataFrame:
     return _rows(
-        _devices(counts), vocab.used(code_map, vocab.DEVICE_AMBIGUOUS), F.col("div_cd")
+        _devices(counts), vocab.used(code_map, vocab.DEVICE_AMBIGUOUS), F.col("code")
     )
 
 
 def dq_device_unmapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
     either = vocab.used(code_map, vocab.DEVICE_ONLY, vocab.DEVICE_AMBIGUOUS)
-    return _unmapped(_devices(counts), either, F.col("div_cd"))
+    return _unmapped(_devices(counts), either, F.col("code"))
 
 
 def dq_device_raw(counts: DataFrame, code_map: DataFrame) -> DataFrame:
@@ -155,7 +160,7 @@ def dq_device_raw(counts: DataFrame, code_map: DataFrame) -> DataFrame:
         ~F.col("div_type_cd").isin(*PROCEDURE_LINES, *DRUG_LINES, *DEVICE_LINES)
     )
     mapping = vocab.used(code_map, vocab.DEVICE_ONLY)
-    return _histogram(other, mapping, F.col("div_cd"), ["div_type_cd"]).unionByName(
+    return _histogram(other, mapping, F.col("code"), ["div_type_cd"]).unionByName(
         _once(_devices(counts))
     )
 
@@ -164,17 +169,17 @@ def dq_device_raw(counts: DataFrame, code_map: DataFrame) -> DataFrame:
 
 
 def dq_condition_mapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
-    return _rows(counts, vocab.used(code_map, vocab.CONDITION), F.col("sick_sym"))
+    return _rows(counts, vocab.used(code_map, vocab.CONDITION), F.col("code"))
 
 
 def dq_condition_unmapped(counts: DataFrame, code_map: DataFrame) -> DataFrame:
     known = vocab.used(code_map, vocab.CONDITION, vocab.ELSEWHERE)
-    return _unmapped(counts, known, F.col("sick_sym"))
+    return _unmapped(counts, known, F.col("code"))
 
 
 def dq_condition_raw(counts: DataFrame, code_map: DataFrame) -> DataFrame:
     mapped = _histogram(
-        counts, vocab.used(code_map, vocab.CONDITION), F.col("sick_sym"), []
+        counts, vocab.used(code_map, vocab.CONDITION), F.col("code"), []
     ).select(F.lit("condition").alias("domain_id"), "multimapped", "count")
     rest = dq_condition_unmapped(counts, code_map).select(
         F.lit("Unclassified").alias("domain_id"),
@@ -250,7 +255,8 @@ def dq_expected_rows(counts: DataFrame, source_map: DataFrame, domain: str) -> D
     valid = source_map.where((F.col("domain_id") == domain) & F.col("invalid_reason").isNull())
     lines, targets = F.col("lines"), F.col("targets")
     several = targets > 1
-    return _mapped(counts, valid, F.col("div_cd")).agg(
+    hits = counts.join(vocab.target_counts(valid), F.col("code") == F.col("source_code"))
+    return hits.agg(
         _sum(lines * targets).alias("expected_rows"),
         _sum(lines).alias("expected_lines"),
         _sum(F.when(several, lines * (targets - 1))).alias("extra_rows"),

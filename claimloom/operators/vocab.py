@@ -110,7 +110,7 @@ def exclusive_mapping(
 
 
 def target_rank(mapping: DataFrame, descending: bool = False) -> DataFrame:
-    """Add ``rn``, the order of a target among the targets of its code.
+    """Add ``rn``, the order of a target among the targets of its code, and their number.
 
     (key_seq, seq_no) is the key of a claim line and a line meets all targets of its one
     code, so numbering the targets per line equals numbering them per code. The window runs
@@ -118,8 +118,9 @@ def target_rank(mapping: DataFrame, descending: bool = False) -> DataFrame:
     """
     target = F.col("target_concept_id")
     order = target.desc() if descending else target.asc()
-    return mapping.withColumn(
-        "rn", F.row_number().over(Window.partitionBy("source_code").orderBy(order))
+    code = Window.partitionBy("source_code")
+    return mapping.withColumns(
+        {"rn": F.row_number().over(code.orderBy(order)), "targets": F.count("*").over(code)}
     )
 
 
@@ -135,7 +136,7 @@ def map_codes_prefix(df: DataFrame, mapping: DataFrame, code: Column, length: in
 
 def unmapped_codes(df: DataFrame, mapping: DataFrame, code: Column) -> DataFrame:
     """Rows whose code is NOT IN the map. A NULL code is neither in nor not in: no row."""
-    codes = mapping.select("source_code").distinct()
+    codes = mapping.select("source_code")
     return df.where(code.isNotNull()).join(codes, code == F.col("source_code"), "left_anti")
 
 
@@ -143,10 +144,11 @@ def unmapped_codes(df: DataFrame, mapping: DataFrame, code: Column) -> DataFrame
 DRUG, CONDITION, ELSEWHERE = "drug", "condition", "elsewhere"
 PROCEDURE, PROCEDURE_ONLY, PROCEDURE_AMBIGUOUS = "procedure", "procedure_only", "procedure_ambiguous"
 DEVICE_ONLY, DEVICE_AMBIGUOUS = "device_only", "device_ambiguous"
+CODE_MAP_COLUMNS = ("source_code", "target_concept_id", "rn", "targets")
 
 
 def code_map(source_map: DataFrame, concept: DataFrame) -> DataFrame:
-    """All maps the conversion uses, in one table (use, source_code, target_concept_id, rn).
+    """All maps the conversion uses, in one table: use, code, target, its rank, targets of the code.
 
     It is vocabulary-sized. The pipeline stores it once, partitioned by use, and every
     target table reads only its part.
@@ -174,13 +176,11 @@ def code_map(source_map: DataFrame, concept: DataFrame) -> DataFrame:
         .select("source_code", F.lit(None).cast("int").alias("target_concept_id"))
     )
     parts = [
-        target_rank(part).select(F.lit(use).alias("use"), "source_code", "target_concept_id", "rn")
+        target_rank(part).select(F.lit(use).alias("use"), *CODE_MAP_COLUMNS)
         for use, part in (*per_domain, *exclusive, *ambiguous, (ELSEWHERE, elsewhere))
     ]
     condition = target_rank(valid.where(F.col("domain_id") == "condition"), descending=True)
-    parts.append(
-        condition.select(F.lit(CONDITION).alias("use"), "source_code", "target_concept_id", "rn")
-    )
+    parts.append(condition.select(F.lit(CONDITION).alias("use"), *CODE_MAP_COLUMNS))
     return reduce(DataFrame.unionByName, parts)
 
 
