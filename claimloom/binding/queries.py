@@ -937,7 +937,7 @@ def _pipeline(s: Stages, stages: tuple[str, ...]) -> DataFrame:
 
 query(
     "run_etl_counts", "table_name:string rows",
-    lambda s: _pipeline(s, etl.STAGES),
+    lambda s: _pipeline(s, etl.CONVERSION),
     " union all ".join(
         f"select '{t}' as table_name, count(*) as rows from "
         + (f"({QUERIES[_CLEANSED[t]].sql}) q" if t in _CLEANSED else f"{{{r}}}")

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
+import time
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import cleanse, eras, events, keys, money, person, screening, visits, vocab
+from .. import schemas
+from ..operators import cleanse, eras, events, keys, money, person, quality, screening, visits, vocab
 from ..sources import seeds, sinks
 from ..work import work_root
 
+log = logging.getLogger(__name__)
+
 STAGES = (
+    "ddl",
     "vocabulary",
     "cdm_source",
     "master",
@@ -32,8 +38,11 @@ STAGES = (
     "cost",
     "eras",
     "dose_era",
+    "constraints",
     "data_cleansing",
 )
+# The conversion proper, without empty tables and integrity reports.
+CONVERSION = tuple(stage for stage in STAGES if stage not in ("ddl", "constraints"))
 SOURCES = {"t30": keys.TREATMENT, "t40": keys.DIAGNOSIS, "t60": keys.PRESCRIPTION}
 CLEANSED = {
     "visit_occurrence": cleanse.cleanse_visit,
@@ -65,6 +74,12 @@ class _Tables:
                 raise KeyError(f"stage output {name} is neither built nor stored") from error
         return self.done[name]
 
+    def __contains__(self, name: str) -> bool:
+        try:
+            return self[name] is not None
+        except KeyError:
+            return False
+
     def write(self, name: str, df: DataFrame) -> None:
         self.done[name] = sinks.write_cdm(df, name, self.out)
 
@@ -89,7 +104,8 @@ def run_etl(
 
     ``raw`` holds jk, t20, t30, t40, t60, gj and yk; ``vocabulary`` holds concept,
     concept_relationship and concept_ancestor, normalised. A stage that is not chosen is
-    read from ``out`` where a later one needs it. Costs and eras see uncleansed events;
+    read from ``out`` where a later one needs it; ``sinks.stage_counts`` counts the result.
+    File order by person and concept is applied at each write, in place of indexes. Costs and eras see uncleansed events;
     cleansed tables go to ``<table>`` below ``out/cleansed``, so a rerun starts from
     unchanged inputs.
     """
@@ -100,6 +116,21 @@ def run_etl(
     tables = _Tables(spark, out)
     concept, ancestor = vocabulary["concept"], vocabulary["concept_ancestor"]
 
+    def create_tables():
+        """Empty tables of the declared layout, for CDM tables that do not exist yet."""
+        for name, schema in schemas.CDM.items():
+            if name not in tables:
+                spark.createDataFrame([], schema).write.parquet(f"{tables.out}/{name}")
+
+    def constraints():
+        """Integrity reports over the tables built so far, as tables below ``checks``."""
+        built = {name: tables[name] for name in schemas.CDM if name in tables}
+        target = _Tables(spark, f"{tables.out}/checks")
+        target.write_work("primary_keys", quality.check_primary_keys(built))
+        target.write_work("foreign_keys", quality.check_foreign_keys(built | vocabulary))
+        target.write_work("not_null", quality.check_not_null(built))
+        tables.done.update({f"checks/{name}": df for name, df in target.done.items()})
+
     def build_maps():
         relationship = vocabulary["concept_relationship"]
         tables.write_work("source_to_concept_map", vocab.build_source_map(concept, relationship))
@@ -145,6 +176,8 @@ def run_etl(
         tables.done.update(target.done)
 
     steps = {
+        "ddl": create_tables,
+        "constraints": constraints,
         "vocabulary": build_maps,
         "cdm_source": lambda: tables.write(
             "cdm_source", sinks.cdm_source(spark, concept, today or dt.date.today())
@@ -223,5 +256,7 @@ def run_etl(
         "data_cleansing": cleansing,
     }
     for stage in chosen:
+        started = time.monotonic()
         steps[stage]()
+        log.info("stage %s took %.1f s", stage, time.monotonic() - started)
     return tables.done

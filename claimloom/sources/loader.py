@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import logging
-import re
 from collections.abc import Iterable
 from functools import reduce
 
@@ -131,9 +130,3 @@ def list_tables(spark: SparkSession, database: str | None = None) -> DataFrame:
         [(t.namespace[0] if t.namespace else None, t.name, t.tableType) for t in tables],
         "database string, table_name string, type string",
     )
-
-
-def year_of(path: str) -> int | None:
-    """The four-digit year in a file name."""
-    match = re.search(r"(?<!\d)(19|20)\d{2}(?!\d)", path.rsplit("/", 1)[-1])
-    return int(match.group()) if match else None

@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -114,8 +114,6 @@ def test_profile(spark):
     assert rows(got, "position", "column_name", "type", "rows") == [
         (0, "k", "int", 2), (1, "t", "string", 2),
     ]
-    assert loader.year_of("/x/nhid_gy20_t1_2010.csv") == 2010
-    assert loader.year_of("/x/none.csv") is None
     assert "database" in loader.list_tables(spark).columns
 
 
