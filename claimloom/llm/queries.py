@@ -17,6 +17,7 @@ from . import (
     secret_scan,
     sharding,
     simhash,
+    substring_dedup,
     token_counts,
     topk,
 )
@@ -84,6 +85,11 @@ def op6_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows, _ = substring_dedup.dedup_substrings(common.table(spark, folder, "documents"), 35)
+    return rows.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(PIECE_BPE)
     docs = common.documents(common.table(spark, folder, "documents"), "text")
