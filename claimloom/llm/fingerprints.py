@@ -64,7 +64,9 @@ def sketch(words: np.ndarray, size: int = WORDS) -> np.ndarray:
     if len(empty):
         tries = PROBES[empty]
         least[empty] = least[tries[np.arange(len(empty)), full[tries].argmax(axis=1)]]
-    return (least & np.uint64((1 << BITS) - 1)).astype(np.uint8)
+    # Low bits of value and bin together: bins that borrowed one value agree by chance one by one.
+    least = (least ^ (np.arange(BINS, dtype=np.uint64) << shift)) * _MIX
+    return ((least ^ (least >> np.uint64(32))) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
 
 
 def pack(bins: np.ndarray) -> str:
