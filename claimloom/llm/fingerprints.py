@@ -3,7 +3,7 @@
 Every word shingle is hashed once; the high bits of the hash name a bin, the least rest of each bin
 is kept. An empty bin takes the value of the bin that a sequence of hashes of its own number hits
 first among the full ones, so that two texts with the same full bins fill the others alike. The low
-``BITS`` bits of each bin are packed into a hex string. Two fingerprints agree in a bin by chance
+``BITS`` bits of each value, hashed with its bin, are packed into a hex string. Two fingerprints agree in a bin by chance
 with probability c = 2 ** -BITS; their likeness is (share of equal bins - c) / (1 - c), cut to 0..1.
 
 Defined cases: null text is empty; fewer words than a shingle make one shingle of all words; a text
@@ -64,9 +64,10 @@ def sketch(words: np.ndarray, size: int = WORDS) -> np.ndarray:
     if len(empty):
         tries = PROBES[empty]
         least[empty] = least[tries[np.arange(len(empty)), full[tries].argmax(axis=1)]]
-    # Low bits of value and bin together: bins that borrowed one value agree by chance one by one.
-    least = (least ^ (np.arange(BINS, dtype=np.uint64) << shift)) * _MIX
-    return ((least ^ (least >> np.uint64(32))) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
+    # Low bits of a hash of value and bin: bins that borrowed one value agree by chance one by one.
+    least = (least + np.arange(1, BINS + 1, dtype=np.uint64) * _MIX) * np.uint64(0xBF58476D1CE4E5B9)
+    least = (least ^ (least >> np.uint64(32))) * _MIX
+    return ((least ^ (least >> np.uint64(29))) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
 
 
 def pack(bins: np.ndarray) -> str:
