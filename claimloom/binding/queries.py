@@ -228,7 +228,7 @@ query(
 )
 query(
     "ingredient_rollup", "drug_exposure_id drug_concept_id ingredient_concept_id",
-    lambda s: vocab.ingredient_rollup(s.drug, s.ancestor, s.concept), "ingredient",
+    lambda s: vocab.ingredient_rollup(s.drug, s.ingredient_map), "ingredient",
 )
 query(
     "place_of_service", "ykiho_id stnd_y ykiho_gubun_cd:string concept_id",
@@ -487,7 +487,7 @@ query(
 
 query(
     "drug_era", "drug_era_id " + DRUG_ERA,
-    lambda s: eras.drug_era(s.drug, s.ancestor, s.concept),
+    lambda s: eras.drug_era(s.drug, s.ingredient_map),
     oracle.numbered(
         "{drug_era}",
         "person_id, drug_concept_id, drug_era_start_date, drug_era_end_date, drug_exposure_count",
@@ -499,7 +499,7 @@ query(
 )
 query(
     "dose_era", "dose_era_id " + DOSE_ERA,
-    lambda s: eras.dose_era(s.drug, s.ancestor, s.concept),
+    lambda s: eras.dose_era(s.drug, s.ingredient_map),
     oracle.numbered(
         "{dose_era}",
         "person_id, drug_concept_id, dose_value, dose_era_start_date, dose_era_end_date",
@@ -527,7 +527,9 @@ for _name, _columns_of, _stage, _key, _start, _end in (
     query(
         f"cleanse_{_name}", _columns_of,
         lambda s, f=getattr(cleanse, f"cleanse_{_name}"), t=_stage: f(getattr(s, t), s.period),
-        oracle.cleansed(_stage, _key, _start, _end),
+        oracle.cleansed_by_id(_stage, _key, _start, _end)
+        if _name == "payer_plan"
+        else oracle.cleansed(_stage, _start, _end),
     )
 query(
     "patch_person", PERSON, lambda s: cleanse.patch_person(s.person, s.overrides),
@@ -606,15 +608,15 @@ for _source in ("30", "60"):
             lambda s, k=_keyed, d=_domain: quality.dq_expected_rows(
                 quality.code_counts(getattr(s, k)), s.source_map, d
             ),
-            "select (select count(*) from {t%s} a, {smap} b, {t20} c where a.div_cd = b.source_code "
-            "and b.domain_id = '%s' and b.invalid_reason is null and a.key_seq = c.key_seq) "
-            "as expected_rows, (select count(*) from {t%s} a, {t20} c where a.key_seq = c.key_seq "
-            "and a.div_cd in (select source_code from {smap} where domain_id = '%s' and "
-            "invalid_reason is null)) as expected_lines, coalesce(sum(x.n), 0) as extra_rows, "
-            "count(*) as multi_mapped_lines from {t%s} a join (select source_code, count(*) - 1 "
-            "as n from {smap} where domain_id = '%s' and invalid_reason is null group by 1 "
-            "having count(*) > 1) x on a.div_cd = x.source_code join {t20} c "
-            "on a.key_seq = c.key_seq" % (_source, _domain, _source, _domain, _source, _domain),
+            f"""
+select coalesce(sum(lines * targets), 0) as expected_rows, coalesce(sum(lines), 0) as expected_lines,
+    coalesce(sum(lines * (targets - 1)), 0) as extra_rows,
+    coalesce(sum(lines) filter (targets > 1), 0) as multi_mapped_lines
+from (select div_cd as source_code, count(*) as lines from {{t{_source}}}
+      where key_seq in (select key_seq from {{t20}}) group by all) used
+join (select source_code, count(*) as targets from {{smap}}
+      where domain_id = '{_domain}' and invalid_reason is null group by all) known
+    using (source_code)""",
         )
     for _field in (
         ("mdcn_exec_freq", "dd_mqty_freq", "dd_exec_freq")
@@ -639,10 +641,12 @@ for _name, _source, _field, _above in (
         lambda s, k=f"t{_source}", c=_field, a=_above: quality.dq_dose_outliers(
             getattr(s, k), s.source_map, s.concept, c, a
         ),
-        f"select a.key_seq, a.seq_no, a.div_cd, a.{_field}, m.target_concept_id, c.concept_name "
-        f"from {{t{_source}}} a join {{smap}} m on a.div_cd = m.source_code "
-        "join {concept} c on c.concept_id = m.target_concept_id where m.domain_id = 'drug' and "
-        + (f"{_number} > 1" if _above else f"{_number} >= 0 and {_number} < 1"),
+        f"""
+select key_seq, seq_no, div_cd, {_field}, target_concept_id, concept_name
+from (select * from {{t{_source}}} where {f"{_number} > 1" if _above else f"{_number} between 0 and 1 and {_number} <> 1"}) line
+join (select source_code as div_cd, target_concept_id, target_concept_id as concept_id
+      from {{smap}} where domain_id = 'drug') drug using (div_cd)
+join {{concept}} using (concept_id)""",
     )
 query(
     "dq_condition_mapped", "count",
@@ -701,11 +705,12 @@ query(
     "person_id drug_exposure_id drug_exposure_start_date:date drug_exposure_end_date:date "
     "observation_period_start_date:date observation_period_end_date:date death_date:date",
     lambda s: quality.dq_outside_period(s.drug, s.period, s.death),
-    "select a.person_id, a.drug_exposure_id, a.drug_exposure_start_date, a.drug_exposure_end_date, "
-    "b.observation_period_start_date, b.observation_period_end_date, c.death_date "
-    "from {drug} a, {period} b, {death} c where a.person_id = b.person_id "
-    "and a.person_id = c.person_id and (a.drug_exposure_start_date < "
-    "b.observation_period_start_date or a.drug_exposure_end_date > b.observation_period_end_date)",
+    """
+select person_id, drug_exposure_id, drug_exposure_start_date, drug_exposure_end_date,
+    observation_period_start_date, observation_period_end_date, death_date
+from {drug} join {period} using (person_id) join {death} using (person_id)
+where not (drug_exposure_start_date >= observation_period_start_date
+    and drug_exposure_end_date <= observation_period_end_date)""",
 )
 
 _DQ_PARTS = []

@@ -21,6 +21,7 @@ from . import raw
 BUILD: dict[str, Callable[[Stages], DataFrame]] = {
     "source_map": lambda s: vocab.build_source_map(s.concept, s.relationship),
     "code_map": lambda s: vocab.code_map(s.source_map, s.concept),
+    "ingredient_map": lambda s: vocab.ingredient_map(s.ancestor, s.concept),
     "person": lambda s: person.person(s.jk),
     "death": lambda s: person.death(s.jk, s.code_map, s.death_map),
     "period": lambda s: person.observation_period(s.jk, s.person, s.death),

@@ -1,7 +1,8 @@
 """Cleansing: events must lie inside one observation period of their person.
 
-A row is kept where its id occurs among the rows that fit, so rows that share an id stay or
-go together, as the delete by id in the source system does.
+The source system deletes by id. Event ids are unique, except where a code has more than nine
+targets (``quality.dq_line_keys`` counts those), so each row is tested by itself. Payer periods,
+whose ids may repeat, are kept or dropped by id.
 """
 
 from __future__ import annotations
@@ -13,67 +14,54 @@ PERIOD = ("observation_period_start_date", "observation_period_end_date")
 
 
 def inside_period(
-    events: DataFrame, periods: DataFrame, key: str, start: str, end: str | None = None
+    events: DataFrame, periods: DataFrame, start: str, end: str | None = None
 ) -> DataFrame:
-    """Events whose id fits a period: equi-join on person with the dates as residual.
+    """Events that fit a period: a semi-join on person with the dates as residual.
 
-    A NULL end never fits. Periods of a person do not overlap, so a row meets at most one.
+    A NULL end never fits.
     """
     first, last = PERIOD
-    spans = periods.select("person_id", *PERIOD)
+    spans = periods.select(F.col("person_id").alias("_person"), *PERIOD)
     fits = (
-        events.select(key, "person_id", start, *([end] if end else []))
-        .join(spans, "person_id")
-        .where((F.col(start) >= F.col(first)) & (F.col(end or start) <= F.col(last)))
-        .select(key)
+        (F.col("person_id") == F.col("_person"))
+        & (F.col(start) >= F.col(first))
+        & (F.col(end or start) <= F.col(last))
     )
-    return events.join(fits, key, "left_semi").select(*events.columns)
+    return events.join(spans, fits, "left_semi")
 
 
 def cleanse_visit(events: DataFrame, periods: DataFrame) -> DataFrame:
-    return inside_period(
-        events, periods, "visit_occurrence_id", "visit_start_date", "visit_end_date"
-    )
+    return inside_period(events, periods, "visit_start_date", "visit_end_date")
 
 
 def cleanse_condition(events: DataFrame, periods: DataFrame) -> DataFrame:
-    return inside_period(
-        events, periods, "condition_occurrence_id", "condition_start_date", "condition_end_date"
-    )
+    return inside_period(events, periods, "condition_start_date", "condition_end_date")
 
 
 def cleanse_drug(events: DataFrame, periods: DataFrame) -> DataFrame:
-    return inside_period(
-        events, periods, "drug_exposure_id", "drug_exposure_start_date", "drug_exposure_end_date"
-    )
+    return inside_period(events, periods, "drug_exposure_start_date", "drug_exposure_end_date")
 
 
 def cleanse_procedure(events: DataFrame, periods: DataFrame) -> DataFrame:
-    return inside_period(events, periods, "procedure_occurrence_id", "procedure_date")
+    return inside_period(events, periods, "procedure_date")
 
 
 def cleanse_device(events: DataFrame, periods: DataFrame) -> DataFrame:
     return inside_period(
-        events,
-        periods,
-        "device_exposure_id",
-        "device_exposure_start_date",
-        "device_exposure_end_date",
+        events, periods, "device_exposure_start_date", "device_exposure_end_date"
     )
 
 
 def cleanse_measurement(events: DataFrame, periods: DataFrame) -> DataFrame:
-    return inside_period(events, periods, "measurement_id", "measurement_date")
+    return inside_period(events, periods, "measurement_date")
 
 
 def cleanse_payer_plan(events: DataFrame, periods: DataFrame) -> DataFrame:
-    return inside_period(
-        events,
-        periods,
-        "payer_plan_period_id",
-        "payer_plan_period_start_date",
-        "payer_plan_period_end_date",
+    fits = inside_period(
+        events, periods, "payer_plan_period_start_date", "payer_plan_period_end_date"
     )
+    kept = fits.select("payer_plan_period_id")
+    return events.join(kept, "payer_plan_period_id", "left_semi").select(*events.columns)
 
 
 def patch_person(persons: DataFrame, overrides: DataFrame) -> DataFrame:

@@ -16,12 +16,35 @@ from .vocab import ingredient_rollup
 
 GAP_DAYS = 30
 
+# Total orders in which eras get their ids.
+DRUG_ERA_ORDER = [
+    "person_id",
+    "drug_concept_id",
+    "drug_era_start_date",
+    "drug_era_end_date",
+    "drug_exposure_count",
+]
+CONDITION_ERA_ORDER = [
+    "person_id",
+    "condition_concept_id",
+    "condition_era_start_date",
+    "condition_era_end_date",
+]
+DOSE_ERA_ORDER = [
+    "person_id",
+    "drug_concept_id",
+    "dose_value",
+    "dose_era_start_date",
+    "dose_era_end_date",
+]
+
 
 def islands(rows: DataFrame, group: list[str]) -> DataFrame:
     """Number the islands of each group over rows with columns start and end.
 
     Rows must be collapsed per start day first: the window then sorts at most one row per
-    calendar day (and drug type) of a group.
+    calendar day (and drug type) of a group. An end must not precede its start; the event
+    builders see to that, and an exposure of another table that ends early counts for its day.
     """
     ordered = Window.partitionBy(*group).orderBy("start")
     latest = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
@@ -37,17 +60,17 @@ def _exposure_span() -> tuple[Column, Column]:
         F.date_add(start, F.col("days_supply")),
         F.date_add(start, 1),
     )
-    return start.alias("start"), end.alias("end")
+    return start.alias("start"), F.greatest(start, end).alias("end")
 
 
-def drug_era_spans(drug: DataFrame, ancestor: DataFrame, concept: DataFrame) -> DataFrame:
+def drug_era_spans(drug: DataFrame, ingredients: DataFrame) -> DataFrame:
     """Drug eras without ids. Islands ignore the drug type, the final grouping does not."""
     exposures = drug.select(
         "person_id", "drug_concept_id", "drug_type_concept_id", *_exposure_span()
     )
     group = ["person_id", "ingredient_concept_id"]
     days = (
-        ingredient_rollup(exposures, ancestor, concept)
+        ingredient_rollup(exposures, ingredients)
         .groupBy(*group, "drug_type_concept_id", "start")
         .agg(F.max("end").alias("end"))
     )
@@ -68,15 +91,8 @@ def drug_era_spans(drug: DataFrame, ancestor: DataFrame, concept: DataFrame) ->
     )
 
 
-def drug_era(drug: DataFrame, ancestor: DataFrame, concept: DataFrame) -> DataFrame:
-    order = [
-        "person_id",
-        "drug_concept_id",
-        "drug_era_start_date",
-        "drug_era_end_date",
-        "drug_exposure_count",
-    ]
-    return with_identity(drug_era_spans(drug, ancestor, concept), order, "drug_era_id")
+def drug_era(drug: DataFrame, ingredients: DataFrame) -> DataFrame:
+    return with_identity(drug_era_spans(drug, ingredients), DRUG_ERA_ORDER, "drug_era_id")
 
 
 def condition_era_spans(condition: DataFrame) -> DataFrame:
@@ -87,7 +103,7 @@ def condition_era_spans(condition: DataFrame) -> DataFrame:
         condition.select(
             *group,
             start.alias("start"),
-            F.coalesce("condition_end_date", F.date_add(start, 1)).alias("end"),
+            F.greatest(start, F.coalesce("condition_end_date", F.date_add(start, 1))).alias("end"),
         )
         .groupBy(*group, "start")
         .agg(F.max("end").alias("end"))
@@ -110,43 +126,38 @@ def condition_era_spans(condition: DataFrame) -> DataFrame:
 
 
 def condition_era(condition: DataFrame) -> DataFrame:
-    order = [
-        "person_id",
-        "condition_concept_id",
-        "condition_era_start_date",
-        "condition_era_end_date",
-    ]
-    return with_identity(condition_era_spans(condition), order, "condition_era_id")
+    return with_identity(condition_era_spans(condition), CONDITION_ERA_ORDER, "condition_era_id")
 
 
-def dose_era_spans(drug: DataFrame, ancestor: DataFrame, concept: DataFrame) -> DataFrame:
-    """Dose eras without ids.
+def dose_era_spans(drug: DataFrame, ingredients: DataFrame) -> DataFrame:
+    """Dose eras without ids, in one pass over the exposures.
 
     Islands are formed per dose, but an exposure ends at the earliest island end on or after
     its start over all doses of the person and ingredient, as in the source system. The
-    lookup is no range join: per person and ingredient the distinct start days and island
-    ends are put in date order and each start takes the next end (at most two rows per
-    calendar day, whatever the number of doses), then joined back by equality.
+    lookup is no range join: the start days of a person and ingredient and one end for each
+    island are put in date order, and each start takes the next end.
     """
     group = ["person_id", "ingredient_concept_id"]
     exposures = drug.select(
         "person_id", "drug_concept_id", F.col("quantity").alias("dose_value"), *_exposure_span()
     )
     days = (
-        ingredient_rollup(exposures, ancestor, concept)
+        ingredient_rollup(exposures, ingredients)
         .groupBy(*group, "dose_value", "start")
         .agg(F.max("end").alias("end"))
     )
-    ends = (
-        islands(days, [*group, "dose_value"])
-        .groupBy(*group, "dose_value", "island")
-        .agg(F.max("end").alias("end"))
-    )
+    island = Window.partitionBy(*group, "dose_value", "island")
     no_date = F.lit(None).cast("date")
+    begins = F.struct(F.col("start").alias("at"), no_date.alias("era_end"))
+    ends = F.struct(F.col("island_end").alias("at"), F.col("island_end").alias("era_end"))
+    # The first day of an island stands for its end as well.
     events = (
-        days.select(*group, F.col("start").alias("at"), no_date.alias("era_end"))
-        .unionByName(ends.select(*group, F.col("end").alias("at"), F.col("end").alias("era_end")))
-        .distinct()
+        islands(days, [*group, "dose_value"])
+        .withColumn("island_end", F.max("end").over(island))
+        .withColumn("opened", F.min("start").over(island))
+        .withColumn("event", F.array(begins, F.when(F.col("start") == F.col("opened"), ends)))
+        .select(*group, "dose_value", F.explode(F.array_compact("event")).alias("event"))
+        .select(*group, "dose_value", "event.*")
     )
     # Ends sort after starts of the same day, so an end on the start day counts.
     following = (
@@ -154,18 +165,11 @@ def dose_era_spans(drug: DataFrame, ancestor: DataFrame, concept: DataFrame) ->
         .orderBy("at", F.col("era_end").asc_nulls_first())
         .rowsBetween(Window.currentRow, Window.unboundedFollowing)
     )
-    next_end = (
-        events.select(
-            *group,
-            F.when(F.col("era_end").isNull(), F.col("at")).alias("start"),
-            F.min("era_end").over(following).alias("dose_era_end_date"),
-        )
-        .where(F.col("start").isNotNull() & F.col("dose_era_end_date").isNotNull())
-    )
     return (
-        days.join(next_end, [*group, "start"])
+        events.withColumn("dose_era_end_date", F.min("era_end").over(following))
+        .where(F.col("era_end").isNull() & F.col("dose_era_end_date").isNotNull())
         .groupBy(*group, "dose_value", "dose_era_end_date")
-        .agg(F.min("start").alias("dose_era_start_date"))
+        .agg(F.min("at").alias("dose_era_start_date"))
         .select(
             "person_id",
             F.col("ingredient_concept_id").alias("drug_concept_id"),
@@ -176,12 +180,5 @@ def dose_era_spans(drug: DataFrame, ancestor: DataFrame, concept: DataFrame) ->
     )
 
 
-def dose_era(drug: DataFrame, ancestor: DataFrame, concept: DataFrame) -> DataFrame:
-    order = [
-        "person_id",
-        "drug_concept_id",
-        "dose_value",
-        "dose_era_start_date",
-        "dose_era_end_date",
-    ]
-    return with_identity(dose_era_spans(drug, ancestor, concept), order, "dose_era_id")
+def dose_era(drug: DataFrame, ingredients: DataFrame) -> DataFrame:
+    return with_identity(dose_era_spans(drug, ingredients), DOSE_ERA_ORDER, "dose_era_id")

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import null
-from ..work import fresh_path
+from ..work import fresh_path, remove
 
 # Source tags and the leading digits of their serial ranges.
 TREATMENT, DIAGNOSIS, PRESCRIPTION, SCREENING, ELIGIBILITY = "130", "140", "160", "GJT", "JKT"
@@ -119,12 +119,15 @@ def read_numbered(spark: SparkSession, path: str, name: str, base: int = 0) -> D
     )
 
 
-def ranked(df: DataFrame, order_by: list[str], name: str, label: str = "ranked") -> DataFrame:
+def ranked(
+    df: DataFrame, order_by: list[str], name: str, label: str = "ranked", path: str | None = None
+) -> DataFrame:
     """``row_number() over (order by ...)`` of a whole table without a single-task window.
 
-    ``order_by`` should be a total order, or rows that tie on it be interchangeable.
+    ``order_by`` should be a total order, or rows that tie on it be interchangeable. The rows
+    are stored under ``path``, which a caller that copies them on may remove afterwards.
     """
-    path = fresh_path(df.sparkSession, label)
+    path = path or fresh_path(df.sparkSession, label)
     write_numbered(df, order_by, path)
     return read_numbered(df.sparkSession, path, name)
 
@@ -137,6 +140,39 @@ def _serial(
     return read_numbered(df.sparkSession, path, "master_seq", ranges.base(source))
 
 
+def claim_offsets(lines: DataFrame, t20: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """(key_seq, _offset): the lines of all earlier claims that have a header; and their number.
+
+    One row per claim is ordered and summed, whatever the width of the lines.
+    """
+    spark = lines.sparkSession
+    claims = lines.groupBy("key_seq").agg(F.count("*").alias("_n")).join(
+        t20.select("key_seq"), "key_seq"
+    )
+    rows = (
+        claims.repartitionByRange("key_seq")
+        .sortWithinPartitions("key_seq")
+        .withColumn("_row", F.monotonically_increasing_id())
+    )
+    rows.write.mode("overwrite").parquet(path)
+    part = F.shiftright("_row", 33)
+    stored = spark.read.schema(rows.schema).parquet(path).withColumn("_part", part)
+    # One row per range partition comes to the driver.
+    sizes = stored.groupBy("_part").agg(F.sum("_n").alias("_n")).orderBy("_part").collect()
+    starts, total = [], 0
+    for size in sizes:
+        starts.append((size["_part"], total))
+        total += size["_n"]
+    before = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    within = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    offsets = (
+        stored.withColumn("_within", within)
+        .join(F.broadcast(spark.createDataFrame(starts, "_part bigint, _start bigint")), "_part")
+        .select("key_seq", (F.col("_start") + F.col("_within")).alias("_offset"))
+    )
+    return offsets, total
+
+
 def keyed_lines(
     lines: DataFrame,
     t20: DataFrame,
@@ -146,19 +182,33 @@ def keyed_lines(
 ) -> DataFrame:
     """Claim lines with their header columns and master serial, stored once under ``path``.
 
-    Lines without a header get no serial. Serials follow (key_seq, seq_no). Every event
+    Lines without a header get no serial. Serials follow (key_seq, seq_no): the lines of earlier
+    claims plus the place in the claim, so lines move once, to their header and claim. A source
+    that does not fit its range of serials stops here, before any line is written. Every event
     operator reads this stage, so the joins line-header and line-serial happen once and not
-    once per target table.
+    once per target table. The lines of one claim are ordered in one task: a claim is one
+    visit to one institution, its lines are numbered by hand and far below any task's limit.
     """
-    joined = lines.join(_header(t20), "key_seq")
-    return _serial(joined, ["key_seq", "seq_no"], source, ranges, path)
+    spark = lines.sparkSession
+    path = path or fresh_path(spark, f"keyed-{source}")
+    claims = fresh_path(spark, f"claims-{source}")
+    offsets, total = claim_offsets(lines, t20, claims)
+    ranges.check(source, total)
+    header = _header(t20).join(offsets, "key_seq")
+    place = F.row_number().over(Window.partitionBy("key_seq").orderBy("seq_no"))
+    keyed = (
+        lines.join(header, "key_seq")
+        .withColumn("master_seq", F.col("_offset") + place + F.lit(ranges.base(source)))
+        .drop("_offset")
+    )
+    keyed.write.mode("overwrite").parquet(path)
+    remove(spark, claims)
+    return read_keyed_lines(spark, path)
 
 
-def read_keyed_lines(
-    spark: SparkSession, path: str, source: str, ranges: SerialRanges = RANGES
-) -> DataFrame:
+def read_keyed_lines(spark: SparkSession, path: str) -> DataFrame:
     """Keyed lines stored by an earlier run."""
-    return read_numbered(spark, path, "master_seq", ranges.base(source))
+    return spark.read.parquet(path)
 
 
 def join_master(lines: DataFrame, t20: DataFrame, seq: DataFrame, source: str) -> DataFrame:
@@ -235,7 +285,9 @@ def ranked_within(df: DataFrame, group: str, order_by: list[str], name: str) ->
     )
 
 
-def with_identity(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
+def with_identity(
+    df: DataFrame, order_by: list[str], name: str, path: str | None = None
+) -> DataFrame:
     """Prefix a 1..n id in the given total order (era ids and identity columns)."""
-    numbered = ranked(df, order_by, name, name)
+    numbered = ranked(df, order_by, name, name, path)
     return numbered.select(name, *df.columns)

@@ -274,6 +274,47 @@ def dq_non_numeric(lines: DataFrame, column: str) -> DataFrame:
     )
 
 
+def dq_line_keys(
+    sources: dict[str, tuple[DataFrame, str]], code_map: DataFrame, uses: dict[str, str], most: int = 9
+) -> DataFrame:
+    """(source, item, rows): lines that bend the rules of ids and dates, per source.
+
+    ``rank_overflow`` counts event rows whose target ranks above ``most``: an event id has one
+    digit for the rank, so id + 10 of such a row is an id of the next line. ``duplicate_lines``
+    counts lines that share (key_seq, seq_no) with another, ``unreadable_dates`` those whose
+    ``recu_fr_dt`` is a text but no date. ``sources`` gives lines and their code column, ``uses``
+    the part of the code map that converts them.
+    """
+    parts = []
+    for name, (lines, code) in sources.items():
+        beyond = (
+            vocab.used(code_map, uses[name])
+            .where(F.col("rn") > most)
+            .groupBy("source_code")
+            .agg(F.count("*").alias("n"))
+        )
+        counted = lines.groupBy(F.col(code).alias("_code")).agg(F.count("*").alias("lines"))
+        overflow = counted.join(beyond, F.col("_code") == F.col("source_code")).agg(
+            _sum(F.col("lines") * F.col("n"))
+        )
+        twice = lines.groupBy("key_seq", "seq_no").count().where(F.col("count") > 1)
+        date = F.col("recu_fr_dt")
+        odd = lines.where(date.isNotNull() & codes.ymd(date).isNull()).agg(
+            F.count("*").alias("count")
+        )
+        for item, rows in (
+            ("rank_overflow", overflow),
+            ("duplicate_lines", twice.agg(_sum(F.col("count")))),
+            ("unreadable_dates", odd),
+        ):
+            parts.append(
+                rows.select(
+                    F.lit(name).alias("source"), F.lit(item).alias("item"), F.col("count").alias("rows")
+                )
+            )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def dq_code_pairs(t30: DataFrame) -> DataFrame:
     return t30.groupBy("clause_cd", "item_cd").agg(F.count("clause_cd").alias("count"))
 

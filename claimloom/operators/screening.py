@@ -37,6 +37,7 @@ CONTINUOUS_ITEMS = (
 )
 INCOME_ITEM, DISABILITY_ITEM = "CTRB_PT_TYPE_CD", "DFAB_GRD_CD"
 EARLY_YEARS = ("2002", "2003", "2004", "2005", "2006", "2007", "2008")
+#: Drinking answers are converted for these years only; pass longer lists for newer screenings.
 LATE_YEARS = ("2009", "2010", "2011", "2012", "2013")
 # End of fixed values.
 
@@ -135,13 +136,17 @@ def _observation(rows: DataFrame, value: str, visit: bool) -> DataFrame:
 
 
 def _screened(
-    gj: DataFrame, seq: DataFrame, items: tuple[str, ...], rules: list[DataFrame]
+    gj: DataFrame,
+    seq: DataFrame,
+    items: tuple[str, ...],
+    rules: list[DataFrame],
+    early_years: tuple[str, ...] = EARLY_YEARS,
 ) -> DataFrame:
     """Observations of the given items: one join with the serial, one unpivot, one rule join.
 
     Family history was answered 1/2 up to 2008 and 0/1 afterwards; early answers shift by one.
     """
-    early = F.col("hchk_year").isin(*EARLY_YEARS)
+    early = F.col("hchk_year").isin(*early_years)
     shifted = (F.col("meas_value").try_cast("int") - 1).cast("string")
     value = F.when(F.col("meas_type").isin(*FAMILY_ITEMS) & early, shifted).otherwise(
         F.col("meas_value")
@@ -152,11 +157,13 @@ def _screened(
     return _observation(match_rules(answers, reduce(DataFrame.unionByName, rules)), "meas_value", True)
 
 
-def _categorical_rules(observation_map: DataFrame) -> list[DataFrame]:
+def _categorical_rules(
+    observation_map: DataFrame, early_years: tuple[str, ...] = EARLY_YEARS
+) -> list[DataFrame]:
     """Coded answers. Drinking items count up to 2008; the unit is not carried over."""
     return [
         _rules(observation_map, "observation", CODED_ANSWERS, False, unit=False),
-        _rules(observation_map, "observation", DRINK_ITEMS, False, EARLY_YEARS, unit=False),
+        _rules(observation_map, "observation", DRINK_ITEMS, False, early_years, unit=False),
     ]
 
 
@@ -164,29 +171,42 @@ def _continuous_rules(observation_map: DataFrame) -> list[DataFrame]:
     return [_rules(observation_map, "observation", CONTINUOUS_ITEMS, True)]
 
 
-def _quantity_2009_rules(map_2009: DataFrame) -> list[DataFrame]:
-    return [_rules(map_2009, "observation", (DRINK_QUANTITY,), True, LATE_YEARS)]
+def _quantity_2009_rules(
+    map_2009: DataFrame, late_years: tuple[str, ...] = LATE_YEARS
+) -> list[DataFrame]:
+    return [_rules(map_2009, "observation", (DRINK_QUANTITY,), True, late_years)]
 
 
-def _habit_2009_rules(map_2009: DataFrame) -> list[DataFrame]:
-    return [_rules(map_2009, "observation", (DRINK_HABIT,), False, LATE_YEARS)]
+def _habit_2009_rules(
+    map_2009: DataFrame, late_years: tuple[str, ...] = LATE_YEARS
+) -> list[DataFrame]:
+    return [_rules(map_2009, "observation", (DRINK_HABIT,), False, late_years)]
 
 
-def observation_categorical(gj: DataFrame, seq: DataFrame, observation_map: DataFrame) -> DataFrame:
+def observation_categorical(
+    gj: DataFrame,
+    seq: DataFrame,
+    observation_map: DataFrame,
+    early_years: tuple[str, ...] = EARLY_YEARS,
+) -> DataFrame:
     items = (*CODED_ANSWERS, *DRINK_ITEMS)
-    return _screened(gj, seq, items, _categorical_rules(observation_map))
+    return _screened(gj, seq, items, _categorical_rules(observation_map, early_years), early_years)
 
 
 def observation_continuous(gj: DataFrame, seq: DataFrame, observation_map: DataFrame) -> DataFrame:
     return _screened(gj, seq, CONTINUOUS_ITEMS, _continuous_rules(observation_map))
 
 
-def observation_drink_2009_quantity(gj: DataFrame, seq: DataFrame, map_2009: DataFrame) -> DataFrame:
-    return _screened(gj, seq, (DRINK_QUANTITY,), _quantity_2009_rules(map_2009))
+def observation_drink_2009_quantity(
+    gj: DataFrame, seq: DataFrame, map_2009: DataFrame, late_years: tuple[str, ...] = LATE_YEARS
+) -> DataFrame:
+    return _screened(gj, seq, (DRINK_QUANTITY,), _quantity_2009_rules(map_2009, late_years))
 
 
-def observation_drink_2009_habit(gj: DataFrame, seq: DataFrame, map_2009: DataFrame) -> DataFrame:
-    return _screened(gj, seq, (DRINK_HABIT,), _habit_2009_rules(map_2009))
+def observation_drink_2009_habit(
+    gj: DataFrame, seq: DataFrame, map_2009: DataFrame, late_years: tuple[str, ...] = LATE_YEARS
+) -> DataFrame:
+    return _screened(gj, seq, (DRINK_HABIT,), _habit_2009_rules(map_2009, late_years))
 
 
 def observation_income(jk: DataFrame, seq: DataFrame, observation_map: DataFrame) -> DataFrame:
@@ -211,17 +231,27 @@ def observation_income(jk: DataFrame, seq: DataFrame, observation_map: DataFrame
 
 
 def observation(
-    gj: DataFrame, jk: DataFrame, seq: DataFrame, observation_map: DataFrame, map_2009: DataFrame
+    gj: DataFrame,
+    jk: DataFrame,
+    seq: DataFrame,
+    observation_map: DataFrame,
+    map_2009: DataFrame,
+    early_years: tuple[str, ...] = EARLY_YEARS,
+    late_years: tuple[str, ...] = LATE_YEARS,
 ) -> DataFrame:
-    """All observations; the four screening branches share one pass over the screenings."""
+    """All observations; the four screening branches share one pass over the screenings.
+
+    ``early_years`` and ``late_years`` are consecutive years of the two questionnaires; drinking
+    answers of other years are left out, as in the source system.
+    """
     rules = [
-        *_categorical_rules(observation_map),
+        *_categorical_rules(observation_map, early_years),
         *_continuous_rules(observation_map),
-        *_quantity_2009_rules(map_2009),
-        *_habit_2009_rules(map_2009),
+        *_quantity_2009_rules(map_2009, late_years),
+        *_habit_2009_rules(map_2009, late_years),
     ]
     items = (*CODED_ANSWERS, *DRINK_ITEMS, *CONTINUOUS_ITEMS)
-    return _screened(gj, seq, items, rules).unionByName(
+    return _screened(gj, seq, items, rules, early_years).unionByName(
         observation_income(jk, seq, observation_map)
     )
 

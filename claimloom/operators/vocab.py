@@ -194,14 +194,25 @@ def target_counts(mapping: DataFrame) -> DataFrame:
     return mapping.groupBy("source_code").agg(F.count("*").alias("targets"))
 
 
-def ingredient_rollup(drug: DataFrame, ancestor: DataFrame, concept: DataFrame) -> DataFrame:
-    """Each exposure once per RxNorm ingredient of its drug concept."""
+def ingredient_map(ancestor: DataFrame, concept: DataFrame) -> DataFrame:
+    """(drug_concept_id, ingredient_concept_id): RxNorm ingredients of every drug concept.
+
+    The pipeline stores it once, so its size is known when exposures are joined with it.
+    """
     ingredient = concept.where(
         F.col("vocabulary_id").isin("RxNorm", "RxNorm Extension")
         & (F.col("concept_class_id") == "Ingredient")
     ).select(F.col("concept_id").alias("ingredient_concept_id"))
-    links = ancestor.select(
-        F.col("ancestor_concept_id").alias("ingredient_concept_id"),
-        F.col("descendant_concept_id").alias("drug_concept_id"),
-    ).join(ingredient, "ingredient_concept_id")
-    return drug.join(links, "drug_concept_id")
+    return (
+        ancestor.select(
+            F.col("ancestor_concept_id").alias("ingredient_concept_id"),
+            F.col("descendant_concept_id").alias("drug_concept_id"),
+        )
+        .join(ingredient, "ingredient_concept_id")
+        .select("drug_concept_id", "ingredient_concept_id")
+    )
+
+
+def ingredient_rollup(drug: DataFrame, ingredients: DataFrame) -> DataFrame:
+    """Each exposure once per RxNorm ingredient of its drug concept."""
+    return drug.join(ingredients, "drug_concept_id")

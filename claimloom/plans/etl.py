@@ -9,11 +9,12 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import cleanse, eras, events, keys, money, person, quality, screening, visits, vocab
-from ..sources import seeds, sinks
-from ..work import work_root
+from ..sources import loader, seeds, sinks
+from ..work import fresh_path, remove, work_root
 
 log = logging.getLogger(__name__)
 
@@ -38,11 +39,31 @@ STAGES = (
     "cost",
     "eras",
     "dose_era",
+    "indexing",
     "constraints",
     "data_cleansing",
 )
-# The conversion proper, without empty tables and integrity reports.
-CONVERSION = tuple(stage for stage in STAGES if stage not in ("ddl", "constraints"))
+# The conversion proper, without empty tables, bucketed copies and integrity reports.
+CONVERSION = tuple(s for s in STAGES if s not in ("ddl", "indexing", "constraints"))
+# Marks a table that was declared but not built yet, in its schema.
+UNBUILT = "unbuilt"
+# Tables a stage writes, where they are not one of its own name.
+OUTPUTS = {
+    "vocabulary": ("source_to_concept_map", "code_map", "ingredient_map"),
+    "master": ("seq_master",),
+    "eras": ("drug_era", "condition_era"),
+    "constraints": ("checks/primary_keys", "checks/foreign_keys", "checks/not_null"),
+    "data_cleansing": (
+        "visit_occurrence",
+        "condition_occurrence",
+        "drug_exposure",
+        "procedure_occurrence",
+        "device_exposure",
+        "measurement",
+        "payer_plan_period",
+        "person",
+    ),
+}
 SOURCES = {"t30": keys.TREATMENT, "t40": keys.DIAGNOSIS, "t60": keys.PRESCRIPTION}
 CLEANSED = {
     "visit_occurrence": cleanse.cleanse_visit,
@@ -72,6 +93,9 @@ class _Tables:
                 self.done[name] = self.spark.read.parquet(f"{self.out}/{name}")
             except AnalysisException as error:
                 raise KeyError(f"stage output {name} is neither built nor stored") from error
+        if UNBUILT in self.done[name].schema[0].metadata:
+            del self.done[name]
+            raise KeyError(f"{name} is declared, but its stage has not been run")
         return self.done[name]
 
     def __contains__(self, name: str) -> bool:
@@ -83,6 +107,12 @@ class _Tables:
     def write(self, name: str, df: DataFrame) -> None:
         self.done[name] = sinks.write_cdm(df, name, self.out)
 
+    def write_identified(self, name: str, df: DataFrame, order: list[str], key: str) -> None:
+        """Write with ids 1..n; the numbered copy in between is removed."""
+        path = fresh_path(self.spark, key)
+        self.write(name, keys.with_identity(df, order, key, path))
+        remove(self.spark, path)
+
     def write_work(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         path = f"{self.out}/{name}"
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
@@ -99,28 +129,43 @@ def run_etl(
     today: dt.date | None = None,
     stages: tuple[str, ...] = STAGES,
     ranges: keys.SerialRanges = keys.RANGES,
+    early_years: tuple[str, ...] = screening.EARLY_YEARS,
+    late_years: tuple[str, ...] = screening.LATE_YEARS,
+    buckets: int = 64,
 ) -> dict[str, DataFrame]:
     """Run the chosen stages in order and return the stage outputs.
 
-    ``raw`` holds jk, t20, t30, t40, t60, gj and yk; ``vocabulary`` holds concept,
-    concept_relationship and concept_ancestor, normalised. A stage that is not chosen is
-    read from ``out`` where a later one needs it; ``sinks.stage_counts`` counts the result.
-    File order by person and concept is applied at each write, in place of indexes. Costs and eras see uncleansed events;
-    cleansed tables go to ``<table>`` below ``out/cleansed``, so a rerun starts from
+    ``raw`` holds jk, t20, t30, t40, t60, gj and yk, whose texts lose trailing blanks first;
+    ``vocabulary`` holds concept, concept_relationship and concept_ancestor, normalised;
+    ``regions`` are needed by the stage location. ``early_years`` and ``late_years`` are those of
+    the two screening questionnaires. A stage that is not chosen is read from ``out`` where a
+    later one needs it; ``stage_log`` of the result holds rows and seconds of each stage.
+    File order by person and concept is applied at each write; the stage indexing adds copies
+    bucketed by person as catalog tables ``indexed_<table>``. Costs and eras see uncleansed
+    events; cleansed tables go to ``<table>`` below ``out/cleansed``, so a rerun starts from
     unchanged inputs.
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages {sorted(unknown)}")
+    if "location" in stages and regions is None:
+        raise ValueError("the stage location needs regions: persons and care sites refer to them")
+    raw = {name: loader.normalise_strings(df) for name, df in raw.items()}
     chosen = [s for s in STAGES if s in stages]
     tables = _Tables(spark, out)
-    concept, ancestor = vocabulary["concept"], vocabulary["concept_ancestor"]
+    concept = vocabulary["concept"]
 
     def create_tables():
-        """Empty tables of the declared layout, for CDM tables that do not exist yet."""
+        """Empty tables of the declared layout, for CDM tables that do not exist yet.
+
+        They are marked, so that a later stage does not take one for a built table.
+        """
         for name, schema in schemas.CDM.items():
             if name not in tables:
-                spark.createDataFrame([], schema).write.parquet(f"{tables.out}/{name}")
+                first, *rest = schema.fields
+                mark = T.StructField(first.name, first.dataType, first.nullable, {UNBUILT: True})
+                empty = spark.createDataFrame([], T.StructType([mark, *rest]))
+                empty.write.mode("overwrite").parquet(f"{tables.out}/{name}")
 
     def constraints():
         """Integrity reports over the tables built so far, as tables below ``checks``."""
@@ -137,6 +182,9 @@ def run_etl(
         tables.write_work(
             "code_map", vocab.code_map(tables["source_to_concept_map"], concept), ("use",)
         )
+        tables.write_work(
+            "ingredient_map", vocab.ingredient_map(vocabulary["concept_ancestor"], concept)
+        )
 
     def master():
         for name, source in SOURCES.items():
@@ -151,7 +199,7 @@ def run_etl(
     def keyed(name: str) -> DataFrame:
         path = f"{tables.out}/keyed_{name}"
         try:
-            return keys.read_keyed_lines(spark, path, SOURCES[name], ranges)
+            return keys.read_keyed_lines(spark, path)
         except AnalysisException as error:
             raise KeyError(f"keyed lines of {name} are not stored: run stage master") from error
 
@@ -159,8 +207,25 @@ def run_etl(
         return keyed("t30"), keyed("t60")
 
     def make_eras():
-        tables.write("drug_era", eras.drug_era(tables["drug_exposure"], ancestor, concept))
-        tables.write("condition_era", eras.condition_era(tables["condition_occurrence"]))
+        tables.write_identified(
+            "drug_era",
+            eras.drug_era_spans(tables["drug_exposure"], tables["ingredient_map"]),
+            eras.DRUG_ERA_ORDER,
+            "drug_era_id",
+        )
+        tables.write_identified(
+            "condition_era",
+            eras.condition_era_spans(tables["condition_occurrence"]),
+            eras.CONDITION_ERA_ORDER,
+            "condition_era_id",
+        )
+
+    def indexing():
+        for name in sinks.SORT_COLUMN:
+            if name in tables:
+                sinks.write_bucketed(
+                    tables[name], f"indexed_{name}", buckets, path=f"{tables.out}/indexed/{name}"
+                )
 
     def cleansing():
         target = _Tables(spark, f"{tables.out}/cleansed")
@@ -183,20 +248,17 @@ def run_etl(
             "cdm_source", sinks.cdm_source(spark, concept, today or dt.date.today())
         ),
         "master": master,
-        "location": lambda: regions is not None
-        and tables.write("location", visits.location(regions)),
+        "location": lambda: tables.write("location", visits.location(regions)),
         "care_site": lambda: tables.write("care_site", visits.care_site(raw["yk"])),
         "person": lambda: tables.write("person", person.person(raw["jk"])),
         "death": lambda: tables.write(
             "death", person.death(raw["jk"], tables["code_map"], seeds.seed_death_map(spark))
         ),
-        "observation_period": lambda: tables.write(
+        "observation_period": lambda: tables.write_identified(
             "observation_period",
-            keys.with_identity(
-                person.observation_period(raw["jk"], tables["person"], tables["death"]),
-                ["person_id", "observation_period_start_date"],
-                "observation_period_id",
-            ),
+            person.observation_period(raw["jk"], tables["person"], tables["death"]),
+            ["person_id", "observation_period_start_date"],
+            "observation_period_id",
         ),
         "visit_occurrence": lambda: tables.write(
             "visit_occurrence",
@@ -215,6 +277,8 @@ def run_etl(
                 tables["seq_master"],
                 seeds.seed_observation_map(spark),
                 seeds.seed_observation_map_2009(spark),
+                early_years,
+                late_years,
             ),
         ),
         "drug_exposure": lambda: tables.write(
@@ -250,13 +314,24 @@ def run_etl(
             ),
         ),
         "eras": make_eras,
-        "dose_era": lambda: tables.write(
-            "dose_era", eras.dose_era(tables["drug_exposure"], ancestor, concept)
+        "dose_era": lambda: tables.write_identified(
+            "dose_era",
+            eras.dose_era_spans(tables["drug_exposure"], tables["ingredient_map"]),
+            eras.DOSE_ERA_ORDER,
+            "dose_era_id",
         ),
+        "indexing": indexing,
         "data_cleansing": cleansing,
     }
+    entries = []
     for stage in chosen:
-        started = time.monotonic()
+        before, started = dict(tables.done), time.monotonic()
         steps[stage]()
-        log.info("stage %s took %.1f s", stage, time.monotonic() - started)
+        seconds = time.monotonic() - started
+        # Counts of stored tables come from their footers.
+        written = {n: df for n, df in tables.done.items() if before.get(n) is not df}
+        outputs = sorted(n for n in written if n in OUTPUTS.get(stage, (stage,)))
+        entries += [(stage, name, written[name].count(), seconds) for name in outputs]
+        log.info("stage %s took %.1f s: %s", stage, seconds, entries[-len(outputs) :] if outputs else "")
+    tables.write_work("stage_log", sinks.stage_log(spark, entries))
     return tables.done

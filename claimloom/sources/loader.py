@@ -21,13 +21,15 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _years(spark: SparkSession, paths: Iterable[str]) -> list[tuple[str, DataFrame]]:
-    """The files that exist; a missing or unreadable year is reported and skipped."""
+    """The files that exist; a missing year is reported and skipped, any other error stops."""
     found = []
     for path in paths:
         try:
             found.append((path, _read(spark, path)))
         except AnalysisException as error:
-            log.warning("skipped %s: %s", path, error.getCondition())
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            log.warning("skipped %s: no such file", path)
     return found
 
 
@@ -81,13 +83,15 @@ def ingest_incremental_batch(
     start_year: int,
     target: str,
 ) -> list[int]:
-    """Append the years from ``start_year`` on, one by one; a bad year does not stop the rest.
+    """Append the years from ``start_year`` on that the target lacks, one by one.
 
-    Returns the years loaded. See ``streaming.ingest`` for the form that remembers them.
+    A bad year does not stop the rest. Returns the years loaded, so a second call returns none.
+    See ``streaming.ingest`` for the form that remembers files.
     """
+    present = loaded_years(spark, target)
     loaded = []
     for year in years:
-        if year < start_year:
+        if year < start_year or year in present:
             continue
         path = f"{base.rstrip('/')}/{pattern.format(year=year)}"
         try:
@@ -98,6 +102,17 @@ def ingest_incremental_batch(
     return loaded
 
 
+def loaded_years(spark: SparkSession, target: str) -> set[int]:
+    """The years a target holds; a handful of numbers, none if there is no target yet."""
+    try:
+        stored = spark.read.parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    return {row.load_year for row in stored.select("load_year").distinct().collect()}
+
+
 def profile_table(df: DataFrame, name: str, sample: int = 5) -> DataFrame:
     """Columns, types, row count and up to ``sample`` example values per column."""
     columns = df.columns

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,25 +66,36 @@ def write_cdm(df: DataFrame, table: str, out: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, key: str = "person_id") -> DataFrame:
-    """Store as a catalog table bucketed and sorted by person: joins on it need no shuffle.
+def write_bucketed(
+    df: DataFrame, table: str, buckets: int, key: str = "person_id", path: str | None = None
+) -> DataFrame:
+    """Store as a catalog table bucketed by person and sorted by person and concept.
 
-    Rows of one person share a bucket, so this layout suits cohorts without dominating
-    persons; ``write_cdm`` has no such limit.
+    Joins on the person then need no shuffle. Rows of one person share a bucket, so this layout
+    suits cohorts without dominating persons; ``write_cdm`` has no such limit. With ``path``
+    the files lie there and the table is external.
     """
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    concept = SORT_COLUMN.get(table.split(".")[-1])
+    order = [key, *([concept] if concept in df.columns else [])]
+    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(*order)
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
     return df.sparkSession.table(table)
 
 
 def stage_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row count and the seconds it took, per table."""
-    rows = []
-    for name, df in tables.items():
-        started = time.monotonic()
-        count = df.count()
-        rows.append((name, count, time.monotonic() - started))
+    """Row count per table, from the files' footers where the tables are stored."""
+    rows = [(name, df.count()) for name, df in tables.items()]
     spark = next(iter(tables.values())).sparkSession
-    return spark.createDataFrame(rows, "table_name string, rows bigint, seconds double")
+    return spark.createDataFrame(rows, "table_name string, rows bigint")
+
+
+def stage_log(spark: SparkSession, entries: list[tuple[str, str, int, float]]) -> DataFrame:
+    """(stage, table_name, rows, seconds): what each stage wrote and how long the stage took."""
+    return spark.createDataFrame(
+        entries, "stage string, table_name string, rows bigint, seconds double"
+    )
 
 
 def cdm_source(

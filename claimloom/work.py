@@ -7,16 +7,21 @@ lineage and survives the loss of any executor.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def work_root(spark: SparkSession) -> str:
-    """Shared folder from ``spark.checkpoint.dir``; a private one only if that is unset."""
+    """Shared folder from ``spark.checkpoint.dir``.
+
+    Where that is unset a local session gets a private folder; a cluster must name one.
+    """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
@@ -37,3 +42,20 @@ def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     df.write.partitionBy(*partition_by).parquet(path)
     # The schema is passed in, so partition values keep their type.
     return spark.read.schema(df.schema).parquet(path)
+
+
+def file_numbers(spark: SparkSession, folder: str) -> set[int]:
+    """The leading numbers of the names of a folder's files; none if there is no such folder."""
+    try:
+        paths = spark.read.format("binaryFile").load(f"{folder}/[0-9]*").select("path").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    return {int(m[1]) for row in paths if (m := re.search(r"/(\d+)[^/]*$", row.path))}
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

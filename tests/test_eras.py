@@ -4,7 +4,7 @@ from collections import defaultdict
 
 from conftest import rows
 
-from claimloom.operators import eras
+from claimloom.operators import eras, vocab
 
 DAY = dt.timedelta(days=1)
 BASE = dt.date(2005, 1, 1)
@@ -50,7 +50,7 @@ def vocabulary(spark):
          (100, "RxNorm", "Clinical Drug")],
         "concept_id int, vocabulary_id string, concept_class_id string",
     )
-    return ancestor, concept
+    return vocab.ingredient_map(ancestor, concept)
 
 
 INGREDIENTS = {100: [1], 101: [1, 2]}
@@ -71,7 +71,7 @@ def test_drug_era_against_brute_force(spark):
         expected += [
             (p, ingredient, min(days), end, len(days), 30) for (_, end), days in starts.items()
         ]
-    got = rows(eras.drug_era_spans(spark.createDataFrame(data, SCHEMA), *vocabulary(spark)))
+    got = rows(eras.drug_era_spans(spark.createDataFrame(data, SCHEMA), vocabulary(spark)))
     assert got == sorted(expected, key=repr)
 
 
@@ -92,7 +92,7 @@ def test_dose_era_takes_the_end_of_any_dose(spark):
         for dose, s, _ in spans:
             starts[dose, min(x for x in ends if x >= s)].append(s)
         expected += [(p, ingredient, dose, min(v), end) for (dose, end), v in starts.items()]
-    got = rows(eras.dose_era_spans(spark.createDataFrame(data, SCHEMA), *vocabulary(spark)))
+    got = rows(eras.dose_era_spans(spark.createDataFrame(data, SCHEMA), vocabulary(spark)))
     assert got == sorted(expected, key=repr)
 
 
