@@ -930,7 +930,9 @@ _CLEANSED = {
 
 
 def _pipeline(s: Stages, stages: tuple[str, ...]) -> DataFrame:
-    raw_tables = {n: getattr(s, n) for n in ("jk", "t20", "t30", "t40", "t60", "gj", "yk")}
+    raw_tables = {n: getattr(s, n) for n in ("jk", "t20", "gj", "yk")}
+    # As in the files, with trailing blanks: the conversion normalises them itself.
+    raw_tables |= {n: getattr(s, f"{n}_file") for n in ("t30", "t40", "t60")}
     vocabulary = {"concept": s.concept, "concept_relationship": s.relationship,
                   "concept_ancestor": s.ancestor}
     tables = etl.run_etl(

@@ -75,6 +75,7 @@ select c as person_id, y as stnd_y, cast(1 + c % 2 as int) as sex,
     case when (c + y) % 19 = 0 then '' else cast((c + y) % 12 as string) end as ctrb_pt_type_cd,
     case when c % 6 = 0 then cast(y % 3 as string) end as dfab_grd_cd,
     case when y <> last_y then ''
+         when c % 51 = 6 then '199012'
          when c % 17 = 0 then cast(y as string) || lpad(cast(1 + c % 12 as string), 2, '0')
          when c % 17 = 2 then null
          else '' end as dth_ym,
@@ -112,13 +113,15 @@ from {line_rows}""",
     "charges": f"""
 select key_seq, seq_no, flag, {_YMD.format("day")} as recu_fr_dt,
     'P' || lpad(cast(k as string), 4, '0')
-        || case when k % 8 in (0, 1) and s % 2 = 1 then 'X' else '' end as div_cd,
+        || case when k % 8 in (0, 1) and s % 2 = 1 then 'X' else '' end
+        || case when n % 3 = 0 then '  ' else '' end as div_cd,
     cast(k % 8 + 1 as string) as div_type_cd,
     case n % 7 when 0 then null when 1 then '1' when 2 then '3' when 3 then 'abc'
         when 4 then '0' when 5 then '2.5' else '30' end as mdcn_exec_freq,
     case (n + s) % 5 when 0 then '1' when 1 then '2' when 2 then '0.5' when 3 then '-1'
         else '1d' end as dd_mqty_exec_freq,
-    case s % 4 when 0 then '1' when 1 then '1.5' when 2 then null else '1e1' end as dd_mqty_freq,
+    case s % 4 when 0 then '1' when 1 then '1.5' when 2 then case when n % 2 = 0 then '1,5' end
+        else '1e1' end as dd_mqty_freq,
     case (n + k) % 4 when 0 then '1' when 1 then '3' when 2 then '' else '0.25' end
         as dd_exec_freq,
     case k % 4 when 0 then '3' when 1 then '03' when 2 then '4' else '04' end as clause_cd,
@@ -128,20 +131,31 @@ select key_seq, seq_no, flag, {_YMD.format("day")} as recu_fr_dt,
     case when k % 50 = 23 then null when k % 50 = 31 then price * 2
         else price / quantity end as un_cost
 from {{lines}}""",
-    "t30": """
+    "t30_file": """
 select key_seq, seq_no, recu_fr_dt, div_cd, div_type_cd, mdcn_exec_freq, dd_mqty_exec_freq,
     dd_mqty_freq, clause_cd, item_cd, amt, un_cost
 from {charges} where flag = 'A'""",
-    "t60": """
+    "t60_file": """
 select key_seq, seq_no, recu_fr_dt, div_cd, div_type_cd, mdcn_exec_freq, dd_mqty_freq,
     dd_exec_freq, amt, un_cost
 from {charges} where flag = 'R'""",
-    "t40": f"""
+    "t40_file": f"""
 select key_seq, seq_no,
-    case when s % 97 = 5 then null else 'K' || lpad(cast(p % 300 as string), 3, '0') end
-        as sick_sym,
-    {_YMD.format("cast(day + (n % 3) as date)")} as recu_fr_dt
+    case when s % 97 = 5 then null else 'K' || lpad(cast(p % 300 as string), 3, '0')
+        || case when n % 4 = 1 then ' ' else '' end end as sick_sym,
+    case when s % 89 = 7 then '20089999'
+         else {_YMD.format("cast(day + (n % 3) as date)")} end as recu_fr_dt
 from {{lines}} where flag = 'N'""",
+    # Trailing blanks do not count in comparisons: the plans normalise at load, the oracle here.
+    "t30": """
+select key_seq, seq_no, recu_fr_dt, rtrim(div_cd) as div_cd, div_type_cd, mdcn_exec_freq,
+    dd_mqty_exec_freq, dd_mqty_freq, clause_cd, item_cd, amt, un_cost
+from {t30_file}""",
+    "t60": """
+select key_seq, seq_no, recu_fr_dt, rtrim(div_cd) as div_cd, div_type_cd, mdcn_exec_freq,
+    dd_mqty_freq, dd_exec_freq, amt, un_cost
+from {t60_file}""",
+    "t40": "select key_seq, seq_no, rtrim(sick_sym) as sick_sym, recu_fr_dt from {t40_file}",
     "yk_years": f"""
 select distinct cast(o_orderkey % 100 as int) as ykiho_id, cast(year({_DAY}) as int) as stnd_y
 from {{orders}}""",
@@ -160,7 +174,9 @@ from {yk_years} where ykiho_id % 20 = 5""",
     "gj": f"""
 select cast(y as string) as hchk_year, c as person_id, cast(10 + c % 80 as string) as ykiho_gubun_cd,
     {_GJ_COLUMNS}
-from (select person_id as c, stnd_y as y from {{jk}}) j
+from (select person_id as c, stnd_y as y from {{jk}}
+      union all
+      select person_id, max(stnd_y) + 2 from {{jk}} where person_id % 23 = 4 group by person_id) j
 where (c + y) % 2 = 0""",
     "p_codes": "select distinct cast(p_partkey % 400 as int) as k from {part}",
     "k_codes": "select distinct cast(p_partkey % 300 as int) as j from {part}",
@@ -185,6 +201,8 @@ select k, kind, offset_id + k as target_id, relation_invalid, target_invalid fro
         case when k % 8 in (0, 1) then 4200000 else 3200000 end, '', ''
     from {p_codes} where k % 10 in (4, 5, 6, 7) and k % 8 in (0, 1, 6, 7)
     union all
+    select k, 'Drug', 1500000, '', cast(null as string) from {p_codes} where k % 40 = 13
+    union all
     select k, 'Drug', 1300000, 'D', '' from {p_codes} where k % 10 = 8
     union all
     select k, 'Drug', 1400000, '', 'U' from {p_codes} where k % 10 = 2
@@ -272,8 +290,9 @@ def references(sql: str) -> list[str]:
 
 # Rules that are written once per session and folder, so queries start at a Parquet scan.
 # The intermediate rules are read by these only.
-STORED = ("jk", "t20", "lines", "t30", "t40", "t60", "yk", "gj", "raw_concept",
+STORED = ("jk", "t20", "lines", "t30_file", "t40_file", "t60_file", "yk", "gj", "raw_concept",
           "raw_relationship", "ancestor")
+NORMALISED = ("t30", "t40", "t60")
 KEYED = {"k30": (keys.TREATMENT, "t30"), "k40": (keys.DIAGNOSIS, "t40"),
          "k60": (keys.PRESCRIPTION, "t60")}
 YEARLY = {"seq_gj": (keys.SCREENING, "gj", "hchk_year"),
@@ -287,6 +306,7 @@ _tables: dict[tuple[str, str, str], DataFrame] = {}
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A raw-shaped table over ``folder``, built on first use."""
     from ..operators.vocab import normalise_vocabulary
+    from ..sources import loader
 
     key = (spark.sparkContext.applicationId, folder, name)
     if key in _tables:
@@ -309,6 +329,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
         df = keys.seq_master(
             *(table(spark, folder, part) for part in ("k30", "k40", "k60", "seq_gj", "seq_jk"))
         )
+    elif name in NORMALISED:
+        df = store(loader.normalise_strings(table(spark, folder, f"{name}_file")), f"raw-{name}")
     elif name in ("concept", "relationship"):
         df = store(normalise_vocabulary(table(spark, folder, f"raw_{name}")), name)
     else:
