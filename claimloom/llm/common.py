@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 from ..work import fresh_path
 
 #: Texts handed to a Python function at once hold at most so many bytes (or one row).
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 #: Spark's own bound on the bytes of a batch, which is unset by default.
 BATCH_CONF, UNBOUNDED = "spark.sql.execution.arrow.maxBytesPerBatch", str((1 << 31) - 1)
 
@@ -120,7 +120,7 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
 class WordHashes(dict):
     """XXH64 of words, kept for words seen before; forgets all when it holds ``LIMIT`` words."""
 
-    LIMIT = 1 << 19
+    LIMIT = 1 << 17
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

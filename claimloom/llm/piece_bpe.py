@@ -3,7 +3,7 @@
 A text becomes ``▁`` + text with spaces as ``▁`` (the model's identity normalisation with a dummy
 prefix). It is cut where no piece of the vocabulary can reach across: before each run of ``▁``, and
 around characters that no longer piece contains. The distinct new words of a batch lie in one flat
-numpy array of symbols. Each round finds the best pair of every word (least rank, leftmost among
+numpy array of symbols; words seen before keep their ids in another one. Each round finds the best pair of every word (least rank, leftmost among
 equals) by a segmented minimum, merges all of them at once, closes the gaps and looks up the pairs
 beside each merge, until no word has a pair left. One merge a word and round is exactly the
 library's order, in which a new pair may precede the next occurrence of an old one.
@@ -25,10 +25,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from . import common
 
@@ -36,9 +37,45 @@ SPACE = "▁"
 LONG, CACHE = 96, 1 << 18
 _NONE = np.int64(1 << 62)
 
+#: A key for the line end, which is cut off like any character that no longer piece contains.
+LINE = ("\n",)
+
 codecs.register_error("each-byte", lambda e: ("�" * (e.end - e.start), e.end))
 
 
+class _Known(dict):
+    """Numbers words in the order they are met; ``new`` are those since it was emptied."""
+
+    def __init__(self):
+        self.new: list = []
+
+    def __missing__(self, word) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
+class _Ragged:
+    """Rows of different lengths in one flat array that grows."""
+
+    def __init__(self, dtype):
+        self.flat, self.starts, self.lengths = np.zeros(0, dtype), *np.zeros((2, 0), np.int64)
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.flat = np.concatenate([self.flat, flat.astype(self.flat.dtype)])
+
+    def take(self, rows: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The chosen rows end to end, and where each group of ``per`` rows begins and the last ends."""
+        lengths = self.lengths[rows]
+        ends = np.cumsum(lengths)
+        place = np.arange(ends[-1] if len(ends) else 0)
+        place += np.repeat(self.starts[rows] - ends + lengths, lengths)
+        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per)])]
+        return self.flat[place], bounds
+
+
 class Vocabulary:
     """Symbols, merges and surfaces of a model file."""
 
@@ -66,6 +103,10 @@ class Vocabulary:
         self.symbol = dict(pieces)
         for c in letters:
             self.symbol.setdefault(c, size + len(self.symbol))
+        #: Symbol of each code point, below 0 (by code point) where there is none.
+        self.letter = -np.arange(0x110000, dtype=np.int64) - 1
+        singles = {ord(c): i for c, i in self.symbol.items() if len(c) == 1}
+        self.letter[list(singles)] = list(singles.values())
         scores = sorted({model.get_score(i) for i in pieces.values()}, reverse=True)
         rank = {s: r for r, s in enumerate(scores)}
         self.width = max(self.symbol.values(), default=0) + 2
@@ -84,10 +125,19 @@ class Vocabulary:
         self.words = re.compile(
             "(?s:.+)" if crossing else f"{SPACE}+[{inner}]*|[{inner}]+|[^{inner}{SPACE}]+"
         )
-        #: Ids of words as cut, and of words that follow a single space; for words seen before.
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.spaced: dict[str, tuple[int, ...]] = {}
         self.cuts = not crossing
+        self.cuts_lines = self.cuts and "\n" not in self.symbol
+        self.texts = _Ragged(np.uint8)
+        self.texts.add(
+            np.frombuffer(b"".join(self.surface), np.uint8),
+            np.fromiter(map(len, self.surface), np.int64, size),
+        )
+        self._forget()
+
+    def _forget(self) -> None:
+        #: Numbers of the words seen before (those behind a space by their text alone, others as a
+        #: tuple of one), and the ids of each.
+        self.known, self.known_ids = _Known(), _Ragged(np.int32)
 
     def _lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged symbol of pairs; rank _NONE where there is no such piece."""
@@ -96,10 +146,13 @@ class Vocabulary:
         hit = (self.keys[at] == key) & (left >= 0) & (right >= 0)
         return np.where(hit, self.ranks[at], _NONE), self.merged[at]
 
-    def _rounds(self, words: list[str]) -> list[list[int]]:
-        """Symbols of each word after all merges; a symbol below 0 is a character without one."""
-        lengths = np.array([len(w) for w in words])
-        symbol = np.array([self.symbol.get(c, -ord(c) - 1) for w in words for c in w], np.int64)
+    def _symbols(self, words: list[str]) -> np.ndarray:
+        return self.letter[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+
+    def _rounds(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(word, symbol) in order for every symbol left of each word after all merges."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        symbol = self._symbols(words)
         word = np.repeat(np.arange(len(words)), lengths)
         finished: list[tuple[np.ndarray, np.ndarray]] = []
         right = np.r_[symbol[1:], -1]
@@ -130,19 +183,14 @@ class Vocabulary:
             rank[new] = _NONE
             if len(beside):
                 rank[beside], merged[beside] = self._lookup(symbol[beside], symbol[beside + 1])
-        out: list[list[int]] = [[] for _ in words]
         where = np.concatenate([w for w, _ in finished])
         what = np.concatenate([s for _, s in finished])
         order = np.argsort(where, kind="stable")
-        cuts = np.searchsorted(where[order], np.arange(len(words) + 1))
-        what = what[order].tolist()
-        for i in range(len(words)):
-            out[i] = what[cuts[i] : cuts[i + 1]]
-        return out
+        return where[order], what[order]
 
-    def _queue(self, word: str) -> list[int]:
+    def _queue(self, word: str) -> tuple[int, ...]:
         """The same merges for one long word, from a queue of pairs by rank and place."""
-        symbol = [self.symbol.get(c, -ord(c) - 1) for c in word]
+        symbol = self._symbols([word]).tolist()
         n = len(symbol)
         after, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
 
@@ -165,11 +213,10 @@ class Vocabulary:
                 before[after[j]] = i
             offer(before[i])
             offer(i)
-        return [s for s in symbol if s is not None]
+        return self._to_ids([s for s in symbol if s is not None], word)
 
-    def _to_ids(self, symbols: list[int], word: str) -> tuple[int, ...]:
-        if symbols and min(symbols) >= 0 and max(symbols) < len(self.surface):
-            return tuple(symbols)
+    def _to_ids(self, symbols, word: str) -> tuple[int, ...]:
+        """Ids of symbols of which some are characters without a piece: those are spelled out."""
         letter = {v: c for c in word if (v := self.symbol.get(c, -1)) >= len(self.surface)}
         ids: list[int] = []
         for s in symbols:
@@ -179,47 +226,83 @@ class Vocabulary:
                 ids += [self.bytes[b] for b in (letter[s] if s >= 0 else chr(-s - 1)).encode()]
         return tuple(ids)
 
-    def _learn(self, new: list[str]) -> list[tuple[int, ...]]:
-        """Ids of each word; words are distinct."""
-        short = [w for w in new if len(w) <= LONG]
-        rounds = iter(self._rounds(short) if short else [])
-        return [
-            self._to_ids(next(rounds) if len(w) <= LONG else self._queue(w), w) for w in new
-        ]
+    def _learn(self, new: list) -> None:
+        """Adds the ids of new words, which are distinct."""
+        words = [w[0] if isinstance(w, tuple) else SPACE + w for w in new]
+        short = np.array([i for i, w in enumerate(words) if len(w) <= LONG], np.int64)
+        where, what = np.zeros((2, 0), np.int64)
+        if len(short):
+            where, what = self._rounds([words[i] for i in short])
+            where = short[where]
+        odd = np.unique(where[(what < 0) | (what >= len(self.surface))])
+        special = {
+            i: self._to_ids(what[np.searchsorted(where, i) : np.searchsorted(where, i, "right")].tolist(), words[i])
+            for i in odd.tolist()
+        } | {i: self._queue(w) for i, w in enumerate(words) if len(w) > LONG}
+        # Words that need no spelling keep their symbols, which are ids.
+        plain = ~np.isin(where, odd)
+        where, what = where[plain], what[plain]
+        more = np.array([(i, x) for i, ids in special.items() for x in ids], np.int64).reshape(-1, 2)
+        where, what = np.concatenate([where, more[:, 0]]), np.concatenate([what, more[:, 1]])
+        order = np.argsort(where, kind="stable")
+        self.known_ids.add(what[order], np.bincount(where, minlength=len(words)))
+
+    def _cut(self, text: str) -> list:
+        """Keys of a text's words."""
+        if not text:
+            return []
+        if not self.cuts or text[0] == " " or "  " in text or SPACE in text:
+            words = self.words.findall(SPACE + text.replace(" ", SPACE))
+            return [w[1:] if w[0] == SPACE else (w,) for w in words]
+        if not self.cuts_lines or "\n" not in text:
+            return text.split(" ")
+        # Without runs of spaces, cutting at spaces and line ends is the same, and much cheaper.
+        first, *lines = text.split("\n")
+        words = first.split(" ")
+        for line in lines:
+            start, *rest = line.split(" ")
+            words.append(LINE)
+            if start:
+                words.append((start,))
+            words += rest
+        return words
+
+    def encode_flat(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, and where each text begins and the last ends."""
+        if len(self.known) > CACHE:
+            self._forget()
+        cut = [self._cut(t) for t in texts]
+        per = np.fromiter(map(len, cut), np.int64, len(cut))
+        number = self.known.__getitem__
+        rows = np.fromiter(map(number, chain.from_iterable(cut)), np.int64, int(per.sum()))
+        if self.known.new:
+            self._learn(self.known.new)
+            self.known.new = []
+        return self.known_ids.take(rows, per)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
-        # Without runs of spaces, cutting at each space is the same, and much cheaper.
-        plain = [
-            self.cuts and not t.startswith(" ") and "  " not in t and SPACE not in t for t in texts
-        ]
-        cut = [
-            [] if not t
-            else t.split(" ") if p
-            else self.words.findall(SPACE + t.replace(" ", SPACE))
-            for t, p in zip(texts, plain, strict=True)
-        ]
-        for known, kind in ((self.spaced, True), (self.known, False)):
-            if len(known) > CACHE:
-                known.clear()
-            new: set[str] = set()
-            for words, p in zip(cut, plain, strict=True):
-                if p == kind:
-                    new.update(words)
-            missing = sorted(new - known.keys())
-            known.update(
-                zip(missing, self._learn([SPACE + w if kind else w for w in missing]), strict=True)
-            )
-        return [
-            list(chain.from_iterable(map((self.spaced if p else self.known).__getitem__, words)))
-            for words, p in zip(cut, plain, strict=True)
-        ]
+        ids, bounds = self.encode_flat(texts)
+        flat, bounds = ids.tolist(), bounds.tolist()
+        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+    def decode_flat(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The text of each run of ids."""
+        raw, ends = self.texts.take(ids, np.diff(bounds))
+        raw, ends, bounds = raw.tobytes(), ends.tolist(), bounds.tolist()
+        silent = np.isin(ids, list(self.silent))
+        out = []
+        for i in range(len(bounds) - 1):
+            own = ids[bounds[i] : bounds[i + 1]]
+            if silent[bounds[i] : bounds[i + 1]].any():
+                out.append(self._with_control(own.tolist()))
+                continue
+            drop = len(own) and int(own[0]) in self.drops_space
+            out.append(raw[ends[i] + drop : ends[i + 1]].decode("utf-8", "each-byte"))
+        return out
 
     def decode(self, ids: list[int]) -> str:
-        if not self.silent.isdisjoint(ids):
-            return self._with_control(ids)
-        raw = b"".join(map(self.surface.__getitem__, ids))
-        return raw[bool(ids) and ids[0] in self.drops_space :].decode("utf-8", "each-byte")
+        return self.decode_flat(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
 
     def _with_control(self, ids: list[int]) -> str:
         """Control pieces have no text, but bytes before and after one are no character."""
@@ -242,31 +325,61 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _lists(ids: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids end to end and bounds of a column of lists; null is an empty list."""
+    sizes = pc.list_value_length(lists).fill_null(0).to_numpy(zero_copy_only=False)
+    return lists.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(sizes)])
+
+
+def _whole(batch: pa.RecordBatch) -> list[str]:
+    return [t or "" for t in batch.column("text").to_pylist()]
+
+
+def _with(df: DataFrame, **more) -> StructType:
+    return StructType([*df.schema.fields, *(StructField(n, kind) for n, kind in more.items())])
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """``docs`` with a column ``ids``: the ids of each whole text (none for null)."""
-    schema = docs.drop("ids").schema.add("ids", ArrayType(IntegerType()))
+    schema = _with(docs.drop("ids"), ids=ArrayType(IntegerType()))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids = vocabulary(path).encode([t or "" for t in batch.column("text").to_pylist()])
-        return batch.append_column("ids", pa.array(ids, pa.list_(pa.int32())))
+        return batch.append_column("ids", _lists(*vocabulary(path).encode_flat(_whole(batch))))
 
     return common.map_batches(docs.drop("ids"), run, schema)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
     """``encoded`` with a column ``decoded``: the text of ``ids``."""
-    schema = encoded.drop("decoded").schema.add("decoded", StringType())
+    schema = _with(encoded.drop("decoded"), decoded=StringType())
 
     def run(batches):
         for batch in batches:
-            words = vocabulary(path)
-            texts = [words.decode(ids or []) for ids in batch.column("ids").to_pylist()]
+            texts = vocabulary(path).decode_flat(*_flat(batch.column("ids")))
             yield batch.append_column("decoded", pa.array(texts, pa.string()))
 
     common.prepare(encoded.sparkSession)
     return encoded.drop("decoded").mapInArrow(run, schema)
 
 
+def encode_and_decode(docs: DataFrame, path: str) -> DataFrame:
+    """``docs`` with ``ids`` and their ``decoded`` text, in one pass through one worker a task."""
+    read = docs.drop("ids", "decoded")
+    schema = _with(read, ids=ArrayType(IntegerType()), decoded=StringType())
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words = vocabulary(path)
+        ids, bounds = words.encode_flat(_whole(batch))
+        texts = pa.array(words.decode_flat(ids, bounds), pa.string())
+        return batch.append_column("ids", _lists(ids, bounds)).append_column("decoded", texts)
+
+    return common.map_batches(read, run, schema)
+
+
 def digest(encoded: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of rows with ``ids`` and ``decoded``."""
     joined = F.array_join(F.col("ids").cast("array<string>"), ",")

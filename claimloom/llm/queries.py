@@ -93,7 +93,7 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path(PIECE_BPE)
     docs = common.documents(common.table(spark, folder, "documents"), "text")
-    return piece_bpe.digest(piece_bpe.decode(piece_bpe.encode(docs, path).drop("text"), path))
+    return piece_bpe.digest(piece_bpe.encode_and_decode(docs, path))
 
 
 def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:

@@ -46,7 +46,7 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     path = public_tokenizers.path(PIECES)
     read = docs.select("doc_id", "source", "lang", "text")
-    coded = piece_bpe.decode(piece_bpe.encode(read, path), path)
+    coded = piece_bpe.encode_and_decode(read, path)
     return coded.select(
         "doc_id", "source", "lang", F.size("ids").cast("long").alias("n_tokens"), "ids",
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
