@@ -13,7 +13,8 @@ from ..functions import codes
 from ..operators import cleanse, eras, events, keys, money, person, quality, screening, visits, vocab
 from ..plans import dq, etl
 from ..sources import loader, sinks
-from . import oracle
+from ..work import fresh_path
+from . import loads, oracle
 from .stages import Stages
 
 TODAY = dt.date(2020, 1, 1)
@@ -856,19 +857,7 @@ query(
 query(
     "check_unique", "table_name:string duplicate_keys rows",
     lambda s: quality.check_unique(
-        {
-            "concept_synonym": s.concept.select(
-                "concept_id",
-                F.col("vocabulary_id").alias("concept_synonym_name"),
-                F.lit(4180186).alias("language_concept_id"),
-            ).unionByName(
-                s.relationship.select(
-                    F.col("concept_id_1").alias("concept_id"),
-                    F.lit("EDI").alias("concept_synonym_name"),
-                    F.lit(4180186).alias("language_concept_id"),
-                )
-            )
-        }
+        {"concept_synonym": loads.load_vocabulary(s)["concept_synonym"]}
     ),
     "select 'concept_synonym' as table_name, count(*) as duplicate_keys, "
     "coalesce(sum(n), 0) as rows from (select count(*) as n from (select concept_id, vocabulary_id "
@@ -951,3 +940,231 @@ query(
         for t, r in _COUNTED.items()
     ),
 )
+
+# --- loads --------------------------------------------------------------------------------
+
+_YEAR_OF = "cast(left(recu_fr_dt, 4) as integer)"
+_CLAIM = "key_seq:string person_id:string form_cd:string dmd_drg_no:string load_year"
+_CLAIMS_SQL = (
+    "select key_seq, person_id, form_cd, case when load_year % 2 = 0 then dmd_drg_no end "
+    f"as dmd_drg_no, load_year from (select *, {_YEAR_OF} as load_year from {{t20}}) claims"
+)
+query(
+    "union_columns", "column_name:string filled", loads.union_columns,
+    f"select column_name, count(*) as filled from (unpivot (select cast(key_seq as varchar) as key_seq, "
+    f"cast(person_id as varchar) as person_id, form_cd, dmd_drg_no from ({_CLAIMS_SQL}) c) "
+    "on key_seq, person_id, form_cd, dmd_drg_no into name column_name value v) u group by 1",
+)
+query("load_years", _CLAIM, loads.load_years, _CLAIMS_SQL)
+query("write_raw", _CLAIM, loads.write_raw, _CLAIMS_SQL)
+query(
+    "load_single",
+    "ykiho_id:string stnd_y:string ykiho_gubun_cd:string org_type:string ykiho_sido:string",
+    loads.load_single, "yk",
+)
+query(
+    "ingest_incremental", "key_seq person_id form_cd:string", loads.ingest_incremental,
+    "select key_seq, person_id, form_cd from {t20}",
+)
+query(
+    "ingest_incremental_batch", "key_seq:string form_cd:string load_year",
+    loads.ingest_incremental_batch,
+    f"select key_seq, form_cd, {_YEAR_OF} as load_year from {{t20}} where {_YEAR_OF} > "
+    f"(select min({_YEAR_OF}) from {{t20}})",
+)
+_CONCEPT = (
+    "concept_id concept_name:string domain_id:string vocabulary_id:string concept_class_id:string "
+    "standard_concept:string concept_code:string valid_start_date:date valid_end_date:date "
+    "invalid_reason:string"
+)
+query("load_vocabulary", _CONCEPT, lambda s: loads.load_vocabulary(s)["concept"], "concept")
+query(
+    "load_vocabulary_rejects", "concept_id concept_name:string rejected:string",
+    lambda s: (lambda v: v["concept"].select(
+        "concept_id", "concept_name", F.lit("no").alias("rejected")
+    ).unionByName(
+        v["bad_concept"].select(
+            F.split_part("_corrupt_record", F.lit("\t"), F.lit(1)).cast("bigint").alias("concept_id"),
+            F.split_part("_corrupt_record", F.lit("\t"), F.lit(2)).alias("concept_name"),
+            F.lit("yes").alias("rejected"),
+        )
+    ))(loads.load_vocabulary(s, bad=True)),
+    "select concept_id, concept_name, if(concept_id % 50 = 7, 'yes', 'no') as rejected from {concept}",
+)
+query(
+    "seed_location", "code:string province:string district:string", loads.seed_location, "regions"
+)
+
+# The fixed maps, each with what it meets in the data.
+query(
+    "seed_death_map", "source_code:string target_concept_id deaths",
+    lambda s: s.death_map.join(
+        s.jk.groupBy(F.col("dth_code1").alias("source_code")).agg(F.count("*").alias("deaths")),
+        "source_code", "left",
+    ).na.fill(0, ["deaths"]),
+    "select source_code, target_concept_id, count(person_id) as deaths from (select * from (values "
+    + oracle._DEATH_ROWS
+    + ") v(source_code, target_concept_id)) known left join {jk} on dth_code1 = source_code "
+    "group by 1, 2",
+)
+for _map, _prefix in (
+    ("measurement_map", "measurement"), ("observation_map", "observation"),
+    ("observation_map_2009", "observation"),
+):
+    query(
+        f"seed_{_map}",
+        "meas_type:string id_value:string answer concept kind unit value_concept "
+        "value_number:double answers",
+        lambda s, m=_map, p=_prefix: getattr(s, m).join(
+            screening.gj_vertical(s.gj).groupBy("meas_type").agg(F.count("*").alias("answers")),
+            "meas_type", "left",
+        ).na.fill(0, ["answers"]).select(
+            "meas_type", "id_value", "answer", F.col(f"{p}_concept_id").alias("concept"),
+            F.col(f"{p}_type_concept_id").alias("kind"), F.col(f"{p}_unit_concept_id").alias("unit"),
+            F.col("value_as_concept_id").alias("value_concept"),
+            F.col("value_as_number").alias("value_number"), "answers",
+        ),
+        f"select m.*, coalesce(n, 0) as answers from {{{_map}}} m left join (select meas_type, "
+        "count(*) as n from {gj_vertical} group by 1) g using (meas_type)",
+    )
+
+# --- line keys ----------------------------------------------------------------------------
+
+
+def _line_keys(s: Stages, most: int) -> DataFrame:
+    """The bound lines have no duplicates, so one line in seven comes twice here."""
+    twice = {
+        name: (lines.unionByName(lines.where(F.col("seq_no") % 7 == 3)), code)
+        for name, lines, code in (
+            ("30t", s.t30, "div_cd"), ("40t", s.t40, "sick_sym"), ("60t", s.t60, "div_cd")
+        )
+    }
+    uses = {"30t": vocab.DRUG, "40t": vocab.CONDITION, "60t": vocab.DRUG}
+    return quality.dq_line_keys(twice, s.code_map, uses, most)
+
+
+def _line_keys_sql(most: int) -> str:
+    parts = []
+    for name, lines, code, mapping in (
+        ("30t", "t30", "div_cd", "m_drug"), ("40t", "t40", "sick_sym", "m_condition"),
+        ("60t", "t60", "div_cd", "m_drug"),
+    ):
+        doubled = (
+            f"(select * from {{{lines}}} union all select * from {{{lines}}} where seq_no % 7 = 3) d"
+        )
+        parts += [
+            f"select '{name}' as source, 'rank_overflow' as item, coalesce(sum(n - {most}), 0) as rows "
+            f"from {doubled} join (select source_code, count(*) as n from {{{mapping}}} group by 1 "
+            f"having count(*) > {most}) m on {code} = source_code",
+            f"select '{name}', 'duplicate_lines', 2 * count(*) from {{{lines}}} where seq_no % 7 = 3",
+            f"select '{name}', 'unreadable_dates', count(*) from {doubled} where recu_fr_dt is not null "
+            f"and {oracle.ymd('recu_fr_dt')} is null",
+        ]
+    return " union all ".join(parts)
+
+
+for _most in (1, 9):
+    query(
+        f"dq_line_keys_{_most}", "source:string item:string rows",
+        lambda s, n=_most: _line_keys(s, n), _line_keys_sql(_most),
+    )
+
+# --- layouts, reruns and the log of stages ------------------------------------------------
+
+
+def _filled(s: Stages) -> DataFrame:
+    """Values per column of every CDM table in its declared layout."""
+    parts = []
+    for name, df in _tables(s).items():
+        rows = sinks.conform(df, name)
+        counts = rows.select(*[F.count(c).alias(c) for c in rows.columns])
+        parts.append(
+            counts.unpivot([], rows.columns, "column_name", "filled").withColumn(
+                "table_name", F.lit(name)
+            )
+        )
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _filled_sql() -> str:
+    parts = []
+    for table, relation in _RELATIONS.items():
+        given = [c for c, _ in _columns(_TABLE_COLUMNS[table])]
+        counts = ", ".join(
+            f"count({c}) as {c}" if c in given else f"cast(0 as bigint) as {c}"
+            for c in quality.schemas.CDM[table].names
+        )
+        parts.append(
+            f"select '{table}' as table_name, column_name, filled from (unpivot (select {counts} "
+            f"from {{{relation}}}) on columns(*) into name column_name value filled) u"
+        )
+    return " union all ".join(parts)
+
+
+query("conform_tables", "table_name:string column_name:string filled", _filled, _filled_sql())
+
+
+def _bucketed(s: Stages) -> DataFrame:
+    path = fresh_path(s.spark, "bucketed")
+    return sinks.write_bucketed(
+        s.visit, f"visit_{path.rsplit('-', 1)[1]}", 8, path=path
+    )
+
+
+query("write_bucketed", VISIT, _bucketed, "visit")
+query(
+    "write_cdm", PERIOD,
+    lambda s: sinks.write_cdm(
+        s.period.withColumn("observation_period_id", F.col("person_id")), "observation_period",
+        fresh_path(s.spark, "cdm"),
+    ),
+    "period",
+)
+
+
+def _raw_files(s: Stages) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    files = {n: getattr(s, n) for n in ("jk", "t20", "gj", "yk")}
+    files |= {n: getattr(s, f"{n}_file") for n in ("t30", "t40", "t60")}
+    return files, {
+        "concept": s.concept, "concept_relationship": s.relationship, "concept_ancestor": s.ancestor
+    }
+
+
+def _rerun(s: Stages) -> DataFrame:
+    """Stages up to death, then observation periods alone from the stored outputs."""
+    files, vocabulary = _raw_files(s)
+    out = etl.scratch(s.spark)
+    etl.run_etl(s.spark, files, vocabulary, out, stages=("vocabulary", "person", "death"))
+    return etl.run_etl(s.spark, {"jk": files["jk"]}, vocabulary, out, stages=("observation_period",))[
+        "observation_period"
+    ]
+
+
+query("rerun_subset", "observation_period_id " + PERIOD, _rerun, QUERIES["identity_id"].sql)
+
+_LOGGED = {
+    "location": "regions", "care_site": "care_site", "person": "person", "death": "death",
+    "observation_period": "period", "visit_occurrence": "visit",
+}
+
+
+def _stage_log(s: Stages) -> DataFrame:
+    files, vocabulary = _raw_files(s)
+    stages = ("ddl", "vocabulary", "master", *_LOGGED, "indexing", "constraints")
+    tables = etl.run_etl(
+        s.spark, files, vocabulary, etl.scratch(s.spark), s.regions, stages=stages, buckets=4
+    )
+    timed = tables["stage_log"].where(F.col("seconds") > 0)
+    return timed.where(F.col("table_name").isin(*_LOGGED))
+
+
+query(
+    "stage_log", "stage:string table_name:string rows", _stage_log,
+    " union all ".join(
+        f"select '{t}' as stage, '{t}' as table_name, count(*) as rows from {{{r}}}"
+        for t, r in _LOGGED.items()
+    ),
+)

@@ -11,7 +11,6 @@ import re
 import tempfile
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -44,18 +43,22 @@ def store(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The file system of a path, and the path for it: Spark's readers hide log folders."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def file_numbers(spark: SparkSession, folder: str) -> set[int]:
     """The leading numbers of the names of a folder's files; none if there is no such folder."""
-    try:
-        paths = spark.read.format("binaryFile").load(f"{folder}/[0-9]*").select("path").collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    files, where = _hadoop(spark, folder)
+    if not files.exists(where):
         return set()
-    return {int(m[1]) for row in paths if (m := re.search(r"/(\d+)[^/]*$", row.path))}
+    names = [status.getPath().getName() for status in files.listStatus(where)]
+    return {int(m[0]) for name in names if (m := re.match(r"\d+", name))}
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    files, where = _hadoop(spark, path)
+    files.delete(where, True)

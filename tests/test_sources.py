@@ -120,3 +120,38 @@ def test_profile(spark):
 def test_normalise_strings(spark):
     df = spark.createDataFrame([("a  ", 1)], "t string, n int")
     assert rows(loader.normalise_strings(df)) == [("a", 1)]
+
+
+def test_ingest_goes_on_with_the_checkpoint_beside_the_target(spark, tmp_path):
+    """A later call without a named checkpoint adds new files; a foreign one is refused."""
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    (tmp_path / "in").mkdir()
+    schema = "key_seq bigint, vscn int"
+    for year in (2004, 2005, 2006):
+        (tmp_path / "in" / f"gy_{year}.csv").write_text(f"key_seq,vscn\n{year},1\n")
+        got = ingest.ingest_incremental(spark, source, schema, target)
+        assert rows(got, "key_seq") == [(y,) for y in range(2004, year + 1)]
+    with pytest.raises(ValueError, match="do not belong together"):
+        ingest.ingest_incremental(spark, source, schema, target, str(tmp_path / "other"))
+    # A target that was cleared no longer fits the checkpoint that knows its files.
+    (tmp_path / "out").rename(tmp_path / "gone")
+    with pytest.raises(ValueError, match="do not belong together"):
+        ingest.ingest_incremental(spark, source, schema, target)
+
+
+def test_batches_are_not_appended_twice(spark, years, tmp_path):
+    target = str(tmp_path / "target")
+    load = lambda: loader.ingest_incremental_batch(
+        spark, str(years), "gy_{year}.csv", range(2004, 2007), 2004, target
+    )
+    assert load() == [2004, 2005] and load() == []
+    (years / "gy_2006.csv").write_text("key_seq\n9\n")
+    assert load() == [2006]
+    assert spark.read.parquet(target).count() == 4
+
+
+def test_only_missing_years_are_skipped(spark, years):
+    (years / "gy_2006.parquet").write_text("no parquet")
+    with pytest.raises(Exception) as error:
+        loader.union_columns(spark, [f"{years}/gy_2004.csv", f"{years}/gy_2006.parquet"])
+    assert "PATH_NOT_FOUND" not in str(error.value)
