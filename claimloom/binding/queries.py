@@ -757,82 +757,121 @@ query(
 
 # --- integrity ----------------------------------------------------------------------------
 
-# CDM table -> (stage, oracle relation); tables without an id column of their own lack it here.
+# CDM table -> (stage, oracle relation, columns). All other tables are declared and empty.
+_ERA_IDS = {
+    "drug_eras": ("drug_era", DRUG_ERA), "condition_eras": ("condition_era", CONDITION_ERA),
+    "dose_eras": ("dose_era", DOSE_ERA),
+}
 _CHECKED = {
-    "person": ("person", "person"),
-    "death": ("death", "death"),
-    "visit_occurrence": ("visit", "visit"),
-    "condition_occurrence": ("condition", "condition"),
-    "drug_exposure": ("drug", "drug"),
-    "procedure_occurrence": ("procedure", "procedure"),
-    "device_exposure": ("device", "device"),
-    "measurement": ("measurement", "measurement"),
-    "observation": ("observation", "observation"),
-    "payer_plan_period": ("payer", "payer"),
-}
+    "person": ("person", "person", PERSON),
+    "death": ("death", "death", DEATH),
+    "observation_period": ("numbered_period", "numbered_period", "observation_period_id " + PERIOD),
+    "visit_occurrence": ("visit", "visit", VISIT),
+    "condition_occurrence": ("condition", "condition", CONDITION),
+    "drug_exposure": ("drug", "drug", DRUG),
+    "procedure_occurrence": ("procedure", "procedure", PROCEDURE),
+    "device_exposure": ("device", "device", DEVICE),
+    "measurement": ("measurement", "measurement", MEASUREMENT),
+    "observation": ("observation", "observation", OBSERVATION),
+    "payer_plan_period": ("payer", "payer", PAYER),
+    "cost": ("cost_rows", "cost", COST),
+    "care_site": ("care_site", "care_site", CARE_SITE),
+    "location": (
+        "location", "regions_cdm", " ".join(":".join(c) for c in QUERIES["location"].columns)
+    ),
+    "concept": ("concept", "concept", " ".join(quality.schemas.VOCABULARY["concept"].names)),
+    "concept_ancestor": (
+        "ancestor", "ancestor", "ancestor_concept_id descendant_concept_id"
+    ),
+    "concept_relationship": (
+        "relationship", "relationship", " ".join(quality.schemas.VOCABULARY["concept_relationship"].names)
+    ),
+} | {table: (stage, stage, f"{table}_id " + columns) for stage, (table, columns) in _ERA_IDS.items()}
+_DECLARED = quality.schemas.CDM | quality.schemas.VOCABULARY
+oracle.ORACLE["regions_cdm"] = QUERIES["location"].sql
+oracle.ORACLE["numbered_period"] = QUERIES["identity_id"].sql
+oracle.ORACLE["drug_eras"] = QUERIES["drug_era"].sql
+oracle.ORACLE["dose_eras"] = QUERIES["dose_era"].sql
+oracle.ORACLE["condition_eras"] = QUERIES["era_id"].sql
 
 
 def _tables(s: Stages) -> dict[str, DataFrame]:
-    out = {table: getattr(s, stage) for table, (stage, _) in _CHECKED.items()}
-    return out | {"care_site": s.care_site, "location": s.location}
+    """Every CDM and vocabulary table in its declared layout, the unbuilt ones empty."""
+    out = {}
+    for table, schema in _DECLARED.items():
+        if table in _CHECKED:
+            out[table] = sinks.conform(getattr(s, _CHECKED[table][0]), table)
+        else:
+            out[table] = s.spark.createDataFrame([], schema)
+    return out
 
 
-_RELATIONS = {table: relation for table, (_, relation) in _CHECKED.items()} | {
-    "care_site": "care_site",
-    "location": "regions_cdm",
-}
-oracle.ORACLE["regions_cdm"] = QUERIES["location"].sql
-_TABLE_COLUMNS = {
-    "person": PERSON, "death": DEATH, "visit_occurrence": VISIT, "condition_occurrence": CONDITION,
-    "drug_exposure": DRUG, "procedure_occurrence": PROCEDURE, "device_exposure": DEVICE,
-    "measurement": MEASUREMENT, "observation": OBSERVATION, "payer_plan_period": PAYER,
-    "care_site": CARE_SITE,
-    "location": " ".join(":".join(c) for c in QUERIES["location"].columns),
-}
+def _given(table: str) -> list[str]:
+    return [c for c, _ in _columns(_CHECKED[table][2])] if table in _CHECKED else []
+
+
+def _relation(table: str) -> str:
+    return f"{{{_CHECKED[table][1]}}}"
 
 
 def _pk_sql() -> str:
     return " union all ".join(
         f"select '{table}' as table_name, count(*) as duplicate_keys, coalesce(sum(n), 0) as rows "
-        f"from (select count(*) as n from {{{relation}}} group by "
-        f"{', '.join(quality.schemas.PRIMARY_KEYS[table])} having count(*) > 1) x"
-        for table, relation in _RELATIONS.items()
+        f"from (select count(*) as n from {_relation(table)} group by {', '.join(key)} "
+        "having count(*) > 1) x"
+        if table in _CHECKED
+        else f"select '{table}', 0, 0"
+        for table, key in quality.schemas.PRIMARY_KEYS.items()
     )
 
 
 def _fk_sql() -> str:
     parts = []
     for child, column, parent, key in quality.schemas.FOREIGN_KEYS:
-        if child not in _RELATIONS or parent not in (*_RELATIONS, "concept"):
-            continue
-        if column not in [c for c, _ in _columns(_TABLE_COLUMNS[child])]:
+        head = (
+            f"select '{child}' as child_table, '{column}' as child_column, "
+            f"'{parent}' as parent_table, "
+        )
+        if column not in _given(child):
+            parts.append(head + "0 as orphan_keys, 0 as orphan_rows")
             continue
+        known = (
+            f"and {column} not in (select {key} from {_relation(parent)})"
+            if key in _given(parent)
+            else ""
+        )
         parts.append(
-            f"select '{child}' as child_table, '{column}' as child_column, "
-            f"'{parent}' as parent_table, count(distinct {column}) as orphan_keys, "
-            f"count(*) as orphan_rows from {{{_RELATIONS[child]}}} where {column} is not null and "
-            f"{column} not in (select {key} from {{{_RELATIONS.get(parent, parent)}}})"
+            head + f"count(distinct {column}) as orphan_keys, count(*) as orphan_rows "
+            f"from {_relation(child)} where {column} is not null {known}"
         )
     return " union all ".join(parts)
 
 
 def _null_sql() -> str:
     parts = []
-    for table, relation in _RELATIONS.items():
-        given = [c for c, _ in _columns(_TABLE_COLUMNS[table])]
-        for field in quality.schemas.CDM[table]:
-            if field.name not in given:
-                continue
+    for table, schema in _DECLARED.items():
+        given = _given(table)
+        for field in schema:
             tests = []
             if not field.nullable:
-                tests.append(("null", f"{field.name} is null"))
+                tests.append(("null", f"{field.name} is null" if field.name in given else "true"))
             if "length" in field.metadata:
+                limit = field.metadata["length"]
                 tests.append(
-                    ("length", f"length(cast({field.name} as varchar)) > {field.metadata['length']}")
+                    (
+                        "length",
+                        f"length(cast({field.name} as varchar)) > {limit}"
+                        if field.name in given
+                        else "false",
+                    )
                 )
             parts += [
                 f"select '{table}' as table_name, '{field.name}' as column_name, '{rule}' as rule, "
-                f"count(*) as rows from {{{relation}}} where {test}"
+                + (
+                    f"count(*) as rows from {_relation(table)} where {test}"
+                    if table in _CHECKED
+                    else "0 as rows"
+                )
                 for rule, test in tests
             ]
     return " union all ".join(parts)
@@ -845,10 +884,7 @@ query(
 query(
     "check_foreign_keys",
     "child_table:string child_column:string parent_table:string orphan_keys orphan_rows",
-    lambda s: quality.check_foreign_keys(
-        {t: df for t, df in _tables(s).items()} | {"concept": s.concept.select("concept_id")}
-    ),
-    _fk_sql(),
+    lambda s: quality.check_foreign_keys(_tables(s)), _fk_sql(),
 )
 query(
     "check_not_null", "table_name:string column_name:string rule:string rows",
@@ -1073,16 +1109,13 @@ for _most in (1, 9):
 
 
 def _filled(s: Stages) -> DataFrame:
-    """Values per column of every CDM table in its declared layout."""
+    """Values per column of all 27 CDM tables in their declared layout."""
     parts = []
     for name, df in _tables(s).items():
-        rows = sinks.conform(df, name)
-        counts = rows.select(*[F.count(c).alias(c) for c in rows.columns])
-        parts.append(
-            counts.unpivot([], rows.columns, "column_name", "filled").withColumn(
-                "table_name", F.lit(name)
-            )
-        )
+        if name in quality.schemas.CDM:
+            counts = df.select(*[F.count(c).alias(c) for c in df.columns])
+            filled = counts.unpivot([], df.columns, "column_name", "filled")
+            parts.append(filled.withColumn("table_name", F.lit(name)))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -1091,15 +1124,15 @@ def _filled(s: Stages) -> DataFrame:
 
 def _filled_sql() -> str:
     parts = []
-    for table, relation in _RELATIONS.items():
-        given = [c for c, _ in _columns(_TABLE_COLUMNS[table])]
+    for table, schema in quality.schemas.CDM.items():
+        given = _given(table)
         counts = ", ".join(
-            f"count({c}) as {c}" if c in given else f"cast(0 as bigint) as {c}"
-            for c in quality.schemas.CDM[table].names
+            f"count({c}) as {c}" if c in given else f"cast(0 as bigint) as {c}" for c in schema.names
         )
+        source = f"from {_relation(table)}" if table in _CHECKED else ""
         parts.append(
             f"select '{table}' as table_name, column_name, filled from (unpivot (select {counts} "
-            f"from {{{relation}}}) on columns(*) into name column_name value filled) u"
+            f"{source}) on columns(*) into name column_name value filled) u"
         )
     return " union all ".join(parts)
 

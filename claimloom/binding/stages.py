@@ -12,7 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import events, money, person, screening, visits, vocab
+from ..operators import eras, events, keys, money, person, screening, visits, vocab
 from ..sources import seeds
 from ..work import store
 from . import raw
@@ -38,6 +38,18 @@ BUILD: dict[str, Callable[[Stages], DataFrame]] = {
     "care_site": lambda s: visits.care_site(s.yk),
     "location": lambda s: visits.location(s.regions),
 }
+# Stored for the integrity checks only: outputs that no later stage reads.
+BUILD_LAST: dict[str, Callable[[Stages], DataFrame]] = {
+    "numbered_period": lambda s: keys.with_identity(
+        s.period, ["person_id", "observation_period_start_date"], "observation_period_id"
+    ),
+    "cost_rows": lambda s: money.cost(
+        s.visit, s.drug, s.procedure, s.device, s.t20, s.k30, s.k60, s.code_map
+    ),
+    "drug_eras": lambda s: eras.drug_era(s.drug, s.ingredient_map),
+    "condition_eras": lambda s: eras.condition_era(s.condition),
+    "dose_eras": lambda s: eras.dose_era(s.drug, s.ingredient_map),
+}
 PARTITIONED = {"code_map": ("use",)}
 
 _stored: dict[tuple[str, str, str], DataFrame] = {}
@@ -48,12 +60,11 @@ class Stages:
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name in BUILD:
+        if name in BUILD or name in BUILD_LAST:
             key = (self.spark.sparkContext.applicationId, self.folder, name)
             if key not in _stored:
-                _stored[key] = store(
-                    BUILD[name](self), f"stage-{name}", PARTITIONED.get(name, ())
-                )
+                built = (BUILD.get(name) or BUILD_LAST[name])(self)
+                _stored[key] = store(built, f"stage-{name}", PARTITIONED.get(name, ()))
             return _stored[key]
         if name.startswith("_"):
             raise AttributeError(name)

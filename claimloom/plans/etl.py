@@ -104,6 +104,15 @@ class _Tables:
         except KeyError:
             return False
 
+    def declared(self, name: str) -> DataFrame | None:
+        """The table, or the empty one of the layout stage; integrity reports take both."""
+        if name in self:
+            return self[name]
+        try:
+            return self.spark.read.parquet(f"{self.out}/{name}")
+        except AnalysisException:
+            return None
+
     def write(self, name: str, df: DataFrame) -> None:
         self.done[name] = sinks.write_cdm(df, name, self.out)
 
@@ -169,7 +178,7 @@ def run_etl(
 
     def constraints():
         """Integrity reports over the tables built so far, as tables below ``checks``."""
-        built = {name: tables[name] for name in schemas.CDM if name in tables}
+        built = {n: df for n in schemas.CDM if (df := tables.declared(n)) is not None}
         target = _Tables(spark, f"{tables.out}/checks")
         target.write_work("primary_keys", quality.check_primary_keys(built))
         target.write_work("foreign_keys", quality.check_foreign_keys(built | vocabulary))

@@ -46,7 +46,7 @@ def conform(df: DataFrame, table: str) -> DataFrame:
                 if f.name in given
                 else F.lit(None).cast(f.dataType)
             ).alias(f.name)
-            for f in schemas.CDM[table]
+            for f in schemas.CDM.get(table) or schemas.VOCABULARY[table]
         ]
     )
 

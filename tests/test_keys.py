@@ -113,3 +113,16 @@ def test_normalise_vocabulary(spark):
         [("Drug ", "", "S")], "domain_id string, invalid_reason string, standard_concept string"
     )
     assert rows(vocab.normalise_vocabulary(raw)) == [("drug", None, "S")]
+
+
+def test_a_full_range_stops_before_any_line_is_written(spark, tmp_path):
+    t20 = spark.createDataFrame(
+        [(1, 10, "20080101", "02", "11", 1, "K1")],
+        "key_seq bigint, person_id bigint, recu_fr_dt string, form_cd string, "
+        "in_pat_cors_type string, vscn int, sub_sick string",
+    )
+    lines = spark.range(10).selectExpr("1L as key_seq", "cast(id as int) as seq_no", "'a' as div_cd")
+    path = tmp_path / "keyed"
+    with pytest.raises(ValueError, match="do not fit"):
+        keys.keyed_lines(lines, t20, keys.TREATMENT, keys.SerialRanges(1), str(path))
+    assert not path.exists()

@@ -125,6 +125,8 @@ def test_empty_tables_and_constraints(spark, inputs, tmp_path):
     tables = etl.run_etl(spark, raw, vocabulary, out, stages=stages)
     assert spark.read.parquet(f"{out}/note").count() == 0
     assert spark.read.parquet(f"{out}/person").count() > 0
+    log = {r[:2]: r[2] for r in rows(tables["stage_log"], "stage", "table_name", "rows")}
+    assert log["person", "person"] == tables["person"].count()
     found = {r[:2]: r[2] for r in rows(tables["checks/foreign_keys"], "child_table", "child_column", "orphan_rows")}
     assert found["death", "person_id"] == 0
     assert found["person", "location_id"] == tables["person"].count()
@@ -162,3 +164,43 @@ def test_bucketed_tables_join_without_shuffle(spark, stages):
         spark.sql("drop table if exists bucketed_drug")
         spark.sql("drop table if exists bucketed_period")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def scans(df, column):
+    """Executed scans that read a column, reused exchanges counted once."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    text = df._jdf.queryExecution().executedPlan().toString()
+    final = text.split("== Initial Plan ==")[0]
+    return sum("FileScan" in line and column in line for line in final.split("\n"))
+
+
+@pytest.mark.parametrize("name", ["dose_era_spans", "drug_era_spans"])
+def test_eras_scan_exposures_once(spark, stages, name):
+    from claimloom.operators import eras
+
+    df = getattr(eras, name)(stages.drug, stages.ingredient_map)
+    assert scans(df, "drug_exposure_start_date") == 1
+
+
+def test_cleansing_shuffles_events_once(spark, stages):
+    from claimloom.operators import cleanse
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(cleanse.cleanse_drug(stages.drug, stages.period))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # One exchange for the events and one for the periods.
+    assert text.count("Exchange hashpartitioning") == 2
+    assert text.count("FileScan") == 2
+
+
+def test_a_declared_table_is_not_taken_for_a_built_one(spark, stages, tmp_path):
+    raw = {n: getattr(stages, n) for n in ("jk", "t20", "t30", "t40", "t60", "gj", "yk")}
+    vocabulary = {"concept": stages.concept, "concept_relationship": stages.relationship,
+                  "concept_ancestor": stages.ancestor}
+    with pytest.raises(KeyError, match="has not been run"):
+        etl.run_etl(spark, raw, vocabulary, str(tmp_path / "cdm"), stages=("ddl", "vocabulary", "eras"))
+    with pytest.raises(ValueError, match="regions"):
+        etl.run_etl(spark, raw, vocabulary, str(tmp_path / "cdm"))
