@@ -30,7 +30,7 @@ from . import common
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents of a bucket on average, and buckets combined in one group of the tree.
-BUCKET_ROWS, FAN_IN = 20_000, 512
+BUCKET_ROWS, FAN_IN = 2_000, 512
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
