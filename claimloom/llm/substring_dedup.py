@@ -167,10 +167,20 @@ def _key(segment: bytes) -> tuple[int, int]:
 
 
 def _touched(docs: DataFrame, repeated: DataFrame, window: int, gram: int) -> DataFrame:
-    """(k1, k2, text, segments) of the texts with repeated minimizers."""
+    """(k1, k2, text, copies, segments) of the texts with repeated minimizers.
+
+    The join sorts equal texts next to each other; those of one batch become one row, so even a
+    very large group of copies leaves few rows.
+    """
     known = common.WordHashes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys = zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)
+        places: dict[tuple[int, int], list[int]] = {}
+        for i, key in enumerate(keys):
+            places.setdefault(key, []).append(i)
+        copies = [len(own) for own in places.values()]
+        batch = batch.take(pa.array([own[0] for own in places.values()], pa.int32()))
         every = []
         for text, repeated in zip(
             common.texts(batch), batch.column("minimizers").to_pylist(), strict=True
@@ -186,13 +196,13 @@ def _touched(docs: DataFrame, repeated: DataFrame, window: int, gram: int) -> Da
         )
         return common.record_batch(
             k1=batch.column("k1"), k2=batch.column("k2"), text=batch.column("text"),
-            segments=pa.array(every, kind),
+            copies=pa.array(copies, pa.int64()), segments=pa.array(every, kind),
         )
 
     rows = _digests(docs).join(repeated, "k1").select("k1", "k2", "text", "minimizers")
     segment = "struct<value: long, begin: long, windows: long, h1: long, h2: long>"
     return common.map_batches(
-        rows, run, f"k1 long, k2 long, text string, segments array<{segment}>"
+        rows, run, f"k1 long, k2 long, text string, copies long, segments array<{segment}>"
     )
 
 
@@ -212,23 +222,26 @@ def _segments(touched: DataFrame, window: int) -> DataFrame:
             )
 
         for batch in common.bounded(batches):
-            for text, segments in zip(
-                common.texts(batch), batch.column("segments").to_pylist(), strict=True
-            ):
+            for text, copies, segments in zip(
+                common.texts(batch), batch.column("copies").to_pylist(),
+                batch.column("segments").to_pylist(), strict=True,
+            ):
                 words = text.split() if segments else []
                 for s in segments:
                     known = held.get((s["h1"], s["h2"]))
                     if known:
-                        known[3] += 1
+                        known[3] += copies
                         continue
                     part = words[s["begin"] : s["begin"] + s["windows"] + window - 1]
-                    held[s["h1"], s["h2"]] = [s["value"], s["windows"], b" ".join(part).decode(), 1]
+                    held[s["h1"], s["h2"]] = [
+                        s["value"], s["windows"], b" ".join(part).decode(), copies
+                    ]
                     if len(held) >= HELD:
                         yield rows()
         if held:
             yield rows()
 
-    return touched.select("text", "segments").mapInArrow(
+    return touched.select("text", "copies", "segments").mapInArrow(
         run, "value long, h1 long, h2 long, windows long, words string, n long"
     )
 
