@@ -112,4 +112,43 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
-ORACLE_SQL: dict[str, str] = {}
+#: The other operators have no form in SQL: tokenizers, learned models, drawn copies, packing, hashes
+#: that SQL does not offer. They are tested against plain versions in ``tests/llm``.
+ORACLE_SQL: dict[str, str] = {
+    "op5_top_k": """
+with whole as (
+    select vec_id, [floor(256 * cast(x as double)) for x in embedding] as v
+    from embeddings
+    where vec_id is not null and embedding is not null
+        and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scored as (
+    select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score
+    from whole q join whole c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id),
+ranked as (
+    select query_id, vec_id, score,
+        cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
+    from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5""",
+    "op7_substring_dedup": r"""
+with split as (
+    select row_number() over () as r, doc_id,
+        [w for w in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') if w <> ''] as words
+    from documents),
+placed as (
+    select r, unnest(words) as word, unnest(range(1, len(words) + 1)) as place from split),
+windows as (
+    select r, place, array_to_string(words[place : place + 34], ' ') as passage
+    from (select r, words, unnest(range(1, len(words) - 33)) as place from split)),
+again as (
+    select r, place as first from windows
+    where passage in (select passage from windows group by passage having count(*) > 1)),
+covered as (
+    select distinct r, unnest(range(first, first + 35)) as place from again),
+kept as (
+    select r, count(*) as n, string_agg(word, ' ' order by place) as rest
+    from placed where (r, place) not in (select r, place from covered) group by r)
+select doc_id, cast(len(words) as bigint) as n_words,
+    cast(len(words) - coalesce(n, 0) as bigint) as n_removed,
+    sha256(coalesce(rest, '')) as kept_sha256
+from split left join kept using (r)""",
+}
