@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-BUCKETS, SAMPLE, AMBIGUOUS, UNKNOWN = 1 << 14, 1500, 0.5, "und"
+BUCKETS, SAMPLE, AMBIGUOUS, UNKNOWN = 1 << 14, 1500, 0.4, "und"
 #: Outputs are sums of weights over (n-grams + PRIOR), times GAIN.
 PRIOR, GAIN = 20.0, 8.0
 SLICE = 1 << 20
