@@ -3,8 +3,9 @@
 Every word shingle is hashed once; the high bits of the hash name a bin, the least rest of each bin
 is kept. An empty bin takes the value of the bin that a sequence of hashes of its own number hits
 first among the full ones, so that two texts with the same full bins fill the others alike. The low
-``BITS`` bits of each value, hashed with its bin, are packed into a hex string. Two fingerprints agree in a bin by chance
-with probability c = 2 ** -BITS; their likeness is (share of equal bins - c) / (1 - c), cut to 0..1.
+``BITS`` bits of each value, hashed with its bin, are packed into a hex string. Two fingerprints
+agree in a bin by chance with probability c = 2 ** -BITS; their likeness is
+(share of equal bins - c) / (1 - c), cut to 0..1.
 
 Defined cases: null text is empty; fewer words than a shingle make one shingle of all words; a text
 without words has the fingerprint of zeros in all bins, like 1 to its own kind and, whatever the
@@ -58,7 +59,8 @@ def sketch(words: np.ndarray, size: int = WORDS) -> np.ndarray:
     least = np.full(BINS, np.iinfo(np.uint64).max)
     for at in range(0, max(1, len(words) - size + 1), SLICE):
         hashes = shingle_hashes(words[at : at + SLICE + size - 1], size)
-        np.minimum.at(least, (hashes >> shift).astype(np.intp), hashes & ((np.uint64(1) << shift) - np.uint64(1)))
+        rest = hashes & ((np.uint64(1) << shift) - np.uint64(1))
+        np.minimum.at(least, (hashes >> shift).astype(np.intp), rest)
     full = least != np.iinfo(np.uint64).max
     empty = np.flatnonzero(~full)
     if len(empty):
@@ -107,6 +109,8 @@ SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
     "edited_fingerprint string, near_edited double, near_next double"
 )
+_KINDS = {"long": pa.int64(), "double": pa.float64(), "string": pa.string()}
+_ARROW = pa.schema([(name, _KINDS[kind]) for name, kind in map(str.split, SCHEMA.split(", "))])
 
 
 def _follow(batches):
@@ -115,7 +119,7 @@ def _follow(batches):
     held = None
     for batch in batches:
         columns = (batch.column(c).to_pylist() for c in ("range", "doc_id", "copy", "text"))
-        out = {c.split()[0]: [] for c in SCHEMA.split(", ")}
+        out = {name: [] for name in _ARROW.names}
         for which, doc_id, copy, text in zip(*columns, strict=True):
             text = text or ""
             bins = sketch(_hashes(text.encode(), known))
@@ -133,12 +137,7 @@ def _follow(batches):
                     column.append(value)
             # Of the rows that begin the next range only the first is needed; none follows it here.
             held = None if copy else (which, doc_id, text, bins)
-        yield pa.RecordBatch.from_pydict(
-            out,
-            pa.schema(
-                [(c, pa.int64() if k == "long" else pa.float64() if k == "double" else pa.string()) for c, k in map(str.split, SCHEMA.split(", "))]
-            ),
-        )
+        yield pa.RecordBatch.from_pydict(out, _ARROW)
 
 
 def with_next(docs: DataFrame) -> DataFrame:

@@ -146,7 +146,8 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     def count(batches):
         sums: dict[str, np.ndarray] = {}
         for batch in common.bounded(batches):
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("lang", "text"))
+            for lang, text in zip(*columns, strict=True):
                 if (found := ngrams(text)) is not None:
                     sums[lang] = sums.get(lang, 0) + found
         for lang, total in sums.items():

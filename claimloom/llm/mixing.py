@@ -41,9 +41,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     one aggregate of a row, the table of sources stays distributed.
     """
     ranked = common.stored(
-        common.ordered(sizes, [F.col("source").asc_nulls_last()], "rank").withColumn(
-            "weight", F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
-        ).withColumn("cap", F.col("source_size") * most),
+        common.ordered(sizes, [F.col("source").asc_nulls_last()], "rank")
+        .withColumn("weight", F.get(F.array(*map(F.lit, weights)), F.col("rank") % len(weights)))
+        .withColumn("cap", F.col("source_size") * most),
         "mix-sources",
     )
     total = ranked.agg(F.sum("source_size")).first()[0] or 0

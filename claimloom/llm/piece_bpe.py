@@ -177,7 +177,8 @@ class Vocabulary:
             open_end[at] = open_end[at + 1]
             moved = np.cumsum(keep) - 1
             new = moved[at]
-            symbol, word, rank, merged, last = symbol[keep], word[keep], rank[keep], merged[keep], open_end[keep]
+            symbol, word, last = symbol[keep], word[keep], open_end[keep]
+            rank, merged = rank[keep], merged[keep]
             beside = np.r_[new, new[(new > 0)] - 1]
             beside = beside[~last[beside]]
             rank[new] = _NONE
@@ -235,10 +236,10 @@ class Vocabulary:
             where, what = self._rounds([words[i] for i in short])
             where = short[where]
         odd = np.unique(where[(what < 0) | (what >= len(self.surface))])
-        special = {
-            i: self._to_ids(what[np.searchsorted(where, i) : np.searchsorted(where, i, "right")].tolist(), words[i])
-            for i in odd.tolist()
-        } | {i: self._queue(w) for i, w in enumerate(words) if len(w) > LONG}
+        special = {i: self._queue(w) for i, w in enumerate(words) if len(w) > LONG}
+        for i in odd.tolist():
+            own = slice(*np.searchsorted(where, [i, i + 1]))
+            special[i] = self._to_ids(what[own].tolist(), words[i])
         # Words that need no spelling keep their symbols, which are ids.
         plain = ~np.isin(where, odd)
         where, what = where[plain], what[plain]

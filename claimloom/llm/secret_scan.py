@@ -118,10 +118,11 @@ def _sample(docs: DataFrame, size: int) -> dict[str, list[str]]:
                         offer(ORDINARY, string)
         rows = [(k, s, -h - (1 << 63)) for k, heap in heaps.items() for h, s in heap]
         if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64()), strict=True)],
-                ["kind", "string", "hash"],
-            )
+            kinds, strings, hashes = zip(*rows, strict=True)
+            yield common.record_batch(
+                kind=pa.array(kinds, pa.string()), string=pa.array(strings, pa.string()),
+                hash=pa.array(hashes, pa.int64()),
+            )
 
     common.prepare(docs.sparkSession)
     found = common.stored(

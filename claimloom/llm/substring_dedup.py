@@ -308,12 +308,17 @@ def _matches(touched: DataFrame, window: int, shard_words: int) -> DataFrame:
 
     def cells(chunk):
         """A chunk is indexed in its row of the grid and asks in its column."""
-        return F.transform(
-            others,
-            lambda x: F.struct(chunk.alias("i"), x.alias("j"), F.lit(True).alias("indexed"), (x == chunk).alias("asked")),
-        ), F.transform(
-            F.filter(others, lambda x: x != chunk),
-            lambda x: F.struct(x.alias("i"), chunk.alias("j"), F.lit(False).alias("indexed"), F.lit(True).alias("asked")),
+
+        def cell(i, j, indexed, asked):
+            return F.struct(
+                i.alias("i"), j.alias("j"), indexed.alias("indexed"), asked.alias("asked")
+            )
+
+        yes, no = F.lit(True), F.lit(False)
+        rest = F.filter(others, lambda x: x != chunk)
+        return (
+            F.transform(others, lambda x: cell(chunk, x, yes, x == chunk)),
+            F.transform(rest, lambda x: cell(x, chunk, no, yes)),
         )
 
     dealt = segments.withColumn("own", own).select(

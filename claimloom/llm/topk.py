@@ -66,7 +66,7 @@ def search_block(
     def rest(of: np.ndarray) -> np.ndarray:
         """Length of what is left from each cut on, rounded up a little."""
         squares = np.cumsum((of**2)[::-1], axis=0)[::-1]
-        return np.sqrt(np.vstack([squares[cuts], np.zeros(of.shape[1])]) if len(of) else np.zeros((2, of.shape[1]))) * (1 + 1e-9)
+        return np.sqrt(squares[cuts] if len(of) else np.zeros((1, of.shape[1]))) * (1 + 1e-9)
 
     query_rest, vector_rest = rest(queries), rest(vectors)
     out = []
@@ -90,8 +90,9 @@ def search_block(
                     break
                 part = slice(cut, cut + DIMENSIONS)
                 # Only a chunk that is still whole is a view; survivors are gathered.
-                held = vectors[part, alive[0] : alive[-1] + 1] if alive[-1] - alive[0] + 1 == len(alive) else vectors[part][:, alive]
-                sums = sums + query[part] @ held
+                first, end = alive[0], alive[-1] + 1
+                whole = end - first == len(alive)
+                sums = sums + query[part] @ (vectors[part, first:end] if whole else vectors[part][:, alive])
             keep = sums >= floor
             if keep.any():
                 best_ids, best = _best(
