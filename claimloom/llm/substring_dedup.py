@@ -246,34 +246,51 @@ def _segments(touched: DataFrame, window: int) -> DataFrame:
     )
 
 
+def _search(words, windows, indexed, asks, names, window: int) -> list[tuple]:
+    """(name, first window, last window) of what the asking segments share with indexed ones."""
+    numbers: dict[str, int] = {}
+    symbols, lengths = [], []
+    for segment in words:
+        split = segment.split(" ")
+        symbols += [numbers.setdefault(w, len(numbers) + 1) for w in split]
+        symbols.append(0)
+        lengths.append(len(split) + 1)
+    text, lengths = np.array(symbols, np.int64), np.array(lengths)
+    offset = np.cumsum(lengths) - lengths
+    part = text if indexed.all() else text[np.repeat(indexed, lengths)]
+    index = FmIndex(part, int(lengths.max()), len(numbers))
+    found = []
+    # An indexed segment meets itself once.
+    for need, which in ((2, indexed), (1, ~indexed)):
+        open_windows = np.where(asks & which, windows, 0)
+        if open_windows.any():
+            at, first, last = repeated_windows(index, text, offset, open_windows, window, need)
+            found.append((names[at], first, last))
+    return found
+
+
 def _match(window: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         """Windows of the frame's queries that repeat among its indexed segments."""
         frame = frame.groupby(["h1", "h2"], sort=True, as_index=False).agg(
-            {"windows": "first", "words": "first", "n": "sum", "indexed": "max", "asked": "max"}
+            {
+                "value": "first", "windows": "first", "words": "first", "n": "sum",
+                "indexed": "max", "asked": "max",
+            }
         )
-        names: dict[str, int] = {}
-        symbols, lengths = [], []
-        for words in frame["words"]:
-            split = words.split(" ")
-            symbols += [names.setdefault(w, len(names) + 1) for w in split]
-            symbols.append(0)
-            lengths.append(len(split) + 1)
-        text, lengths = np.array(symbols, np.int64), np.array(lengths)
-        offset, windows = np.cumsum(lengths) - lengths, frame["windows"].to_numpy()
+        windows, several = frame["windows"].to_numpy(), frame["n"].to_numpy() > 1
         indexed, asked = frame["indexed"].to_numpy(), frame["asked"].to_numpy()
-        several = frame["n"].to_numpy() > 1
-        found = [
-            (i, np.zeros(len(i), np.int64), windows[i] - 1)
-            for i in [np.flatnonzero(asked & several)]
-        ]
-        if indexed.any():
-            part = text if indexed.all() else text[np.repeat(indexed, lengths)]
-            index = FmIndex(part, int(lengths.max()), len(names))
-            for need, which in ((2, indexed), (1, ~indexed)):
-                open_windows = np.where(asked & which & ~several, windows, 0)
-                if open_windows.any():
-                    found.append(repeated_windows(index, text, offset, open_windows, window, need))
+        # Segments that came more than once repeat as a whole.
+        whole = np.flatnonzero(asked & several)
+        found = [(whole, np.zeros(len(whole), np.int64), windows[whole] - 1)]
+        # Windows only meet windows of their minimizer: those without an open segment are settled.
+        open_values = frame["value"][asked & ~several].unique()
+        kept = np.flatnonzero(frame["value"].isin(open_values).to_numpy())
+        if indexed[kept].any():
+            found += _search(
+                frame["words"].to_numpy()[kept], windows[kept], indexed[kept],
+                (asked & ~several)[kept], kept, window,
+            )
         which, first, last = (np.concatenate(c) for c in zip(*found, strict=True))
         return pd.DataFrame(
             {
@@ -328,7 +345,7 @@ def _matches(touched: DataFrame, window: int, shard_words: int) -> DataFrame:
     shard = F.when(F.col("large").isNull(), F.pmod("value", F.lit(shards)))
     return (
         dealt.select(
-            shard.alias("shard"), "large", "cell.*", "h1", "h2", "windows", "words", "n"
+            shard.alias("shard"), "large", "cell.*", "value", "h1", "h2", "windows", "words", "n"
         )
         .groupBy("shard", "large", "i", "j")
         .applyInPandas(_match(window), "h1 long, h2 long, first long, last long")
