@@ -7,9 +7,9 @@ import shutil
 import tempfile
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -117,16 +117,54 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return batch.column(column).cast(pa.binary()).fill_null(b"").to_pylist()
 
 
-class WordHashes(dict):
-    """XXH64 of words, kept for words seen before; forgets all when it holds ``LIMIT`` words."""
+#: Bytes of a text whose words are hashed at once.
+PIECE = 1 << 20
+_SPACES = b" \t\n\r\x0b\x0c"
+_IS_SPACE = np.isin(np.arange(256), list(_SPACES))
+_ODD = 0x9E3779B97F4A7C15
+_BYTE = np.random.default_rng(11).integers(0, 1 << 64, 256, dtype=np.uint64)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-    LIMIT = 1 << 17
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word, 42)
-        return value
+def _grown(size: int) -> list[np.ndarray]:
+    """Powers of an odd number and of its inverse modulo 2**64."""
+    if len(_powers[0]) < size:
+        for i, base in enumerate((_ODD, pow(_ODD, -1, 1 << 64))):
+            steps = np.full(max(size, 1 << 16), base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps)
+    return _powers
+
+
+def _piece_hashes(text: bytes) -> np.ndarray:
+    data = np.frombuffer(text, np.uint8)
+    edges = np.flatnonzero(np.diff(~_IS_SPACE[data], prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    powers, inverse = _grown(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * powers[: len(data)], out=sums[1:])
+    hashes = (sums[ends] - sums[starts]) * inverse[starts]
+    hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return hashes ^ (hashes >> np.uint64(29))
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word between ASCII white space, for a whole text at once.
+
+    A word's hash is a polynomial in its bytes, taken from running sums over the text; long texts
+    are hashed in pieces that end at white space.
+    """
+    parts, at = [], 0
+    while len(text) - at > PIECE:
+        end = max(text.rfind(bytes([c]), at, at + PIECE) for c in _SPACES)
+        if end <= at:
+            # One word is longer than a piece.
+            found = [e for c in _SPACES if (e := text.find(bytes([c]), at + 1)) > 0]
+            end = min(found, default=len(text))
+        parts.append(_piece_hashes(text[at:end]))
+        at = end
+    parts.append(_piece_hashes(text[at:]) if at < len(text) else np.zeros(0, np.uint64))
+    return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
 def gapless(df: DataFrame, group: Column, order: list[Column], buckets: int, name: str) -> DataFrame:

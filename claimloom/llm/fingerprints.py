@@ -83,17 +83,11 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return min(1.0, max(0.0, (float((a == b).mean()) - chance) / (1 - chance)))
 
 
-def _hashes(text: bytes, known: common.WordHashes) -> np.ndarray:
-    words = text.split()
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
 def fingerprints(docs: DataFrame, size: int = WORDS) -> DataFrame:
     """(doc_id, fingerprint) for each row."""
-    known = common.WordHashes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        prints = [pack(sketch(_hashes(t, known), size)) for t in common.texts(batch)]
+        prints = [pack(sketch(common.word_hashes(t), size)) for t in common.texts(batch)]
         return common.record_batch(doc_id=batch.column("doc_id"), fingerprint=pa.array(prints, pa.string()))
 
     return common.map_batches(common.documents(docs, "text"), run, "doc_id long, fingerprint string")
@@ -115,19 +109,18 @@ _ARROW = pa.schema([(name, _KINDS[kind]) for name, kind in map(str.split, SCHEMA
 
 def _follow(batches):
     """Rows of a range come in order, each range followed by the first row of the next one."""
-    known = common.WordHashes()
     held = None
     for batch in batches:
         columns = (batch.column(c).to_pylist() for c in ("range", "doc_id", "copy", "text"))
         out = {name: [] for name in _ARROW.names}
         for which, doc_id, copy, text in zip(*columns, strict=True):
             text = text or ""
-            bins = sketch(_hashes(text.encode(), known))
+            bins = sketch(common.word_hashes(text.encode()))
             if held is not None and held[0] == which:
                 _, before_id, before, before_bins = held
                 changed = edited(before, text)
                 raw = changed.encode()
-                changed_bins = before_bins if changed == before else sketch(_hashes(raw, known))
+                changed_bins = before_bins if changed == before else sketch(common.word_hashes(raw))
                 row = (
                     before_id, len(before), hashlib.sha256(raw).hexdigest(), pack(before_bins),
                     pack(changed_bins), likeness(before_bins, changed_bins),

@@ -78,9 +78,8 @@ def _grams(words: np.ndarray, size: int) -> np.ndarray:
         length *= 2
 
 
-def _minimizers(words: list[bytes], known: common.WordHashes, window: int, gram: int):
-    """(hashes of grams, minimizer of each window) of a text of a window or more."""
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def _minimizers(hashes: np.ndarray, window: int, gram: int):
+    """(hashes of grams, minimizer of each window) of the words of a text of a window or more."""
     grams = _grams(hashes, gram)
     return grams, _over(grams, window - gram + 1, np.minimum)
 
@@ -101,7 +100,6 @@ def _digests(docs: DataFrame, *columns) -> DataFrame:
 
 def _first_pass(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """(doc_id, k1, k2, n_words, all_sha256, minimizers): what each row has if nothing is removed."""
-    known = common.WordHashes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts, digests, found = [], [], []
@@ -112,7 +110,7 @@ def _first_pass(docs: DataFrame, window: int, gram: int) -> DataFrame:
             if len(words) < window:
                 found.append(None)
             else:
-                grams, least = _minimizers(words, known, window, gram)
+                grams, least = _minimizers(common.word_hashes(text), window, gram)
                 found.append(_chosen(grams, least, window - gram + 1).view(np.int64))
         return common.record_batch(
             doc_id=batch.column("doc_id"), k1=batch.column("k1"), k2=batch.column("k2"),
@@ -139,12 +137,12 @@ def _repeated(first: DataFrame) -> DataFrame:
     return met.groupBy("k1").agg(F.collect_set("value").alias("minimizers"))
 
 
-def _cut(text: bytes, repeated: list[int], known: common.WordHashes, window: int, gram: int):
+def _cut(text: bytes, repeated: list[int], window: int, gram: int):
     """(words, minimizer, first word, windows) of a text's segments."""
     words = text.split()
     if len(words) < window:
         return words, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    _, least = _minimizers(words, known, window, gram)
+    _, least = _minimizers(common.word_hashes(text), window, gram)
     least = least.view(np.int64)
     inside = np.isin(least, np.array(repeated, np.int64))
     turn = np.concatenate([[True], (least[1:] != least[:-1]) | (inside[1:] != inside[:-1])])
@@ -172,7 +170,6 @@ def _touched(docs: DataFrame, repeated: DataFrame, window: int, gram: int) -> Da
     The join sorts equal texts next to each other; those of one batch become one row, so even a
     very large group of copies leaves few rows.
     """
-    known = common.WordHashes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         keys = zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)
@@ -185,7 +182,7 @@ def _touched(docs: DataFrame, repeated: DataFrame, window: int, gram: int) -> Da
         for text, repeated in zip(
             common.texts(batch), batch.column("minimizers").to_pylist(), strict=True
         ):
-            words, value, begin, windows = _cut(text, repeated, known, window, gram)
+            words, value, begin, windows = _cut(text, repeated, window, gram)
             found = []
             for v, b, n in zip(value.tolist(), begin.tolist(), windows.tolist(), strict=True):
                 h1, h2 = _key(b" ".join(words[b : b + n + window - 1]))
