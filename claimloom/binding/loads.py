@@ -87,9 +87,9 @@ def ingest_incremental_batch(s: Stages) -> DataFrame:
     """Called twice over the same files: the second call adds only the year that was missing."""
     own, target = years(s), fresh_path(s.spark, "batches")
     folder = write_years(s, own[:-1])
-    for _ in range(2):
-        loader.ingest_incremental_batch(s.spark, folder, CLAIM_FILE, own, own[0] + 1, target)
-        write_years(s, own[-1:], folder) if _ == 0 else None
+    loader.ingest_incremental_batch(s.spark, folder, CLAIM_FILE, own, own[0] + 1, target)
+    write_years(s, own[-1:], folder)
+    loader.ingest_incremental_batch(s.spark, folder, CLAIM_FILE, own, own[0] + 1, target)
     return s.spark.read.option("mergeSchema", True).parquet(target)
 
 

@@ -644,10 +644,10 @@ for _name, _source, _field, _above in (
         ),
         f"""
 select key_seq, seq_no, div_cd, {_field}, target_concept_id, concept_name
-from (select * from {{t{_source}}} where {f"{_number} > 1" if _above else f"{_number} between 0 and 1 and {_number} <> 1"}) line
+from (select * from {{t{_source}}} where {_number} {"> 1" if _above else "between 0 and 1"}) line
 join (select source_code as div_cd, target_concept_id, target_concept_id as concept_id
       from {{smap}} where domain_id = 'drug') drug using (div_cd)
-join {{concept}} using (concept_id)""",
+join {{concept}} using (concept_id) where {_number} <> 1""",
     )
 query(
     "dq_condition_mapped", "count",
@@ -784,7 +784,8 @@ _CHECKED = {
         "ancestor", "ancestor", "ancestor_concept_id descendant_concept_id"
     ),
     "concept_relationship": (
-        "relationship", "relationship", " ".join(quality.schemas.VOCABULARY["concept_relationship"].names)
+        "relationship", "relationship",
+        " ".join(quality.schemas.VOCABULARY["concept_relationship"].names),
     ),
 } | {table: (stage, stage, f"{table}_id " + columns) for stage, (table, columns) in _ERA_IDS.items()}
 _DECLARED = quality.schemas.CDM | quality.schemas.VOCABULARY

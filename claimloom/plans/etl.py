@@ -341,6 +341,7 @@ def run_etl(
         written = {n: df for n, df in tables.done.items() if before.get(n) is not df}
         outputs = sorted(n for n in written if n in OUTPUTS.get(stage, (stage,)))
         entries += [(stage, name, written[name].count(), seconds) for name in outputs]
-        log.info("stage %s took %.1f s: %s", stage, seconds, entries[-len(outputs) :] if outputs else "")
+        rows = {table: n for at, table, n, _ in entries if at == stage}
+        log.info("stage %s took %.1f s: %s", stage, seconds, rows)
     tables.write_work("stage_log", sinks.stage_log(spark, entries))
     return tables.done
