@@ -5,8 +5,14 @@ kind, those of least hash over all documents) state merging infers one probabili
 kind, and another one from as many ordinary long strings. Every run of 12 or more credential
 characters in every text is then a candidate; its score is the mean log likelihood under a kind's
 automaton less that under the ordinary one. A candidate is reported, as ``like_<kind>``, if it is
-as likely as 99 of 100 labelled strings of the kind and its score beats all ordinary ones of the
-sample. Base matches always stay.
+as likely as 99 of 100 labelled strings of the kind are by an automaton of others, and more likely
+one of them than an ordinary string, by the likelihood ratio of the whole string and the shares of
+both in the sample. Base matches always stay.
+
+The ordinary sample holds unlabelled credentials too. Its strings that a format explains better or
+nearly as well as an automaton of other ordinary strings are set aside and the automaton is learned
+again from the rest, until nothing changes or for ``ROUNDS`` rounds; the last rest is what ordinary
+means. Where all runs of a table look like a format, nothing tells them apart and all are reported.
 
 Defined cases: null text is empty and has no spans; without labelled strings of a kind nothing is
 reported for it; positions are code points, ends exclusive; repeated rows give repeated results.
@@ -15,6 +21,7 @@ reported for it; positions are code points, ends exclusive; repeated rows give r
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -24,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 from . import common
-from .grammar import Automaton
+from .grammar import ALPHABET, Automaton
 
 # Base patterns and the least length of what they must match.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -40,6 +47,10 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
 KINDS = [*BASE, *(f"like_{k}" for k in BASE)]
 ORDINARY = "ordinary"
 SAMPLE = 600
+#: Rounds of setting strings aside, and the least strings an automaton of ordinary ones is cut to.
+ROUNDS, LEAST_ORDINARY = 10, 50
+#: Strings that are ordinary by a lesser log likelihood ratio than this are set aside as well.
+DOUBT = 3.0
 
 Span = tuple[str, int, int]
 
@@ -70,7 +81,7 @@ def candidates(text: str, base: list[tuple[str, int, int, str]]) -> Iterator[tup
 class Model:
     formats: dict[str, Automaton] = field(default_factory=dict)
     ordinary: Automaton | None = None
-    #: Least log likelihood and least score for each kind.
+    #: Least mean log likelihood and least log likelihood ratio of a string for each kind.
     limits: dict[str, tuple[float, float]] = field(default_factory=dict)
     _known: dict[str, str | None] = field(default_factory=dict, repr=False)
 
@@ -79,12 +90,12 @@ class Model:
         if string not in self._known:
             if len(self._known) > 1 << 17:
                 self._known.clear()
-            usual = self.ordinary.score(string) if self.ordinary else 0.0
+            usual = _usual(self.ordinary, string)
             scores = {k: a.score(string) for k, a in self.formats.items()}
             best = [
                 (s, k)
                 for k, s in scores.items()
-                if s >= self.limits[k][0] and s - usual > self.limits[k][1]
+                if s >= self.limits[k][0] and (s - usual) * (len(string) + 1) > self.limits[k][1]
             ]
             self._known[string] = max(best)[1] if best else None
         return self._known[string]
@@ -138,17 +149,57 @@ def _sample(docs: DataFrame, size: int) -> dict[str, list[str]]:
     }
 
 
+def _usual(ordinary: Automaton | None, string: str) -> float:
+    """Mean log likelihood as an ordinary string; all symbols are alike where none is known."""
+    return ordinary.score(string) if ordinary else -math.log(ALPHABET + 1)
+
+
+def _unseen_scores(labelled: list[str]) -> list[float]:
+    """Scores of labelled strings by automata of the other half: what a new string may expect."""
+    halves = labelled[::2], labelled[1::2]
+    if not halves[1]:
+        return [Automaton(labelled).score(s) for s in labelled]
+    return [score for a, b in (halves, halves[::-1]) for score in map(Automaton(a).score, b)]
+
+
+def _explained(strings: list[str], automaton: Automaton, labelled: int) -> set[str]:
+    """Strings of the ordinary sample that other ordinary ones do not explain clearly better than the format.
+
+    A string is judged by an automaton that did not see it, learned from no more strings than half
+    of the ``labelled`` ones: else credentials in the sample would explain themselves.
+    """
+    likely = {s: automaton.score(s) for s in strings}
+    most, aside = max(labelled // 2, LEAST_ORDINARY), set()
+    for _ in range(ROUNDS):
+        found = set()
+        for fold in (0, 1):
+            others = [s for s in strings[1 - fold :: 2] if s not in aside][:most]
+            ordinary = Automaton(others) if others else None
+            found |= {
+                s for s in strings[fold::2]
+                if (likely[s] - _usual(ordinary, s)) * (len(s) + 1) > -DOUBT
+            }
+        if found == aside:
+            break
+        aside = found
+    return aside
+
+
 def train(strings: dict[str, list[str]]) -> Model:
     model = Model()
     usual = strings.get(ORDINARY, [])
-    if usual:
-        model.ordinary = Automaton(usual)
+    aside: dict[str, set[str]] = {}
     for kind in BASE:
         if labelled := strings.get(kind):
             model.formats[kind] = automaton = Automaton(labelled)
-            likely = sorted(map(automaton.score, labelled))[len(labelled) // 100]
-            beaten = [automaton.score(s) - model.ordinary.score(s) for s in usual]
-            model.limits[kind] = (likely, max([0.0, *beaten]))
+            aside[kind] = _explained(usual, automaton, len(labelled))
+            likely = sorted(_unseen_scores(labelled))[len(labelled) // 100]
+            model.limits[kind] = (likely, 0.0)
+    if rest := [s for s in usual if not any(s in found for found in aside.values())]:
+        model.ordinary = Automaton(rest)
+    for kind, found in aside.items():
+        odds = math.log((len(rest) + 1) / (len(found) + 1))
+        model.limits[kind] = (model.limits[kind][0], max(0.0, odds))
     return model
 
 

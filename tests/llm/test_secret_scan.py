@@ -80,3 +80,23 @@ def test_query_digest(spark):
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[0] == k for s in base) for k in order)
         assert [s for s in r.spans.split(",") if s and not s.startswith("like")] == [s for s in joined.split(",") if s]
+
+
+def _mixed(spark, labelled, bare, words):
+    """A row for each labelled key, bare key and ordinary long word; ids from 0, 10000 and 20000."""
+    draw = random.Random(11)
+    key = lambda: "sk_" + "".join(draw.choices("ABCDEFGHJKLMNPQRSTUVWXYZ23456789", k=28))
+    word = lambda: "".join(draw.choices("etaoinshrdlu", k=draw.randint(12, 18)))
+    rows = [(i, f"a token={key()} b") for i in range(labelled)]
+    rows += [(10000 + i, f"see {key()} there") for i in range(bare)]
+    rows += [(20000 + i, f"an {word()} of") for i in range(words)]
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_bare_credentials_that_are_in_the_sample_themselves(spark):
+    """All runs of the first table are sampled; a third of those of the second are bare keys."""
+    for labelled, bare, words in ((100, 150, 300), (300, 600, 1200)):
+        docs = _mixed(spark, labelled, bare, words)
+        found = {r.doc_id: [s.kind for s in r.spans] for r in secret_scan.find_secrets(docs).collect()}
+        assert sum(found[10000 + i] == ["like_assign"] for i in range(bare)) >= 0.95 * bare
+        assert sum(bool(found[20000 + i]) for i in range(words)) <= 0.01 * words
