@@ -3,7 +3,8 @@
 Base matches label credentials. From a bounded sample of them (``SAMPLE`` distinct strings of a
 kind, those of least hash over all documents) state merging infers one probabilistic automaton a
 kind, and another one from as many ordinary long strings. Every run of 12 or more credential
-characters in every text is then a candidate; its score is the mean log likelihood under a kind's
+characters in every text is then a candidate, or what base matches inside it leave on either side,
+if that has 12 or more characters; its score is the mean log likelihood under a kind's
 automaton less that under the ordinary one. A candidate is reported, as ``like_<kind>``, if it is
 as likely as 99 of 100 labelled strings of the kind are by an automaton of others, and more likely
 one of them than an ordinary string, by the likelihood ratio of the whole string and the shares of
@@ -43,7 +44,10 @@ BASE = {
 # End of fixed values.
 #: Longest runs only are tried for hex: shorter ones fail anyway, and none overlaps another.
 LONG_HEX = re.compile(r"[0-9a-f]{16,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
+LEAST = 12
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=-]{{{LEAST},}}")
+#: Marks between credentials that are written as one run.
+JOINTS = "+/_.=-"
 KINDS = [*BASE, *(f"like_{k}" for k in BASE)]
 ORDINARY = "ordinary"
 SAMPLE = 600
@@ -66,15 +70,19 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
 
 
 def candidates(text: str, base: list[tuple[str, int, int, str]]) -> Iterator[tuple[int, int, str]]:
-    """Runs of credential characters that no base match touches."""
+    """What base matches leave of the runs of credential characters, 12 or more characters each."""
     taken = sorted((start, end) for _, start, end, _ in base)
-    at = 0
+    at, free = 0, 0
     for match in CANDIDATE.finditer(text):
-        while at < len(taken) and taken[at][1] <= match.start():
-            at += 1
-        # A long match that begins earlier may end later than the next ones.
-        if not any(s < match.end() and e > match.start() for s, e in taken[max(0, at - 3) : at + 2]):
-            yield match.start(), match.end(), match[0]
+        # Everything before ``free`` is taken or done.
+        free = max(free, match.start())
+        while at < len(taken) and taken[at][0] < match.end():
+            start, end = taken[at]
+            if start - free >= LEAST:
+                yield free, start, text[free:start]
+            free, at = max(free, end), at + 1
+        if match.end() - free >= LEAST:
+            yield free, match.end(), text[free : match.end()]
 
 
 @dataclass
@@ -212,8 +220,17 @@ def spans(text: str, model: Model) -> list[Span]:
     """(kind, start, end) by start, then kind: base matches and strings of a learned format."""
     base = base_spans(text)
     found = [s[:3] for s in base]
+    edges = {p for s in base for p in s[1:3]}
     for start, end, string in candidates(text, base):
-        if kind := model.kind(string):
+        kind = model.kind(string)
+        if not kind:
+            # The rest of a run may have the mark that joined it to a base match.
+            first = len(string) - len(string.lstrip(JOINTS)) if start in edges else 0
+            last = len(string.rstrip(JOINTS)) if end in edges else len(string)
+            if LEAST <= last - first < len(string):
+                kind = model.kind(string[first:last])
+                start, end = start + first, start + last
+        if kind:
             found.append((f"like_{kind}", start, end))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
