@@ -18,7 +18,7 @@ class _State:
     took: dict[str, int] = field(default_factory=dict)
 
 
-def _prefix_tree(strings: list[str]) -> list[_State]:
+def _prefix_tree(strings: list[str], longest: int | None) -> list[_State]:
     states = [_State()]
     for string in strings:
         at = 0
@@ -31,7 +31,7 @@ def _prefix_tree(strings: list[str]) -> list[_State]:
                 states.append(_State())
             at = state.next[symbol]
             states[at].came += 1
-        states[at].ended += 1
+        states[at].ended += longest is None or len(string) < longest
     return states
 
 
@@ -44,12 +44,13 @@ class Automaton:
     """States merged while their endings and transitions, followed down the tree, are compatible.
 
     ``alpha`` is the test's error level; states are compared only with states already fixed, in the
-    order of the tree, so the result depends on the strings alone.
+    order of the tree, so the result depends on the strings alone. Strings of ``longest`` characters
+    are heads of longer ones and do not end.
     """
 
-    def __init__(self, strings: list[str], alpha: float = 0.05):
+    def __init__(self, strings: list[str], alpha: float = 0.05, longest: int | None = None):
         self._bound = math.sqrt(0.5 * math.log(2 / alpha))
-        self._states = states = _prefix_tree(strings)
+        self._states = states = _prefix_tree(strings, longest)
         fixed = [0]
         border = sorted(states[0].next.items())
         waiting = [(0, s) for s, _ in border]

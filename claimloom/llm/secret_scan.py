@@ -1,11 +1,11 @@
 """Secret scan: base patterns, and formats learned from them by grammar inference.
 
 Base matches label credentials. From a bounded sample of them (``SAMPLE`` distinct strings of a
-kind, those of least hash over all documents) state merging infers one probabilistic automaton a
-kind, and another one from as many ordinary long strings. Every run of 12 or more credential
-characters in every text is then a candidate, or what base matches inside it leave on either side,
-if that has 12 or more characters; its score is the mean log likelihood under a kind's
-automaton less that under the ordinary one. A candidate is reported, as ``like_<kind>``, if it is
+kind, those of least hash over all documents, of long ones the first ``LONGEST`` characters) state
+merging infers one probabilistic automaton a kind, and another one from as many ordinary long
+strings. Every run of 12 or more credential characters in every text is then a candidate, or what
+base matches inside it leave on either side, if that has 12 or more characters; its score is the
+mean log likelihood of all of it under a kind's automaton less that under the ordinary one. A candidate is reported, as ``like_<kind>``, if it is
 as likely as 99 of 100 labelled strings of the kind are by an automaton of others, and more likely
 one of them than an ordinary string, by the likelihood ratio of the whole string and the shares of
 both in the sample. Base matches always stay.
@@ -51,6 +51,9 @@ JOINTS = "+/_.=-"
 KINDS = [*BASE, *(f"like_{k}" for k in BASE)]
 ORDINARY = "ordinary"
 SAMPLE = 600
+#: Sampled strings stand for themselves up to this length and are open-ended heads beyond; scored
+#: ones are whole. Results of longer strings are not kept for their repeats.
+LONGEST = 256
 #: Rounds of setting strings aside, and the least strings an automaton of ordinary ones is cut to.
 ROUNDS, LEAST_ORDINARY = 10, 50
 #: Strings that are ordinary by a lesser log likelihood ratio than this are set aside as well.
@@ -95,19 +98,24 @@ class Model:
 
     def kind(self, string: str) -> str | None:
         """The most likely format that accepts the string, if any."""
+        if len(string) > LONGEST:
+            return self._kind(string)
         if string not in self._known:
             if len(self._known) > 1 << 17:
                 self._known.clear()
-            usual = _usual(self.ordinary, string)
-            scores = {k: a.score(string) for k, a in self.formats.items()}
-            best = [
-                (s, k)
-                for k, s in scores.items()
-                if s >= self.limits[k][0] and (s - usual) * (len(string) + 1) > self.limits[k][1]
-            ]
-            self._known[string] = max(best)[1] if best else None
+            self._known[string] = self._kind(string)
         return self._known[string]
 
+    def _kind(self, string: str) -> str | None:
+        usual = _usual(self.ordinary, string)
+        scores = {k: a.score(string) for k, a in self.formats.items()}
+        best = [
+            (s, k)
+            for k, s in scores.items()
+            if s >= self.limits[k][0] and (s - usual) * (len(string) + 1) > self.limits[k][1]
+        ]
+        return max(best)[1] if best else None
+
 
 def _sample(docs: DataFrame, size: int) -> dict[str, list[str]]:
     """Strings of each kind and ordinary candidates with the least hashes over all documents."""
@@ -117,6 +125,7 @@ def _sample(docs: DataFrame, size: int) -> dict[str, list[str]]:
         held: dict[str, set[str]] = {k: set() for k in heaps}
 
         def offer(kind: str, string: str) -> None:
+            string = string[:LONGEST]
             item = (-xxhash.xxh64_intdigest(string, 7), string)
             heap, known = heaps[kind], held[kind]
             if string in known or (len(heap) == size and item <= heap[0]):
@@ -166,8 +175,9 @@ def _unseen_scores(labelled: list[str]) -> list[float]:
     """Scores of labelled strings by automata of the other half: what a new string may expect."""
     halves = labelled[::2], labelled[1::2]
     if not halves[1]:
-        return [Automaton(labelled).score(s) for s in labelled]
-    return [score for a, b in (halves, halves[::-1]) for score in map(Automaton(a).score, b)]
+        return [Automaton(labelled, longest=LONGEST).score(s) for s in labelled]
+    learned = [Automaton(half, longest=LONGEST) for half in halves[::-1]]
+    return [a.score(s) for a, half in zip(learned, halves, strict=True) for s in half]
 
 
 def _explained(strings: list[str], automaton: Automaton, labelled: int) -> set[str]:
@@ -182,7 +192,7 @@ def _explained(strings: list[str], automaton: Automaton, labelled: int) -> set[s
         found = set()
         for fold in (0, 1):
             others = [s for s in strings[1 - fold :: 2] if s not in aside][:most]
-            ordinary = Automaton(others) if others else None
+            ordinary = Automaton(others, longest=LONGEST) if others else None
             found |= {
                 s for s in strings[fold::2]
                 if (likely[s] - _usual(ordinary, s)) * (len(s) + 1) > -DOUBT
@@ -199,12 +209,12 @@ def train(strings: dict[str, list[str]]) -> Model:
     aside: dict[str, set[str]] = {}
     for kind in BASE:
         if labelled := strings.get(kind):
-            model.formats[kind] = automaton = Automaton(labelled)
+            model.formats[kind] = automaton = Automaton(labelled, longest=LONGEST)
             aside[kind] = _explained(usual, automaton, len(labelled))
             likely = sorted(_unseen_scores(labelled))[len(labelled) // 100]
             model.limits[kind] = (likely, 0.0)
     if rest := [s for s in usual if not any(s in found for found in aside.values())]:
-        model.ordinary = Automaton(rest)
+        model.ordinary = Automaton(rest, longest=LONGEST)
     for kind, found in aside.items():
         odds = math.log((len(rest) + 1) / (len(found) + 1))
         model.limits[kind] = (model.limits[kind][0], max(0.0, odds))

@@ -136,3 +136,25 @@ def test_credential_glued_to_a_base_match(spark):
     )
     assert seen >= 57 and sum(k in masked[i] for i, k in enumerate(keys)) <= 3
     assert sum("sk_" in masked[i] for i in range(60)) <= 3
+
+
+def test_runs_of_millions_of_characters(spark, monkeypatch):
+    """They are scored whole, but automata learn from heads of them."""
+    draw = random.Random(17)
+    upper = "ABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    dump = "".join(draw.choices(upper + upper.lower(), k=3_000_000))
+    learned = []
+    plain = secret_scan.Automaton
+    monkeypatch.setattr(
+        secret_scan, "Automaton", lambda strings, *a, **b: learned.extend(strings) or plain(strings, *a, **b)
+    )
+    rows = [(0, f"a {dump} b"), (1, "c0ffee" * 400_000), (2, f"token={dump[::-1]}"), (3, "token=" + dump[:40])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [tuple(s) for s in r.spans] for r in secret_scan.find_secrets(docs).collect()}
+    assert max(map(len, learned)) == secret_scan.LONGEST
+    assert found[0] in ([], [("like_assign", 2, 3_000_002)])
+    assert found[1] == [("hex", 0, 2_400_000)]
+    assert found[2] == [("assign", 0, 3_000_006)] and found[3] == [("assign", 0, 46)]
+    format_ = plain([dump[i : i + 256] for i in range(0, 25600, 256)], longest=256)
+    model = secret_scan.Model({"assign": format_}, None, {"assign": (-9.0, 0.0)})
+    assert secret_scan.spans(f"a {dump} b", model) == [("like_assign", 2, 3_000_002)] and not model._known
