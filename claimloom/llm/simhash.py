@@ -103,11 +103,10 @@ def links(bits: DataFrame, max_bits: int = 2) -> DataFrame:
     return pairs.filter(near).select(F.col("other").alias("a"), F.col("bits").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
-    """(doc_id, bits, component_id) for each row of ``docs``.
+def _classes(docs: DataFrame, words: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, bits) for each row, and (bits, component_id, root) for each distinct fingerprint.
 
-    ``max_bits`` must be even: for 2r bits the balls have radius r and every member of a point is
-    near every other, which is what lets a chain stand for all pairs.
+    ``root`` names the component also where a doc_id of several texts is the smallest of several.
     """
     if max_bits % 2:
         raise ValueError("max_bits must be even")
@@ -121,26 +120,55 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataF
     # One row for each distinct fingerprint; the smallest doc_id of a component spreads to its members.
     smallest = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = common.stored(
-        classes.join(smallest, "root").select("bits", "component_id"), "simhash-classes"
+        classes.join(smallest, "root").select("bits", "component_id", "root"), "simhash-classes"
     )
+    return prints, named
+
+
+def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
+    """(doc_id, bits, component_id) for each row of ``docs``.
+
+    ``max_bits`` must be even: for 2r bits the balls have radius r and every member of a point is
+    near every other, which is what lets a chain stand for all pairs.
+    """
+    prints, named = _classes(docs, words, max_bits)
     return prints.join(named, "bits").select("doc_id", "bits", "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = 3, max_bits: int = 2) -> DataFrame:
     """The document of the smallest doc_id of each component, columns unchanged.
 
-    Rows that share a doc_id are one document, the one of least text stays. Rows without doc_id are
-    told apart by their text and give way to others of their component.
+    Of rows of a component that share this doc_id the one of least text stays; rows that share a
+    doc_id in different components are different documents. Rows without doc_id are told apart by
+    their text and give way to others of their component.
     """
     rows = common.packed(docs)
-    found = near_duplicates(
-        rows.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), words, max_bits
-    )
-    first = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    one = Window.partitionBy("key").orderBy("row.text")
-    return (
-        rows.join(first, F.col("key") == F.col("doc_id"), "left_semi")
-        .withColumn("nth", F.row_number().over(one))
-        .filter("nth = 1")
-        .select("row.*")
+    read = rows.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text"))
+    prints, named = _classes(read, words, max_bits)
+    found = prints.join(named, "bits").groupBy("doc_id").agg(
+        F.bool_or(F.col("doc_id") == F.col("component_id")).alias("first"),
+        (F.min("root") != F.max("root")).alias("clash"),
     )
+    first = common.stored(found.filter("first").select("doc_id", "clash"), "simhash-first")
+
+    def of(which: DataFrame) -> DataFrame:
+        return rows.join(which, F.col("key") == F.col("doc_id"), "left_semi")
+
+    def one(survivors: DataFrame, group: str) -> DataFrame:
+        by = Window.partitionBy(group).orderBy("row.text")
+        return survivors.withColumn("nth", F.row_number().over(by)).filter("nth = 1").select("row.*")
+
+    kept = one(of(first.filter("not clash")), "key")
+    if first.filter("clash").isEmpty():
+        return kept
+
+    # Only rows of clashing ids need their fingerprints again, to tell their components.
+    clashing = of(first.filter("clash")).select("key", "row", F.col("row.text").alias("text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        values = np.array([fingerprint(t, words) for t in common.texts(batch)], np.uint64)
+        return batch.set_column(2, "bits", pa.array(values.view(np.int64)))
+
+    schema = clashing.drop("text").withColumn("bits", F.lit(0).cast("long")).schema
+    told = common.map_batches(clashing, run, schema).join(named, "bits")
+    return kept.unionAll(one(told.filter("key = component_id"), "root"))

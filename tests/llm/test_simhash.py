@@ -97,3 +97,12 @@ def test_query(spark, small):
     rows = queries.op4_simhash(spark, "/root/testdata/sf0.001").collect()
     expected = [(d, f"{p:016x}", c) for d, p, c in _expected(texts_of(small))]
     assert sorted(map(tuple, rows)) == sorted(expected)
+
+
+def test_keep_one_of_each_component_where_ids_clash(spark):
+    """One doc_id on two unrelated texts: each group of near-duplicates keeps one of its own."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (9, b), (3, c), (7, c), (5, c), (None, b), (8, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect())
+    assert kept == [(3, c), (5, a), (5, b)]
