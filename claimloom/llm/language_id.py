@@ -5,8 +5,10 @@ Every learned language has a codeword. For each bit a binary classifier over has
 in both sets, its output the weights' mean over the text's n-grams, drawn towards 0 for short texts.
 Decoding takes, for each codeword, the logistic loss of every bit's output, weighted by how well the
 bit separates its languages in the training sample, and chooses the codeword of least weighted loss.
-The score is the softmax share of that codeword; a text is flagged ambiguous if the share is below
-``AMBIGUOUS``.
+The score is the softmax share of that codeword. Labels that the classifiers cannot tell apart on
+their own training texts (en, EN, en-US) share the mass of a text, so a text is judged by the shares
+of all labels alike the chosen one: it is flagged ambiguous if they are below ``AMBIGUOUS``, or below
+half of what the label's training texts reach, if that is less.
 
 Codewords are exhaustive for up to five languages (all splits in two) and random splits beyond.
 Training counts n-grams over a sample of whole texts, about ``SAMPLE`` a language, chosen by a
@@ -91,6 +93,9 @@ class Model:
     code: np.ndarray
     weights: np.ndarray
     bit_weights: np.ndarray
+    #: For each language those like it, and the least share of them all of a clear text.
+    alike: np.ndarray | None = None
+    least: np.ndarray | None = None
 
     def losses(self, outputs: np.ndarray) -> np.ndarray:
         """Weighted logistic loss of every codeword for the outputs of the bits."""
@@ -99,6 +104,19 @@ class Model:
     def outputs(self, counts: np.ndarray) -> np.ndarray:
         return GAIN * (counts @ self.weights) / (counts.sum() + PRIOR)
 
+    def shares(self, counts: np.ndarray) -> np.ndarray:
+        """Softmax of the codewords' losses, negated."""
+        losses = self.losses(self.outputs(counts))
+        shares = np.exp(losses.min() - losses)
+        return shares / shares.sum()
+
+    def judge(self, counts: dict[str, np.ndarray]) -> None:
+        """Which languages are alike, by the training counts of each."""
+        own = np.array([self.shares(counts[x].astype(float)) for x in self.languages])
+        near = own >= 0.5 * own.diagonal()[:, None]
+        self.alike = near | near.T
+        self.least = np.minimum(AMBIGUOUS, (own * self.alike).sum(axis=1) / 2)
+
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, ambiguous)."""
         counts = ngrams(text) if text and self.languages else None
@@ -106,10 +124,16 @@ class Model:
             return UNKNOWN, 0.0, True
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
-        losses = self.losses(self.outputs(counts))
-        best = int(losses.argmin())
-        share = float(1 / np.exp(losses[best] - losses).sum())
-        return self.languages[best], share, share < AMBIGUOUS
+        shares = self.shares(counts)
+        best = int(shares.argmax())
+        clear = shares[self.alike[best]].sum() >= self.least[best]
+        return self.languages[best], float(shares[best]), not clear
+
+    def keeps(self, text: str | None) -> bool:
+        """Whether the text has a clear language, or a letter at least where none was learned."""
+        if not self.languages:
+            return bool(text) and ngrams(text) is not None
+        return not self.predict(text)[2]
 
 
 def train(counts: dict[str, np.ndarray]) -> Model:
@@ -128,6 +152,7 @@ def train(counts: dict[str, np.ndarray]) -> Model:
     margins = np.array([model.outputs(counts[x].astype(float)) for x in languages]) * code
     strength = np.maximum(margins.min(axis=0), 1e-3)
     model.bit_weights = strength / strength.mean()
+    model.judge(counts)
     return model
 
 
@@ -188,11 +213,14 @@ def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``docs`` without the rows whose language is unknown or ambiguous, columns unchanged."""
+    """``docs`` without the rows whose language is unknown or ambiguous, columns unchanged.
+
+    Where no language was learned all rows with a letter stay.
+    """
     model = fit(docs, sample)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = [not model.predict(t)[2] for t in batch.column("text").to_pylist()]
+        keep = [model.keeps(t) for t in batch.column("text").to_pylist()]
         return batch.filter(pa.array(keep))
 
     return common.map_batches(docs, run, docs.schema)

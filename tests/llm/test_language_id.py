@@ -69,3 +69,15 @@ def test_odd_rows(spark, odd, empty):
     assert [r.lang_pred for r in language_id.identify(unlabelled).collect()] == ["und"]
     one = spark.createDataFrame([(i, "some text", "en") for i in range(9)], "doc_id long, text string, lang string")
     assert {(r.lang_pred, r.score) for r in language_id.identify(one).collect()} == {("en", 1.0)}
+
+
+def test_labels_alike_and_tables_without_labels_keep_their_texts(spark, small):
+    """Three spellings of one label share its texts; without a label nothing is judged."""
+    from pyspark.sql import functions as F
+
+    texts = small.filter(F.length("text") > 200).select("doc_id", "text", "lang")
+    spelled = F.concat("lang", F.element_at(F.array(*map(F.lit, ("", "-a", "-b"))), (F.hash("doc_id") % 3 + 3) % 3 + 1))
+    total = texts.count()
+    one = texts.filter("lang = 'en'")
+    assert language_id.keep_identified(one.withColumn("lang", spelled)).count() >= 0.95 * one.count()
+    assert language_id.keep_identified(texts.withColumn("lang", F.lit(None).cast("string"))).count() == total
