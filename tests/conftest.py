@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-FOLDER = "/root/testdata/sf0.001"
+from base_helpers import FOLDER  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -34,8 +34,3 @@ def stages(spark):
 
     return Stages(spark, FOLDER)
 
-
-def rows(df, *columns):
-    """Rows as a sorted list of tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

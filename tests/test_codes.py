@@ -1,4 +1,4 @@
-from conftest import rows
+from base_helpers import rows
 from pyspark.sql import functions as F
 
 from claimloom.functions import codes

@@ -2,7 +2,7 @@ import datetime as dt
 import random
 from collections import defaultdict
 
-from conftest import rows
+from base_helpers import rows
 
 from claimloom.operators import eras, vocab
 

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from base_helpers import rows
 from pyspark.sql import functions as F
 
 from claimloom.operators import cleanse, events, money

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from base_helpers import rows
 
 from claimloom.operators import person
 

@@ -3,7 +3,7 @@ import os
 import re
 
 import pytest
-from conftest import FOLDER, rows
+from base_helpers import FOLDER, rows
 
 from claimloom.binding.queries import QUERIES
 from claimloom.operators import events

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import rows
+from base_helpers import rows
 
 from claimloom import schemas
 from claimloom.operators import quality

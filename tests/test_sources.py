@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from base_helpers import rows
 
 from claimloom.operators import visits
 from claimloom.sources import loader, seeds, vocabulary
