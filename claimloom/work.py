@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Folders of local sessions without the setting, by application.
+_private: dict[str, str] = {}
+
 
 def work_root(spark: SparkSession) -> str:
     """Shared folder from ``spark.checkpoint.dir``.
@@ -25,8 +28,11 @@ def work_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="claimloom-")
-        spark.conf.set(CHECKPOINT_DIR, root)
+        # The setting itself cannot be changed once a session runs.
+        application = spark.sparkContext.applicationId
+        if application not in _private:
+            _private[application] = tempfile.mkdtemp(prefix="claimloom-")
+        root = _private[application]
     return root.rstrip("/")
 
 

@@ -19,11 +19,10 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "4g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("work")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("work")))
     yield session
     session.stop()
 
