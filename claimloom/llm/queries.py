@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     common,
+    decontamination,
     fingerprints,
     language_id,
     mixing,
@@ -17,9 +18,11 @@ from . import (
     secret_scan,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
     token_counts,
     topk,
+    whitening,
 )
 
 #: Tokenizer files; any other path works, the files are read where tasks run.
@@ -108,6 +111,26 @@ def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.with_next(common.table(spark, folder, "documents"))
 
 
+def op11_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.occurrences(
+        common.table(spark, folder, "documents"), common.table(spark, folder, "benchmark"), 10
+    )
+    return found.select(
+        "doc_id", "n_words", decontamination.n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.size("ranges") > 0).alias("contaminated"),
+    )
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_rows(common.table(spark, folder, "embeddings"), 8)
+
+
+def op13_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(common.table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -129,6 +152,41 @@ ranked as (
         cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank
     from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 5""",
+    "op11_decontamination": r"""
+with lowered as (
+    select row_number() over () as r, doc_id,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents),
+split as (
+    select r, doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from lowered),
+items as (
+    select cast(item_id as varchar) as item_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+    from benchmark where text is not null),
+parts as (
+    select item_id, least(10, len(words)) as n, words,
+        unnest(range(1, greatest(len(words) - 10, 0) + 2)) as place
+    from items where len(words) > 0),
+strings as (
+    select distinct item_id, n, array_to_string(words[place : place + n - 1], ' ') as string from parts),
+places as (
+    select r, n, words, unnest(range(1, len(words) - n + 2)) as place
+    from split, (select distinct n from strings)),
+found as (
+    select r, place, p.n, item_id
+    from (select r, n, place, array_to_string(words[place : place + n - 1], ' ') as string from places) p
+    join strings s on p.n = s.n and p.string = s.string),
+hit as (
+    select r, count(distinct place) as n_hit
+    from (select r, unnest(range(place, place + n)) as place from found) group by r),
+named as (
+    select r, count(*) as n_items, string_agg(item_id, ',' order by item_id) as names
+    from (select distinct r, item_id from found where item_id is not null) group by r)
+select doc_id, cast(len(words) as bigint) as n_words, cast(coalesce(n_hit, 0) as bigint) as n_hit,
+    cast(coalesce(n_items, 0) as bigint) as n_items, sha256(coalesce(names, '')) as items_sha256,
+    coalesce(n_hit, 0) > 0 as contaminated
+from split left join hit using (r) left join named using (r)""",
     "op7_substring_dedup": r"""
 with split as (
     select row_number() over () as r, doc_id,
