@@ -34,9 +34,13 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Bytes of a block of doubles, blocks of a panel, most tasks of a projection, dimensions at most.
-BLOCK_BYTES, PANEL, TASKS, DIMENSIONS = 1 << 20, 1 << 14, 256, 4096
+#: Bytes of a block of doubles, blocks of a panel, blocks of a task and tasks of a product at most.
+BLOCK_BYTES, PANEL, TASK_BLOCKS, TASKS = 1 << 20, 1 << 14, 8, 256
+#: Dimensions at most: the driver and each task hold a matrix of so many rows and columns.
+DIMENSIONS = 4096
 LARGEST = 1 << 52
+#: Numbers of a block are stored as bytes, row by row.
+LONG, DOUBLE = "<i8", "<f8"
 
 
 def whole_vectors(vectors: DataFrame, scale: float, shift: int) -> DataFrame:
@@ -67,14 +71,14 @@ def _block_rows(width: int, block_bytes: int) -> int:
 
 
 def _to_blocks(block_bytes: int):
-    """Rows of a task in blocks: ids and x row by row."""
+    """Rows of a task in blocks: ids, and x row by row as bytes."""
 
     def block(ids: list[pa.Array], rows: list[np.ndarray]) -> pa.RecordBatch:
         flat = np.concatenate(rows).reshape(-1)
         return common.record_batch(
             n=pa.array([sum(map(len, ids))], pa.int64()),
             ids=pa.array([pa.concat_arrays(ids).to_pylist()], pa.list_(pa.int64())),
-            x=pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), pa.array(flat)),
+            x=pa.array([flat.astype(LONG).tobytes()], pa.binary()),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,7 +126,7 @@ def _sums(blocks: DataFrame, width: int) -> list[int]:
         for batch in batches:
             high, low = np.zeros(width, np.int64), np.zeros(width, np.int64)
             for n, x in zip(batch.column("n").to_pylist(), batch.column("x"), strict=True):
-                matrix = x.values.to_numpy(zero_copy_only=False).reshape(n, width)
+                matrix = np.frombuffer(x.as_buffer(), LONG).reshape(n, width)
                 high += (matrix >> 32).sum(axis=0)
                 low += (matrix & 0xFFFFFFFF).sum(axis=0)
             yield common.record_batch(
@@ -147,7 +151,7 @@ def _centred(blocks: DataFrame, first: int, rows: int, means: np.ndarray) -> RDD
 
     def block(r) -> tuple[tuple[int, int], DenseMatrix]:
         values = np.zeros((rows, len(means)))
-        values[: r.n] = np.asarray(r.x, np.int64).reshape(r.n, -1) - means
+        values[: r.n] = np.frombuffer(r.x, LONG).reshape(r.n, -1) - means
         return (r.block - first, 0), DenseMatrix(rows, len(means), values.ravel(order="F"))
 
     return blocks.select("block", "n", "x").rdd.map(block)
@@ -209,10 +213,10 @@ def whiten(
     spark, schema = vectors.sparkSession, "vec_id long, deviation long, y array<double>"
     common.prepare(spark)
     blocks = _numbered(
-        whole_vectors(vectors, scale, shift).mapInArrow(_to_blocks(block_bytes), "n long, ids array<long>, x array<long>")
+        whole_vectors(vectors, scale, shift).mapInArrow(_to_blocks(block_bytes), "n long, ids array<long>, x binary")
     )
     n, n_blocks, width = blocks.agg(
-        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.max(F.size("x") / F.col("n")).cast("int")
+        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.max(F.octet_length("x") / (8 * F.col("n"))).cast("int")
     ).first()
     if not n or not width:
         return None, spark.createDataFrame([], schema)
@@ -226,8 +230,8 @@ def whiten(
             _centred(of, first, rows, means), rows, width, min(panel_blocks, n_blocks - first)
         )
 
-    #: Tasks of one product over a panel.
-    tasks = max(1, min(TASKS, n_blocks, common.partitions(spark)))
+    # Tasks of one product over a panel: some blocks each, and so its square remains small.
+    tasks = min(TASKS, -(-min(n_blocks, panel_blocks) // TASK_BLOCKS))
     scatter = np.zeros((width, width))
     for first in panels:
         x = panel(first)
@@ -245,10 +249,10 @@ def whiten(
             spark.sparkContext.parallelize(one, tasks * tasks), width, k, width, k
         )
         projected = _times(panel(first), weights, 1)
-        rows_of = projected.blocks.map(lambda b, first=first: (first + b[0][0], b[1].toArray().ravel().tolist()))
-        parts.append(
-            common.stored(spark.createDataFrame(rows_of, "block int, y array<double>"), "whitening-projected")
+        found = projected.blocks.map(
+            lambda b, first=first: (first + b[0][0], b[1].toArray().astype(DOUBLE).tobytes())
         )
+        parts.append(common.stored(spark.createDataFrame(found, "block int, y binary"), "whitening-projected"))
     projected = parts[0]
     for part in parts[1:]:
         projected = projected.unionAll(part)
@@ -257,8 +261,8 @@ def whiten(
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for size, own, x, y in zip(*(batch.column(c) for c in ("n", "ids", "x", "y")), strict=True):
-                matrix = x.values.to_numpy(zero_copy_only=False).reshape(size.as_py(), width)
-                values = y.values.to_numpy(zero_copy_only=False)[: len(matrix) * k]
+                matrix = np.frombuffer(x.as_buffer(), LONG).reshape(size.as_py(), width)
+                values = np.frombuffer(y.as_buffer(), DOUBLE)[: len(matrix) * k]
                 edges = pa.array(np.arange(0, len(values) + 1, k), pa.int32())
                 yield common.record_batch(
                     vec_id=own.values, deviation=pa.array(deviation(matrix, n, sums), pa.int64()),
