@@ -14,7 +14,7 @@ from ..operators import cleanse, eras, events, keys, money, person, quality, scr
 from ..plans import dq, etl
 from ..sources import loader, sinks
 from ..work import fresh_path
-from . import loads, oracle, streams
+from . import increments, loads, oracle, streams
 from .stages import Stages
 
 TODAY = dt.date(2020, 1, 1)
@@ -1190,26 +1190,143 @@ def _rerun(s: Stages) -> DataFrame:
 
 query("rerun_subset", "observation_period_id " + PERIOD, _rerun, QUERIES["identity_id"].sql)
 
-_LOGGED = {
-    "location": "regions", "care_site": "care_site", "person": "person", "death": "death",
-    "observation_period": "period", "visit_occurrence": "visit",
+#: Stage -> tables it writes and the oracle relation of each; a SELECT where there is none.
+_LOGGED: dict[str, dict[str, str]] = {
+    "ddl": {t: "select null as nothing where false" for t in quality.schemas.CDM},
+    "vocabulary": {
+        "source_to_concept_map": "smap", "code_map": "code_map",
+        "ingredient_map": "select a.* from {ancestor} a where ancestor_concept_id in (select concept_id "
+        "from {concept} where concept_class_id = 'Ingredient' and vocabulary_id like 'RxNorm%')",
+    },
+    "cdm_source": {"cdm_source": QUERIES["cdm_source"].sql},
+    "master": {"seq_master": "seq"},
+    "location": {"location": "regions_cdm"},
+    "eras": {"drug_era": "drug_eras", "condition_era": "condition_eras"},
+    "dose_era": {"dose_era": "dose_eras"},
+    "indexing": {
+        f"indexed_{t}": _CHECKED[t][1] for t in sinks.SORT_COLUMN
+    },
+    "constraints": {
+        f"checks/{name}": f"select * from (values {', '.join(['(1)'] * n)}) v(one)"
+        for name, n in (
+            ("primary_keys", len(quality.schemas.PRIMARY_KEYS)),
+            # Relations of which both tables are there: of the vocabulary the run gets three.
+            ("foreign_keys", sum(
+                {r[0], r[2]} <= {*quality.schemas.CDM, "concept", "concept_relationship", "concept_ancestor"}
+                for r in quality.schemas.FOREIGN_KEYS
+            )),
+        )
+    } | {"checks/not_null": None},
+    "data_cleansing": {t: QUERIES[q].sql for t, q in _CLEANSED.items()} | {"person": "person"},
+} | {
+    t: {t: _CHECKED[t][1]}
+    for t in (
+        "care_site", "person", "death", "observation_period", "visit_occurrence",
+        "condition_occurrence", "observation", "drug_exposure", "procedure_occurrence",
+        "device_exposure", "measurement", "payer_plan_period", "cost",
+    )
 }
 
 
 def _stage_log(s: Stages) -> DataFrame:
+    """The log of a run of all stages."""
     files, vocabulary = _raw_files(s)
-    stages = ("ddl", "vocabulary", "master", *_LOGGED, "indexing", "constraints")
     tables = etl.run_etl(
-        s.spark, files, vocabulary, etl.scratch(s.spark), s.regions, stages=stages, buckets=4
+        s.spark, files, vocabulary, etl.scratch(s.spark), s.regions, s.overrides, TODAY, buckets=4
+    )
+    return tables["stage_log"].where(F.col("seconds") > 0)
+
+
+def _log_sql() -> str:
+    """Measures of every logged table from its own rows."""
+    parts = []
+    for stage, tables in _LOGGED.items():
+        for table, relation in tables.items():
+            head = f"select '{stage}' as stage, '{table}' as table_name, "
+            if relation is None:
+                # One row for each rule of a layout.
+                rules = sum(
+                    (not f.nullable) + ("length" in f.metadata)
+                    for layout in quality.schemas.CDM.values() for f in layout
+                )
+                parts.append(head + f"{rules} as rows, 0 as null_keys, null as first_date, null as last_date")
+                continue
+            name = table.removeprefix("indexed_")
+            given = _given(name) if name in _CHECKED else []
+            keys = [k for k in quality.schemas.PRIMARY_KEYS.get(name, ()) if k in given]
+            missing = " or ".join(f"{k} is null" for k in keys) or "false"
+            date = sinks._date_column(name)
+            date = date if date in given or name == "source_to_concept_map" else None
+            if stage == "ddl":
+                keys, missing, date = [], "false", None
+            source = f"{{{relation}}}" if " " not in relation else f"({relation}) q"
+            parts.append(
+                head + f"count(*) as rows, count(*) filter ({missing}) as null_keys, "
+                f"min({date or 'cast(null as date)'}) as first_date, "
+                f"max({date or 'cast(null as date)'}) as last_date from {source}"
+            )
+    return " union all ".join(parts)
+
+
+query(
+    "stage_log",
+    "stage:string table_name:string rows null_keys first_date:date last_date:date", _stage_log,
+    _log_sql(),
+)
+
+# --- conversion load by load --------------------------------------------------------------
+
+_YEAR_2 = f"case when left({{0}}, 4) <= '{increments.LAST_YEAR}' then 1 else 2 end"
+for _source, _lines, _digit in (("130", "t30", 3), ("140", "t40", 4), ("160", "t60", 6)):
+    # The serials of the second load follow all of the first.
+    oracle.ORACLE[f"load_{_lines}"] = (
+        f"select key_seq, seq_no, person_id, greatest({_YEAR_2.format('recu_fr_dt')}, case when "
+        f"{increments.LATE_LINE} then 2 else 1 end) as load from (select key_seq, seq_no from {{{_lines}}}) line "
+        "join (select key_seq, person_id, recu_fr_dt from {t20}) claim using (key_seq)"
+    )
+    oracle.ORACLE[f"later_{_lines}"] = (
+        f"select {_digit}000000000 + row_number() over (order by load, key_seq, seq_no) as master_seq, "
+        f"'{_source}' as source_table, person_id, key_seq, seq_no, null as hchk_year, null as stnd_y, load "
+        f"from {{load_{_lines}}}"
+    )
+for _source, _table, _year, _digit in (("GJT", "gj", "hchk_year", 8), ("JKT", "jk", "stnd_y", 9)):
+    _pair = "{0}, null" if _table == "gj" else "null, {0}"
+    oracle.ORACLE[f"later_{_table}"] = (
+        f"select {_digit}00000000000 + row_number() over (order by load, {_year}, person_id) as master_seq, "
+        f"'{_source}' as source_table, person_id, null as key_seq, null as seq_no, "
+        + ("cast(hchk_year as varchar) as hchk_year, null as stnd_y"
+           if _table == "gj" else "null as hchk_year, cast(stnd_y as varchar) as stnd_y")
+        + f", load from (select distinct {_year}, person_id, "
+        f"{_YEAR_2.format(f'cast({_year} as varchar)')} as load from {{{_table}}}) pairs"
     )
-    timed = tables["stage_log"].where(F.col("seconds") > 0)
-    return timed.where(F.col("table_name").isin(*_LOGGED))
+_LATER = " union all ".join(f"select * from {{later_{t}}}" for t in ("t30", "t40", "t60", "gj", "jk"))
+query("increment_seq_master", SEQ, lambda s: increments.store(s).seq_master(), _LATER)
+query(
+    "increment_ledger", "source:string load first_serial serials", increments.ledger,
+    "select source_table as source, load, min(master_seq) as first_serial, count(*) as serials from "
+    f"({_LATER}) serial group by 1, 2",
+)
+
 
+def _without_id(columns: str, name: str) -> str:
+    """Event ids depend on the load that issued the serial, all other columns do not."""
+    return " ".join(c for c in columns.split() if not c.startswith(f"{name}_id"))
 
+
+for _table, _columns_of, _relation_of in (
+    ("person", PERSON, "person"), ("death", DEATH, "death"), ("observation_period", PERIOD, "period"),
+    ("condition_occurrence", CONDITION, "condition"), ("drug_exposure", DRUG, "drug"),
+    ("procedure_occurrence", PROCEDURE, "procedure"), ("device_exposure", DEVICE, "device"),
+    ("payer_plan_period", PAYER, "payer"), ("drug_era", DRUG_ERA, "drug_era"),
+    ("condition_era", CONDITION_ERA, "condition_era"), ("dose_era", DOSE_ERA, "dose_era"),
+):
+    _kept = _columns_of if _table in ("person", "death") else _without_id(_columns_of, _table)
+    query(f"increment_{_table}", _kept, lambda s, t=_table: increments.store(s).table(t), _relation_of)
 query(
-    "stage_log", "stage:string table_name:string rows", _stage_log,
+    "increment_counts", "table_name:string rows ids", increments.counts,
     " union all ".join(
-        f"select '{t}' as stage, '{t}' as table_name, count(*) as rows from {{{r}}}"
-        for t, r in _LOGGED.items()
+        f"select '{t}' as table_name, count(*) as rows, count(distinct "
+        f"{'person_id' if t == 'death' else t + '_id'}) as ids from {{{_CHECKED[t][1]}}}"
+        for t in increments.increment.BUILDERS
     ),
 )

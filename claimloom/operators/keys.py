@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.codes import null
@@ -133,11 +133,16 @@ def ranked(
 
 
 def _serial(
-    df: DataFrame, order_by: list[str], source: str, ranges: SerialRanges, path: str | None
+    df: DataFrame,
+    order_by: list[str],
+    source: str,
+    ranges: SerialRanges,
+    path: str | None,
+    issued: int = 0,
 ) -> DataFrame:
     path = path or fresh_path(df.sparkSession, f"seq-{source}")
-    ranges.check(source, write_numbered(df, order_by, path))
-    return read_numbered(df.sparkSession, path, "master_seq", ranges.base(source))
+    ranges.check(source, issued + write_numbered(df, order_by, path))
+    return read_numbered(df.sparkSession, path, "master_seq", ranges.base(source) + issued)
 
 
 def claim_offsets(lines: DataFrame, t20: DataFrame, path: str) -> tuple[DataFrame, int]:
@@ -179,9 +184,12 @@ def keyed_lines(
     source: str,
     ranges: SerialRanges = RANGES,
     path: str | None = None,
+    issued: int = 0,
+    partition_by: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Claim lines with their header columns and master serial, stored once under ``path``.
 
+    Serials follow those ``issued`` before; ``partition_by`` names columns of the stored layout.
     Lines without a header get no serial. Serials follow (key_seq, seq_no): the lines of earlier
     claims plus the place in the claim, so lines move once, to their header and claim. A source
     that does not fit its range of serials stops here, before any line is written. Every event
@@ -193,15 +201,16 @@ def keyed_lines(
     path = path or fresh_path(spark, f"keyed-{source}")
     claims = fresh_path(spark, f"claims-{source}")
     offsets, total = claim_offsets(lines, t20, claims)
-    ranges.check(source, total)
+    ranges.check(source, issued + total)
     header = _header(t20).join(offsets, "key_seq")
     place = F.row_number().over(Window.partitionBy("key_seq").orderBy("seq_no"))
     keyed = (
         lines.join(header, "key_seq")
-        .withColumn("master_seq", F.col("_offset") + place + F.lit(ranges.base(source)))
+        .withColumn("master_seq", F.col("_offset") + place + F.lit(ranges.base(source) + issued))
         .drop("_offset")
     )
-    keyed.write.mode("overwrite").parquet(path)
+    layout = partition_by or {}
+    keyed.withColumns(layout).write.mode("overwrite").partitionBy(*layout).parquet(path)
     remove(spark, claims)
     return read_keyed_lines(spark, path)
 
@@ -222,11 +231,11 @@ def join_master(lines: DataFrame, t20: DataFrame, seq: DataFrame, source: str) -
 
 
 def yearly_master(
-    df: DataFrame, year: str, source: str, ranges: SerialRanges = RANGES
+    df: DataFrame, year: str, source: str, ranges: SerialRanges = RANGES, issued: int = 0
 ) -> DataFrame:
     """Serial of each distinct (year, person) of the screening or eligibility table."""
     years = df.select(year, "person_id").distinct()
-    return _serial(years, [year, "person_id"], source, ranges, None)
+    return _serial(years, [year, "person_id"], source, ranges, None, issued)
 
 
 def seq_master(

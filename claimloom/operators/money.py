@@ -40,6 +40,7 @@ def _cost(
         return amounts.get(name, codes.null("double")).cast("double").alias(name)
 
     return rows.select(
+        "person_id",
         F.col(event).alias("cost_id"),
         F.col(event).alias("cost_event_id"),
         domain.alias("cost_domain_id"),

@@ -8,7 +8,7 @@ import time
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from .. import schemas
@@ -47,23 +47,6 @@ STAGES = (
 CONVERSION = tuple(s for s in STAGES if s not in ("ddl", "indexing", "constraints"))
 # Marks a table that was declared but not built yet, in its schema.
 UNBUILT = "unbuilt"
-# Tables a stage writes, where they are not one of its own name.
-OUTPUTS = {
-    "vocabulary": ("source_to_concept_map", "code_map", "ingredient_map"),
-    "master": ("seq_master",),
-    "eras": ("drug_era", "condition_era"),
-    "constraints": ("checks/primary_keys", "checks/foreign_keys", "checks/not_null"),
-    "data_cleansing": (
-        "visit_occurrence",
-        "condition_occurrence",
-        "drug_exposure",
-        "procedure_occurrence",
-        "device_exposure",
-        "measurement",
-        "payer_plan_period",
-        "person",
-    ),
-}
 SOURCES = {"t30": keys.TREATMENT, "t40": keys.DIAGNOSIS, "t60": keys.PRESCRIPTION}
 CLEANSED = {
     "visit_occurrence": cleanse.cleanse_visit,
@@ -86,6 +69,8 @@ class _Tables:
 
     def __init__(self, spark: SparkSession, out: str):
         self.spark, self.out, self.done = spark, out.rstrip("/"), {}
+        # Measures of the tables in the order they were written.
+        self.written: list[tuple[str, Observation]] = []
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self.done:
@@ -113,8 +98,12 @@ class _Tables:
         except AnalysisException:
             return None
 
+    def seen(self, name: str) -> Observation:
+        self.written.append((name, Observation(f"{name}-{uuid.uuid4().hex}")))
+        return self.written[-1][1]
+
     def write(self, name: str, df: DataFrame) -> None:
-        self.done[name] = sinks.write_cdm(df, name, self.out)
+        self.done[name] = sinks.write_cdm(df, name, self.out, self.seen(name))
 
     def write_identified(self, name: str, df: DataFrame, order: list[str], key: str) -> None:
         """Write with ids 1..n; the numbered copy in between is removed."""
@@ -124,7 +113,8 @@ class _Tables:
 
     def write_work(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         path = f"{self.out}/{name}"
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        rows = sinks.observed(df, name, self.seen(name))
+        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         self.done[name] = self.spark.read.schema(df.schema).parquet(path)
 
 
@@ -148,7 +138,8 @@ def run_etl(
     ``vocabulary`` holds concept, concept_relationship and concept_ancestor, normalised;
     ``regions`` are needed by the stage location. ``early_years`` and ``late_years`` are those of
     the two screening questionnaires. A stage that is not chosen is read from ``out`` where a
-    later one needs it; ``stage_log`` of the result holds rows and seconds of each stage.
+    later one needs it; ``stage_log`` of the result holds, for each table a stage wrote, its rows,
+    rows without key, first and last date, gathered while it was written, and the stage's seconds.
     File order by person and concept is applied at each write; the stage indexing adds copies
     bucketed by person as catalog tables ``indexed_<table>``. Costs and eras see uncleansed
     events; cleansed tables go to ``<table>`` below ``out/cleansed``, so a rerun starts from
@@ -174,6 +165,7 @@ def run_etl(
                 first, *rest = schema.fields
                 mark = T.StructField(first.name, first.dataType, first.nullable, {UNBUILT: True})
                 empty = spark.createDataFrame([], T.StructType([mark, *rest]))
+                empty = sinks.observed(empty, name, tables.seen(name))
                 empty.write.mode("overwrite").parquet(f"{tables.out}/{name}")
 
     def constraints():
@@ -184,6 +176,7 @@ def run_etl(
         target.write_work("foreign_keys", quality.check_foreign_keys(built | vocabulary))
         target.write_work("not_null", quality.check_not_null(built))
         tables.done.update({f"checks/{name}": df for name, df in target.done.items()})
+        tables.written += [(f"checks/{name}", seen) for name, seen in target.written]
 
     def build_maps():
         relationship = vocabulary["concept_relationship"]
@@ -233,7 +226,11 @@ def run_etl(
         for name in sinks.SORT_COLUMN:
             if name in tables:
                 sinks.write_bucketed(
-                    tables[name], f"indexed_{name}", buckets, path=f"{tables.out}/indexed/{name}"
+                    tables[name],
+                    f"indexed_{name}",
+                    buckets,
+                    path=f"{tables.out}/indexed/{name}",
+                    seen=tables.seen(f"indexed_{name}"),
                 )
 
     def cleansing():
@@ -248,6 +245,7 @@ def run_etl(
         if overrides is not None:
             target.write("person", cleanse.patch_person(tables["person"], overrides))
         tables.done.update(target.done)
+        tables.written += target.written
 
     steps = {
         "ddl": create_tables,
@@ -334,14 +332,15 @@ def run_etl(
     }
     entries = []
     for stage in chosen:
-        before, started = dict(tables.done), time.monotonic()
+        before, started = len(tables.written), time.monotonic()
         steps[stage]()
         seconds = time.monotonic() - started
-        # Counts of stored tables come from their footers.
-        written = {n: df for n, df in tables.done.items() if before.get(n) is not df}
-        outputs = sorted(n for n in written if n in OUTPUTS.get(stage, (stage,)))
-        entries += [(stage, name, written[name].count(), seconds) for name in outputs]
-        rows = {table: n for at, table, n, _ in entries if at == stage}
-        log.info("stage %s took %.1f s: %s", stage, seconds, rows)
-    tables.write_work("stage_log", sinks.stage_log(spark, entries))
+        written = [(name, seen.get) for name, seen in tables.written[before:]]
+        entries += [(stage, name, seen, seconds) for name, seen in sorted(written, key=lambda w: w[0])]
+        log.info(
+            "stage %s took %.1f s: %s", stage, seconds, {name: seen["rows"] for name, seen in written}
+        )
+    log_table = sinks.stage_log(spark, entries)
+    log_table.write.mode("overwrite").parquet(f"{tables.out}/stage_log")
+    tables.done["stage_log"] = spark.read.parquet(f"{tables.out}/stage_log")
     return tables.done

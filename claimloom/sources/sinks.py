@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -32,26 +34,66 @@ SORT_COLUMN = {
 }
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
+def conform(df: DataFrame, table: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """The declared columns in order, cast; columns the stage does not fill are NULL.
 
+    Columns of ``keep`` that are not declared come first, as they are.
+
     A text that is no number, or a number out of range, becomes NULL and shows in the NOT
     NULL check; floats in integer columns lose their fraction.
     """
     given = set(df.columns)
+    layout = schemas.CDM.get(table) or schemas.VOCABULARY[table]
     return df.select(
+        *[c for c in keep if c not in layout.names],
         *[
             (
                 F.col(f.name).try_cast(f.dataType)
                 if f.name in given
                 else F.lit(None).cast(f.dataType)
             ).alias(f.name)
-            for f in schemas.CDM.get(table) or schemas.VOCABULARY[table]
-        ]
+            for f in layout
+        ],
     )
 
 
-def write_cdm(df: DataFrame, table: str, out: str) -> DataFrame:
+def _date_column(table: str) -> str | None:
+    """The first date that a table must have: that of its rows."""
+    for field in schemas.CDM.get(table) or schemas.VOCABULARY.get(table) or ():
+        if field.dataType.typeName() == "date" and not field.nullable:
+            return field.name
+    return None
+
+
+def measures(columns: Iterable[str], table: str) -> list[Column]:
+    """Rows, rows without a whole primary key, first and last date of a table's rows."""
+    given = set(columns)
+    keys = [F.col(c).isNull() for c in schemas.PRIMARY_KEYS.get(table, ()) if c in given]
+    missing = keys[0] if keys else F.lit(False)
+    for key in keys[1:]:
+        missing = missing | key
+    date = _date_column(table)
+    day = F.col(date) if date in given else F.lit(None).cast("date")
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(missing).alias("null_keys"),
+        F.min(day).alias("first_date"),
+        F.max(day).alias("last_date"),
+    ]
+
+
+def observed(df: DataFrame, table: str, seen: Observation | None) -> DataFrame:
+    """``df``, whose measures ``seen`` holds once an action has run over it.
+
+    They are gathered by the tasks that hold the rows anyway, here those that write them, and
+    count each partition once even where a task is repeated.
+    """
+    return df.observe(seen, *measures(df.columns, table)) if seen else df
+
+
+def write_cdm(
+    df: DataFrame, table: str, out: str, seen: Observation | None = None
+) -> DataFrame:
     """Replace a CDM table; files are sorted by person and concept for row-group skipping.
 
     The sort is local to the tasks that already hold the rows, so writing adds no shuffle
@@ -62,12 +104,18 @@ def write_cdm(df: DataFrame, table: str, out: str) -> DataFrame:
     order = [c for c in ("person_id", SORT_COLUMN.get(table)) if c and c in rows.columns]
     if order:
         rows = rows.sortWithinPartitions(*order)
+    rows = observed(rows, table, seen)
     rows.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def write_bucketed(
-    df: DataFrame, table: str, buckets: int, key: str = "person_id", path: str | None = None
+    df: DataFrame,
+    table: str,
+    buckets: int,
+    key: str = "person_id",
+    path: str | None = None,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Store as a catalog table bucketed by person and sorted by person and concept.
 
@@ -75,9 +123,10 @@ def write_bucketed(
     suits cohorts without dominating persons; ``write_cdm`` has no such limit. With ``path``
     the files lie there and the table is external.
     """
-    concept = SORT_COLUMN.get(table.split(".")[-1])
+    name = table.split(".")[-1].removeprefix("indexed_")
+    concept = SORT_COLUMN.get(name)
     order = [key, *([concept] if concept in df.columns else [])]
-    writer = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(*order)
+    writer = observed(df, name, seen).write.mode("overwrite").bucketBy(buckets, key).sortBy(*order)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
@@ -91,10 +140,19 @@ def stage_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "table_name string, rows bigint")
 
 
-def stage_log(spark: SparkSession, entries: list[tuple[str, str, int, float]]) -> DataFrame:
-    """(stage, table_name, rows, seconds): what each stage wrote and how long the stage took."""
+def stage_log(
+    spark: SparkSession, entries: list[tuple[str, str, dict[str, Any], float]]
+) -> DataFrame:
+    """What each stage wrote, with its measures, and how long the stage took.
+
+    ``entries`` are (stage, table, measures, seconds); a stage that writes several tables has an
+    entry for each, with the seconds of the whole stage.
+    """
+    names = ("rows", "null_keys", "first_date", "last_date")
     return spark.createDataFrame(
-        entries, "stage string, table_name string, rows bigint, seconds double"
+        [(stage, table, *(seen[n] for n in names), s) for stage, table, seen, s in entries],
+        "stage string, table_name string, rows bigint, null_keys bigint, first_date date, "
+        "last_date date, seconds double",
     )
 
 

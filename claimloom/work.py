@@ -64,6 +64,11 @@ def file_numbers(spark: SparkSession, folder: str) -> set[int]:
     return {int(m[0]) for name in names if (m := re.match(r"\d+", name))}
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _hadoop(spark, path)
+    return files.exists(where)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that nothing reads any more."""
     files, where = _hadoop(spark, path)
