@@ -4,11 +4,11 @@ Base matches label credentials. From a bounded sample of them (``SAMPLE`` distin
 kind, those of least hash over all documents, of long ones the first ``LONGEST`` characters) state
 merging infers one probabilistic automaton a kind, and another one from as many ordinary long
 strings. Every run of 12 or more credential characters in every text is then a candidate, or what
-base matches inside it leave on either side, if that has 12 or more characters; its score is the
-mean log likelihood of all of it under a kind's automaton less that under the ordinary one. A candidate is reported, as ``like_<kind>``, if it is
-as likely as 99 of 100 labelled strings of the kind are by an automaton of others, and more likely
-one of them than an ordinary string, by the likelihood ratio of the whole string and the shares of
-both in the sample. Base matches always stay.
+base matches inside it leave on either side, if that has 12 or more characters. A candidate is reported,
+as ``like_<kind>``, if all of these hold: it goes on and ends only where strings of the kind may do so; it is no
+more surprising on its way through the kind's automaton than 99 of 100 labelled strings are in an
+automaton of others; and the log likelihood of the whole string, its end included, is higher than under
+the ordinary automaton by more than the shares of both in the sample demand. Base matches always stay.
 
 The ordinary sample holds unlabelled credentials too. Its strings that a format explains better or
 nearly as well as an automaton of other ordinary strings are set aside and the automaton is learned
@@ -88,11 +88,20 @@ def candidates(text: str, base: list[tuple[str, int, int, str]]) -> Iterator[tup
             yield free, match.end(), text[free : match.end()]
 
 
+def bare(start: int, end: int, string: str, edges: set[int]) -> tuple[int, int, str]:
+    """A candidate without the marks that joined it to base matches, which begin or end at ``edges``."""
+    first = len(string) - len(string.lstrip(JOINTS)) if start in edges else 0
+    last = len(string.rstrip(JOINTS)) if end in edges else len(string)
+    if last - first < LEAST:
+        return start, end, string
+    return start + first, start + last, string[first:last]
+
+
 @dataclass
 class Model:
     formats: dict[str, Automaton] = field(default_factory=dict)
     ordinary: Automaton | None = None
-    #: Least mean log likelihood and least log likelihood ratio of a string for each kind.
+    #: Most surprise and least log likelihood ratio of a string for each kind.
     limits: dict[str, tuple[float, float]] = field(default_factory=dict)
     _known: dict[str, str | None] = field(default_factory=dict, repr=False)
 
@@ -107,13 +116,12 @@ class Model:
         return self._known[string]
 
     def _kind(self, string: str) -> str | None:
-        usual = _usual(self.ordinary, string)
-        scores = {k: a.score(string) for k, a in self.formats.items()}
-        best = [
-            (s, k)
-            for k, s in scores.items()
-            if s >= self.limits[k][0] and (s - usual) * (len(string) + 1) > self.limits[k][1]
-        ]
+        usual, best = _usual(self.ordinary, string), []
+        for kind, automaton in self.formats.items():
+            likely, surprise, fits = automaton.judge(string)
+            most, odds = self.limits[kind]
+            if fits and surprise <= most and likely - usual > odds:
+                best.append((likely, kind))
         return max(best)[1] if best else None
 
 
@@ -142,8 +150,9 @@ def _sample(docs: DataFrame, size: int) -> dict[str, list[str]]:
                     base = base_spans(text)
                     for kind, _, _, string in base:
                         offer(kind, string)
-                    for _, _, string in candidates(text, base):
-                        offer(ORDINARY, string)
+                    edges = {p for s in base for p in s[1:3]}
+                    for found in candidates(text, base):
+                        offer(ORDINARY, bare(*found, edges)[2])
         rows = [(k, s, -h - (1 << 63)) for k, heap in heaps.items() for h, s in heap]
         if rows:
             kinds, strings, hashes = zip(*rows, strict=True)
@@ -167,35 +176,40 @@ def _sample(docs: DataFrame, size: int) -> dict[str, list[str]]:
 
 
 def _usual(ordinary: Automaton | None, string: str) -> float:
-    """Mean log likelihood as an ordinary string; all symbols are alike where none is known."""
-    return ordinary.score(string) if ordinary else -math.log(ALPHABET + 1)
+    """Log likelihood as an ordinary string; all symbols are alike where none is known."""
+    return ordinary.score(string) if ordinary else -math.log(ALPHABET + 1) * (len(string) + 1)
 
 
-def _unseen_scores(labelled: list[str]) -> list[float]:
-    """Scores of labelled strings by automata of the other half: what a new string may expect."""
+def _unseen_surprises(labelled: list[str]) -> list[float]:
+    """Surprise of labelled strings in automata of the other half: what a new string may expect."""
     halves = labelled[::2], labelled[1::2]
     if not halves[1]:
-        return [Automaton(labelled, longest=LONGEST).score(s) for s in labelled]
+        return [Automaton(labelled, longest=LONGEST).judge(s)[1] for s in labelled]
     learned = [Automaton(half, longest=LONGEST) for half in halves[::-1]]
-    return [a.score(s) for a, half in zip(learned, halves, strict=True) for s in half]
+    return [a.judge(s)[1] for a, half in zip(learned, halves, strict=True) for s in half]
 
 
-def _explained(strings: list[str], automaton: Automaton, labelled: int) -> set[str]:
-    """Strings of the ordinary sample that other ordinary ones do not explain clearly better than the format.
+def _explained(strings: list[str], automaton: Automaton, most: float, labelled: int) -> set[str]:
+    """Strings of the ordinary sample that fit the format and that other ordinary ones do not explain
+    clearly better.
 
     A string is judged by an automaton that did not see it, learned from no more strings than half
     of the ``labelled`` ones: else credentials in the sample would explain themselves.
     """
-    likely = {s: automaton.score(s) for s in strings}
-    most, aside = max(labelled // 2, LEAST_ORDINARY), set()
-    for _ in range(ROUNDS):
+    likely = {}
+    for s in strings:
+        value, surprise, fits = automaton.judge(s)
+        if fits and surprise <= most:
+            likely[s] = value
+    held, aside = max(labelled // 2, LEAST_ORDINARY), set()
+    for _ in range(ROUNDS if likely else 0):
         found = set()
         for fold in (0, 1):
-            others = [s for s in strings[1 - fold :: 2] if s not in aside][:most]
+            others = [s for s in strings[1 - fold :: 2] if s not in aside][:held]
             ordinary = Automaton(others, longest=LONGEST) if others else None
             found |= {
                 s for s in strings[fold::2]
-                if (likely[s] - _usual(ordinary, s)) * (len(s) + 1) > -DOUBT
+                if s in likely and likely[s] - _usual(ordinary, s) > -DOUBT
             }
         if found == aside:
             break
@@ -210,9 +224,9 @@ def train(strings: dict[str, list[str]]) -> Model:
     for kind in BASE:
         if labelled := strings.get(kind):
             model.formats[kind] = automaton = Automaton(labelled, longest=LONGEST)
-            aside[kind] = _explained(usual, automaton, len(labelled))
-            likely = sorted(_unseen_scores(labelled))[len(labelled) // 100]
-            model.limits[kind] = (likely, 0.0)
+            most = sorted(_unseen_surprises(labelled))[-1 - len(labelled) // 100]
+            aside[kind] = _explained(usual, automaton, most, len(labelled))
+            model.limits[kind] = (most, 0.0)
     if rest := [s for s in usual if not any(s in found for found in aside.values())]:
         model.ordinary = Automaton(rest, longest=LONGEST)
     for kind, found in aside.items():
@@ -231,17 +245,11 @@ def spans(text: str, model: Model) -> list[Span]:
     base = base_spans(text)
     found = [s[:3] for s in base]
     edges = {p for s in base for p in s[1:3]}
-    for start, end, string in candidates(text, base):
-        kind = model.kind(string)
-        if not kind:
-            # The rest of a run may have the mark that joined it to a base match.
-            first = len(string) - len(string.lstrip(JOINTS)) if start in edges else 0
-            last = len(string.rstrip(JOINTS)) if end in edges else len(string)
-            if LEAST <= last - first < len(string):
-                kind = model.kind(string[first:last])
-                start, end = start + first, start + last
-        if kind:
-            found.append((f"like_{kind}", start, end))
+    for candidate in candidates(text, base):
+        for start, end, string in dict.fromkeys((candidate, bare(*candidate, edges))):
+            if kind := model.kind(string):
+                found.append((f"like_{kind}", start, end))
+                break
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

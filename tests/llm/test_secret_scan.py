@@ -1,3 +1,4 @@
+import math
 import random
 import re
 
@@ -156,5 +157,100 @@ def test_runs_of_millions_of_characters(spark, monkeypatch):
     assert found[1] == [("hex", 0, 2_400_000)]
     assert found[2] == [("assign", 0, 3_000_006)] and found[3] == [("assign", 0, 46)]
     format_ = plain([dump[i : i + 256] for i in range(0, 25600, 256)], longest=256)
-    model = secret_scan.Model({"assign": format_}, None, {"assign": (-9.0, 0.0)})
+    model = secret_scan.Model({"assign": format_}, None, {"assign": (math.inf, 0.0)})
     assert secret_scan.spans(f"a {dump} b", model) == [("like_assign", 2, 3_000_002)] and not model._known
+
+
+DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _labels(draw, n=131):
+    """Labelled strings as the tables have them: 40 mixed characters, keys, 16 or 40 hex digits."""
+    mixed = lambda k: "".join(draw.choices(DIGITS + LOWER + UPPER, k=k))
+    hexes = lambda k: "".join(draw.choices("0123456789abcdef", k=k))
+    words = lambda: "".join(draw.choices("etaoinshrdlucm", k=draw.randint(12, 19)))
+    return {
+        "assign": [mixed(40) for _ in range(n)],
+        "access": ["AKIA" + "".join(draw.choices(UPPER + DIGITS, k=16)) for _ in range(n)],
+        "hex": [hexes(draw.choice((16, 40))) for _ in range(n)],
+        "ordinary": sorted({words() for _ in range(400)}),
+    }, mixed, hexes, words
+
+
+def test_length_and_prefix_of_a_format_are_kept():
+    """Strings of a wrong length, or without the prefix, are no credentials, whatever they are made of."""
+    draw = random.Random(19)
+    labels, mixed, hexes, words = _labels(draw)
+    model = secret_scan.train(labels)
+    assert len(model.formats["hex"].ends) >= 16 and len(model.formats["assign"].ends) >= 40
+    digits = lambda k: "".join(draw.choices(DIGITS, k=k))
+    wrong = [f(k) for k in (12, 13, 14, 15) for f in (digits, hexes) for _ in range(250)]
+    wrong += [mixed(k) for k in (12, 20, 39, 41) for _ in range(250)] + [words() for _ in range(500)]
+    wrong += ["AKIB" + "".join(draw.choices(UPPER + DIGITS, k=16)) for _ in range(250)]
+    assert not [s for s in wrong if model.kind(s)]
+    right = [mixed(40) for _ in range(500)]
+    assert sum(model.kind(s) == "assign" for s in right) >= 490
+    prefixed = Automaton(["sk_live_" + mixed(24) for _ in range(300)], longest=256)
+    at = 0
+    for symbol in "sk_live_":
+        # One way only, a state a character.
+        assert list(prefixed.moves[at]) == [symbol]
+        at = prefixed.moves[at][symbol][1]
+    assert len(prefixed.moves[at]) > 40
+
+
+def _plain_judge(automaton, string):
+    """Likelihood and surprise of a string, step by step from the automaton's tables."""
+    at, likely, usual, fits = 0, [], [], True
+    for symbol in [*string, None]:
+        usual.append(automaton.usual[at])
+        if symbol is None:
+            likely.append(automaton.ends[at])
+        else:
+            fits = fits and (symbol in automaton.moves[at] or not automaton.closed[at])
+            p, to = automaton.moves[at].get(symbol, (automaton.unseen[at], automaton.other[at]))
+            likely.append(p)
+            at = to
+    return math.fsum(likely), -math.fsum(likely) - math.fsum(usual), fits and not automaton.never[at]
+
+
+def test_learned_spans_by_plain_scoring(spark):
+    """Every run of 12 or more characters outside base matches, scored one by one."""
+    draw = random.Random(23)
+    labels, mixed, hexes, words = _labels(draw, 80)
+    texts = [f"x token={a} y {words()} z" for a in labels["assign"]] + [f"see {mixed(40)} or {hexes(14)}" for _ in range(30)]
+    texts += [f"tel {draw.randrange(10**13, 10**14)} at {words()}, {mixed(30)}" for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = secret_scan.fit(docs)
+
+    def kind(string):
+        best = []
+        for k, a in model.formats.items():
+            likely, surprise, fits = _plain_judge(a, string)
+            other = _plain_judge(model.ordinary, string)[0]
+            if fits and surprise <= model.limits[k][0] + 1e-9 and likely - other > model.limits[k][1]:
+                best.append((likely, k))
+        return max(best)[1] if best else None
+
+    expected = {}
+    for i, text in enumerate(texts):
+        base = _plain(text)
+        runs = [m.span() for m in re.finditer(r"[A-Za-z0-9+/_.=-]{12,}", text)]
+        free = [r for r in runs if not any(s < r[1] and r[0] < e for _, s, e in base)]
+        expected[i] = sorted(base + [(f"like_{k}", *r) for r in free if (k := kind(text[r[0] : r[1]]))])
+    found = {r.doc_id: sorted(tuple(s) for s in r.spans) for r in secret_scan.find_secrets(docs).collect()}
+    assert found == expected
+    learned = [s for spans in found.values() for s in spans if s[0].startswith("like_")]
+    assert len(learned) >= 25 and all(e - s == 40 for _, s, e in learned)
+
+
+def test_ordinary_strings_of_any_shape_stay(spark):
+    """Numbers and short hex strings in the texts are neither reported nor masked."""
+    draw = random.Random(29)
+    labels, mixed, hexes, _ = _labels(draw)
+    rows = [(i, f"secret: {a} and {h}") for i, (a, h) in enumerate(zip(labels["assign"], labels["hex"], strict=True))]
+    rows += [(1000 + i, f"order {draw.randrange(10**11, 10**15)} of {hexes(12)}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    masked = dict(texts_of(secret_scan.mask_secrets(docs)))
+    assert all(masked[i] == t for i, t in rows if i >= 1000)
+    assert all("[SECRET]" in masked[i] for i, _ in rows if i < 1000)
