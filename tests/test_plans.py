@@ -204,3 +204,37 @@ def test_a_declared_table_is_not_taken_for_a_built_one(spark, stages, tmp_path):
         etl.run_etl(spark, raw, vocabulary, str(tmp_path / "cdm"), stages=("ddl", "vocabulary", "eras"))
     with pytest.raises(ValueError, match="regions"):
         etl.run_etl(spark, raw, vocabulary, str(tmp_path / "cdm"))
+
+
+def test_measures_of_written_tables(spark, tmp_path):
+    """Rows, missing keys and dates come from the write itself, also for tables without rows."""
+    from pyspark.sql import Observation
+
+    day = dt.date
+    df = spark.createDataFrame(
+        [(1, 7, day(2005, 1, 1), day(2005, 1, 2), 1), (None, 7, day(2004, 3, 1), None, 1), (3, 7, None, None, 1)],
+        "observation_period_id long, person_id long, observation_period_start_date date, "
+        "observation_period_end_date date, period_type_concept_id int",
+    )
+    seen = Observation("rows")
+    sinks.write_cdm(df.repartition(3), "observation_period", str(tmp_path), seen)
+    assert seen.get == {
+        "rows": 3, "null_keys": 1, "first_date": day(2004, 3, 1), "last_date": day(2005, 1, 1)
+    }
+    none = Observation("none")
+    sinks.write_cdm(df.limit(0), "observation_period", str(tmp_path), none)
+    assert none.get == {"rows": 0, "null_keys": 0, "first_date": None, "last_date": None}
+
+
+def test_measures_need_no_second_read(spark, stages, inputs, tmp_path, monkeypatch):
+    """No table is counted after it was written."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    counted, plain = [], DataFrame.count
+    monkeypatch.setattr(DataFrame, "count", lambda self: counted.append(self) or plain(self))
+    raw, vocabulary = inputs
+    tables = etl.run_etl(spark, raw, vocabulary, str(tmp_path / "cdm"), stages=("vocabulary", "person", "death"))
+    assert not counted
+    log = {r[0]: r[1:] for r in rows(tables["stage_log"], "table_name", "rows", "null_keys")}
+    assert log["person"] == (plain(tables["person"]), 0)
+    assert set(log) == {"source_to_concept_map", "code_map", "ingredient_map", "person", "death"}
