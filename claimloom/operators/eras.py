@@ -4,6 +4,11 @@ An era is an island: a new one begins where a start lies more than 30 days after
 end so far. Counts are distinct starts, so exposures are first collapsed to one row per
 start day (partial aggregation before the shuffle). A person-concept group then holds at
 most one row per calendar day and drug type, however many exposures it had.
+
+Drug and condition eras are found in two steps, so that no group has to fit a task: islands of a
+time slice of a group, and islands of these, which are few: within a slice they are more than 30
+days apart. Merging is associative: an island stands for its rows by its first start, its
+last end and what it counts.
 """
 
 from __future__ import annotations
@@ -15,6 +20,8 @@ from .keys import with_identity
 from .vocab import ingredient_rollup
 
 GAP_DAYS = 30
+# Days of a time slice: a task gets the rows of one slice of a group at a time.
+SLICE_DAYS = 366
 
 # Total orders in which eras get their ids.
 DRUG_ERA_ORDER = [
@@ -53,6 +60,36 @@ def islands(rows: DataFrame, group: list[str]) -> DataFrame:
     return rows.withColumn("_opens", opens).withColumn("island", number).drop("_opens")
 
 
+def sliced_islands(days: DataFrame, group: list[str], slice_days: int = SLICE_DAYS) -> DataFrame:
+    """Islands of each group, in which no task sorts more than a time slice of a group.
+
+    ``days`` has one row for each ``kind`` and start day of a group, with columns kind, start and
+    end. Returns a row for each island and kind in it: the group, kind, first_start and starts
+    (of the kind), island_start and island_end.
+    """
+    in_slice = [*group, "slice"]
+    local = islands(
+        days.withColumn("slice", F.floor(F.unix_date("start") / slice_days)), in_slice
+    )
+    kinds = local.groupBy(*in_slice, "island", "kind").agg(
+        F.min("start").alias("first_start"), F.count("*").alias("starts"), F.max("end").alias("end")
+    )
+    parts = kinds.groupBy(*in_slice, "island").agg(
+        F.min("first_start").alias("start"),
+        F.max("end").alias("end"),
+        F.collect_list(F.struct("kind", "first_start", "starts")).alias("kinds"),
+    )
+    joined = Window.partitionBy(*group, "island")
+    return (
+        islands(parts.drop("slice", "island"), group)
+        .withColumn("island_start", F.min("start").over(joined))
+        .withColumn("island_end", F.max("end").over(joined))
+        .select(*group, "island_start", "island_end", F.inline("kinds"))
+        .groupBy(*group, "island_start", "island_end", "kind")
+        .agg(F.min("first_start").alias("first_start"), F.sum("starts").alias("starts"))
+    )
+
+
 def _exposure_span() -> tuple[Column, Column]:
     start = F.col("drug_exposure_start_date")
     end = F.coalesce(
@@ -71,23 +108,17 @@ def drug_era_spans(drug: DataFrame, ingredients: DataFrame) -> DataFrame:
     group = ["person_id", "ingredient_concept_id"]
     days = (
         ingredient_rollup(exposures, ingredients)
-        .groupBy(*group, "drug_type_concept_id", "start")
+        .withColumnRenamed("drug_type_concept_id", "kind")
+        .groupBy(*group, "kind", "start")
         .agg(F.max("end").alias("end"))
     )
-    island = Window.partitionBy(*group, "island")
-    return (
-        islands(days, group)
-        .withColumn("island_end", F.max("end").over(island))
-        .groupBy(*group, "drug_type_concept_id", "island_end")
-        .agg(F.min("start").alias("drug_era_start_date"), F.count("*").alias("drug_exposure_count"))
-        .select(
-            "person_id",
-            F.col("ingredient_concept_id").alias("drug_concept_id"),
-            "drug_era_start_date",
-            F.col("island_end").alias("drug_era_end_date"),
-            "drug_exposure_count",
-            F.lit(GAP_DAYS).alias("gap_days"),
-        )
+    return sliced_islands(days, group).select(
+        "person_id",
+        F.col("ingredient_concept_id").alias("drug_concept_id"),
+        F.col("first_start").alias("drug_era_start_date"),
+        F.col("island_end").alias("drug_era_end_date"),
+        F.col("starts").alias("drug_exposure_count"),
+        F.lit(GAP_DAYS).alias("gap_days"),
     )
 
 
@@ -108,20 +139,12 @@ def condition_era_spans(condition: DataFrame) -> DataFrame:
         .groupBy(*group, "start")
         .agg(F.max("end").alias("end"))
     )
-    return (
-        islands(days, group)
-        .groupBy(*group, "island")
-        .agg(
-            F.min("start").alias("condition_era_start_date"),
-            F.max("end").alias("condition_era_end_date"),
-            F.count("*").alias("condition_occurrence_count"),
-        )
-        .select(
-            *group,
-            "condition_era_start_date",
-            "condition_era_end_date",
-            "condition_occurrence_count",
-        )
+    one_kind = days.withColumn("kind", F.lit(None).cast("int"))
+    return sliced_islands(one_kind, group).select(
+        *group,
+        F.col("island_start").alias("condition_era_start_date"),
+        F.col("island_end").alias("condition_era_end_date"),
+        F.col("starts").alias("condition_occurrence_count"),
     )
 
 

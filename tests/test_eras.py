@@ -116,3 +116,67 @@ def test_condition_era_gap_and_missing_end(spark):
 
 def test_no_more_eras_than_events(stages):
     assert eras.condition_era_spans(stages.condition).count() <= stages.condition.count()
+
+
+def _one_window(days, group):
+    """Islands of whole groups, each sorted in one task, by kind."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    whole = Window.partitionBy(*group, "island")
+    return (
+        eras.islands(days, group)
+        .withColumn("island_start", F.min("start").over(whole))
+        .withColumn("island_end", F.max("end").over(whole))
+        .groupBy(*group, "island_start", "island_end", "kind")
+        .agg(F.min("start").alias("first_start"), F.count("*").alias("starts"))
+    )
+
+
+def test_slices_of_any_width_give_the_same_islands(spark):
+    """Ends that reach over many slices, gaps of exactly 30 and 31 days at their borders."""
+    rng = random.Random(5)
+    data = {}
+    for _ in range(1500):
+        start = BASE + rng.randrange(4000) * DAY
+        key = (rng.randrange(6), rng.choice([1, 2, None]), start)
+        long = rng.choice([0, 0, 1, 25, 30, 31, 800 if rng.random() < 0.1 else 3])
+        data[key] = max(data.get(key, start), start + long * DAY)
+    for k in range(40):
+        data[(9, 1, BASE + 31 * k * DAY)] = BASE + (31 * k + k % 2) * DAY
+    days = spark.createDataFrame([(*k, e) for k, e in data.items()], "person_id int, kind int, start date, end date")
+    columns = ["person_id", "kind", "first_start", "starts", "island_start", "island_end"]
+    expected = rows(_one_window(days, ["person_id"]), *columns)
+    for width in (1, 7, 31, 366, 10**6):
+        assert rows(eras.sliced_islands(days, ["person_id"], width), *columns) == expected
+
+
+def test_a_group_of_a_million_rows_is_spread_over_tasks(spark):
+    """One person has a million days and kinds; its largest task is no larger than the others."""
+    from pyspark.sql import functions as F
+
+    n = 1_000_000
+    day = (F.col("id") % 20_000).cast("int")
+    hot = spark.range(n).select(
+        F.lit(1).alias("person_id"), (F.col("id") / 20_000).cast("int").alias("kind"),
+        F.date_add(F.lit(dt.date(1960, 1, 1)), F.when(day % 100 < 60, day).otherwise(day - day % 100)).alias("start"),
+    )
+    days = hot.groupBy("person_id", "kind", "start").agg(F.date_add("start", 1).alias("end"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        sliced = days.withColumn("slice", F.floor(F.unix_date("start") / eras.SLICE_DAYS))
+        local = eras.islands(sliced, ["person_id", "slice"])
+        sizes = [r.n for r in local.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        total = days.count()
+        assert sum(sizes) == total and len(sizes) >= 10 and max(sizes) < total / 4
+        found = eras.sliced_islands(days, ["person_id"])
+        # Of each hundred days the last 40 are free.
+        assert found.count() == 200 * 50
+        assert found.agg(F.sum("starts")).first()[0] == total
+        assert rows(found.select("person_id", "island_start", "island_end").distinct()) == rows(
+            _one_window(days, ["person_id"]).select("person_id", "island_start", "island_end").distinct()
+        )
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
