@@ -10,24 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PERIOD = ("observation_period_start_date", "observation_period_end_date")
+from . import ranges
 
 
 def inside_period(
     events: DataFrame, periods: DataFrame, start: str, end: str | None = None
 ) -> DataFrame:
-    """Events that fit a period: a semi-join on person with the dates as residual.
+    """Events that fit a period: a semi-join on person and year with the dates as residual.
 
     A NULL end never fits.
     """
-    first, last = PERIOD
-    spans = periods.select(F.col("person_id").alias("_person"), *PERIOD)
-    fits = (
-        (F.col("person_id") == F.col("_person"))
-        & (F.col(start) >= F.col(first))
-        & (F.col(end or start) <= F.col(last))
-    )
-    return events.join(spans, fits, "left_semi")
+    return ranges.in_a_period(events, periods, F.col(start), F.col(end) if end else None)
 
 
 def cleanse_visit(events: DataFrame, periods: DataFrame) -> DataFrame:

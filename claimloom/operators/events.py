@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from . import vocab
+from . import ranges, vocab
 
 MAPPED, AMBIGUOUS, UNMAPPED = "mapped", "ambiguous", "unmapped"
 DRUG_LINES = ("3", "4", "5")
@@ -89,18 +89,10 @@ def condition_occurrence(
         code_map,
         {vocab.CONDITION: MAPPED, vocab.ELSEWHERE: vocab.ELSEWHERE},
     ).where(F.col("kind").isin(*kinds))
-    spans = periods.select(
-        "person_id", "observation_period_start_date", "observation_period_end_date"
-    )
     start = codes.ymd(F.col("header_dt"))
+    dated = lines.withColumn("_line_day", line_day)
     return (
-        lines.withColumn("_line_day", line_day)
-        .join(spans, "person_id")
-        .where(
-            F.col("_line_day").between(
-                F.col("observation_period_start_date"), F.col("observation_period_end_date")
-            )
-        )
+        ranges.with_period(dated, periods, F.col("_line_day"))
         .select(
             codes.event_id(F.col("master_seq"), F.col("rn")).alias("condition_occurrence_id"),
             "person_id",
