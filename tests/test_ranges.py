@@ -64,9 +64,9 @@ def test_one_hot_person_forms_no_product(spark):
     """2,000 periods and 40,000 visits of one person: compared are those of a year only."""
     n = 40_000
     start = F.date_add(F.lit(BASE), (F.col("id") % 20_000).cast("int"))
-    events = spark.range(n).select("id", (F.col("id") * 0 + 1).alias("person_id"), start.alias("visit_start_date"), start.alias("visit_end_date"))
+    events = spark.range(n).select("id", F.when(F.col("id") >= 0, 1).otherwise(2).alias("person_id"), start.alias("visit_start_date"), start.alias("visit_end_date"))
     first = F.date_add(F.lit(BASE), (F.col("id") * 10).cast("int"))
-    periods = spark.range(2_000).select((F.col("id") * 0 + 1).alias("person_id"), first.alias(ranges.FIRST), F.date_add(first, 4).alias(ranges.LAST))
+    periods = spark.range(2_000).select(F.when(F.col("id") >= 0, 1).otherwise(2).alias("person_id"), first.alias(ranges.FIRST), F.date_add(first, 4).alias(ranges.LAST))
     binned = events.groupBy(ranges.row_bin(F.col("visit_start_date"), F.col("visit_end_date")).alias("b")).count()
     spans = ranges.binned_periods(periods).groupBy("_bin").agg(F.count("*").alias("periods"))
     pairs = binned.join(spans, F.col("b") == F.col("_bin")).agg(F.sum(F.col("count") * F.col("periods"))).first()[0]
