@@ -468,29 +468,40 @@ def check_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def check_not_null(tables: dict[str, DataFrame]) -> DataFrame:
-    """NULLs in NOT NULL columns and texts longer than declared: one pass per table."""
-    parts = []
+    """NULLs in NOT NULL columns and texts longer than declared: one pass over all tables.
+
+    Rows that break no rule go no further than the scan; the others are counted once per rule they
+    break, in one aggregate for all tables. Rules that hold come back with 0 rows.
+    """
+    rules, broken = [], []
     for name, df in tables.items():
-        schema = schemas.CDM.get(name) or schemas.VOCABULARY[name]
-        checks = {}
-        for field in schema:
+        tests = {}
+        for field in schemas.CDM.get(name) or schemas.VOCABULARY[name]:
             if field.name not in df.columns:
                 continue
-            column = F.col(field.name)
             if not field.nullable:
-                checks[f"{field.name}:null"] = F.count(F.when(column.isNull(), 1))
+                tests[field.name, "null"] = f"`{field.name}` is null"
             if "length" in field.metadata:
-                too_long = F.length(column.cast("string")) > field.metadata["length"]
-                checks[f"{field.name}:length"] = F.count(F.when(too_long, 1))
-        if not checks:
+                text = f"cast(`{field.name}` as string)"
+                tests[field.name, "length"] = f"ifnull(length({text}) > {field.metadata['length']}, false)"
+        if not tests:
             continue
-        wide = df.agg(*[check.alias(key) for key, check in checks.items()])
-        parts.append(
-            wide.unpivot([], list(checks), "check", "rows").select(
-                F.lit(name).alias("table_name"),
-                F.split_part("check", F.lit(":"), F.lit(1)).alias("column_name"),
-                F.split_part("check", F.lit(":"), F.lit(2)).alias("rule"),
-                "rows",
+        rules += [(name, *rule) for rule in tests]
+        # As text: a table has some dozens of rules, and all tables have them at once.
+        named = ", ".join(f"case when {test} then '{':'.join(rule)}' end" for rule, test in tests.items())
+        broken.append(
+            df.where(" or ".join(tests.values())).selectExpr(
+                f"'{name}' as table_name", f"explode(array_compact(array({named}))) as check"
             )
         )
-    return reduce(DataFrame.unionByName, parts)
+    found = (
+        reduce(DataFrame.unionByName, broken)
+        .groupBy("table_name", F.split("check", ":").alias("check"))
+        .agg(F.count("*").alias("found"))
+        .select("table_name", F.col("check")[0].alias("column_name"), F.col("check")[1].alias("rule"), "found")
+    )
+    spark = next(iter(tables.values())).sparkSession
+    known = spark.createDataFrame(rules, "table_name string, column_name string, rule string")
+    return known.join(found, ["table_name", "column_name", "rule"], "left").select(
+        "table_name", "column_name", "rule", F.coalesce("found", F.lit(0)).cast("bigint").alias("rows")
+    )
