@@ -9,8 +9,9 @@ that equal windows always meet, and nothing else has to:
 2. Documents with a repeated minimizer are cut into segments: at most ``WINDOW - GRAM + 1`` consecutive
    windows of one such minimizer, with all their words. Equal segments are collapsed to one with
    a count.
-3. A shard takes the segments of some minimizers, about ``SHARD_WORDS`` words. It indexes them and
-   streams each segment through backward search; windows that occur twice are reported. Words are
+3. A shard takes the segments of some minimizers, about ``SHARD_WORDS`` words. It indexes them, those
+   that came more than once twice, and streams each segment through backward search; windows that
+   occur twice are reported. Words are
    compared as they are, hashes only decide who meets. A minimizer with more words than a shard
    holds is cut into chunks, and a grid of tasks matches every chunk against every other.
 4. Reported windows go back to the places their segments came from; words they cover are removed.
@@ -127,14 +128,15 @@ def _first_pass(docs: DataFrame, window: int, gram: int) -> DataFrame:
 
 def _repeated(first: DataFrame) -> DataFrame:
     """(k1, minimizers): for each text its minimizers that occur at two places or more."""
-    from pyspark.sql import Window
-
     places = first.select("k1", F.explode("minimizers").alias("value"))
-    beside = Window.partitionBy("value").orderBy("k1")
-    met = places.select(
-        "k1", "value", F.lag(F.lit(1)).over(beside).alias("p"), F.lead(F.lit(1)).over(beside).alias("n")
-    ).filter(F.col("p").isNotNull() | F.col("n").isNotNull())
-    return met.groupBy("k1").agg(F.collect_set("value").alias("minimizers"))
+    # Counted before they are shuffled, so a value in every text is no single task's work; Spark can split
+    # the join that follows.
+    repeated = places.groupBy("value").agg(F.count("*").alias("n")).filter("n > 1").select("value")
+    return (
+        places.join(repeated, "value")
+        .groupBy("k1")
+        .agg(F.collect_set("value").alias("minimizers"))
+    )
 
 
 def _cut(text: bytes, repeated: list[int], window: int, gram: int):
@@ -257,7 +259,7 @@ def _search(words, windows, indexed, asks, names, window: int) -> list[tuple]:
     part = text if indexed.all() else text[np.repeat(indexed, lengths)]
     index = FmIndex(part, int(lengths.max()), len(numbers))
     found = []
-    # An indexed segment meets itself once.
+    # A segment meets its own place in the index.
     for need, which in ((2, indexed), (1, ~indexed)):
         open_windows = np.where(asks & which, windows, 0)
         if open_windows.any():
@@ -277,17 +279,16 @@ def _match(window: int):
         )
         windows, several = frame["windows"].to_numpy(), frame["n"].to_numpy() > 1
         indexed, asked = frame["indexed"].to_numpy(), frame["asked"].to_numpy()
-        # Segments that came more than once repeat as a whole.
-        whole = np.flatnonzero(asked & several)
-        found = [(whole, np.zeros(len(whole), np.int64), windows[whole] - 1)]
-        # Windows only meet windows of their minimizer: those without an open segment are settled.
-        open_values = frame["value"][asked & ~several].unique()
-        kept = np.flatnonzero(frame["value"].isin(open_values).to_numpy())
-        if indexed[kept].any():
+        # A segment that came more than once is in the index twice, and so meets itself where it is indexed.
+        twice = np.flatnonzero(several & indexed)
+        rows = np.concatenate([np.arange(len(frame)), twice])
+        asks = asked & (indexed | ~several)
+        asks = np.concatenate([asks, np.zeros(len(twice), bool)])
+        found = [(np.zeros(0, np.int64),) * 3]
+        if indexed.any():
             found += _search(
-                frame["words"].to_numpy()[kept], windows[kept], indexed[kept],
-                (asked & ~several)[kept], kept, window,
-            )
+                frame["words"].to_numpy()[rows], windows[rows], indexed[rows], asks, rows, window
+            )
         which, first, last = (np.concatenate(c) for c in zip(*found, strict=True))
         return pd.DataFrame(
             {
