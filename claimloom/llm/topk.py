@@ -29,8 +29,11 @@ from . import common
 
 #: Dimensions added up between two compactions, candidates of a chunk.
 DIMENSIONS, CHUNK = 16, 4096
-#: Queries and candidates that meet in one task, on average.
+#: Queries and candidates that meet in one task, on average, at most.
 QUERY_BLOCK, CANDIDATE_BLOCK = 4096, 32768
+#: Bytes of the doubles of a cell, of which a task holds some copies; candidates for which a further
+#: task is worth its queries.
+CELL_BYTES, LEAST_BLOCK = 32 << 20, 4096
 EXACT = float(1 << 53)
 
 
@@ -137,6 +140,15 @@ def _cell(k: int, scale: float):
     return run
 
 
+def grid(n: int, asking: int, width: int, tasks: int) -> tuple[int, int]:
+    """Blocks of queries and of candidates: cells of bounded bytes, and as many as there are tasks."""
+    fit = max(1, CELL_BYTES // (8 * max(width, 1)))
+    query_blocks = max(1, -(-asking // min(QUERY_BLOCK, max(1, fit // 4))))
+    blocks = max(1, -(-n // min(CANDIDATE_BLOCK, fit)))
+    wanted = min(-(-tasks // query_blocks), -(-n // LEAST_BLOCK))
+    return query_blocks, max(blocks, wanted)
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best other rows for each row that ``is_query``.
 
@@ -151,8 +163,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
         F.col("embedding").cast("array<double>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     ).filter(F.col("id").isNotNull() & F.col("vector").isNotNull() & good)
-    n, asking = usable.agg(F.count("*"), F.count_if("asks")).first()
-    query_blocks, blocks = max(1, -(-asking // QUERY_BLOCK)), max(1, -(-n // CANDIDATE_BLOCK))
+    n, asking, width = usable.agg(
+        F.count("*"), F.count_if("asks"), F.coalesce(F.max(F.size("vector")), F.lit(0))
+    ).first()
+    query_blocks, blocks = grid(n, asking, width, common.partitions(vectors.sparkSession))
+    cells = max(query_blocks * blocks, common.partitions(vectors.sparkSession))
     place = F.xxhash64("id", "vector")
     queries = usable.filter("asks").select(
         "id", "vector", F.pmod(place, F.lit(query_blocks)).alias("qb"),
@@ -163,9 +178,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("qb"),
     )
     common.prepare(vectors.sparkSession)
+    # Cells are heavy for their bytes: their number of partitions is named, so none are put together.
     found = (
-        queries.groupBy("qb", "cb")
-        .cogroup(candidates.groupBy("qb", "cb"))
+        queries.repartition(cells, "qb", "cb").groupBy("qb", "cb")
+        .cogroup(candidates.repartition(cells, "qb", "cb").groupBy("qb", "cb"))
         .applyInPandas(_cell(k, scale), "query_id long, vec_id long, score long")
     )
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

@@ -86,3 +86,21 @@ def test_query(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet").collect()
     expected = _expected([(r.vec_id, r.embedding) for r in rows])
     assert _found(queries.op5_top_k(spark, "/root/testdata/sf0.001")) == expected
+
+
+def test_grid_follows_bytes_and_cores():
+    """A cell's vectors fit a bound whatever their width, and small tables use all tasks."""
+    for n, asking, width in ((0, 0, 0), (5, 1, 3), (51282, 1026, 64), (10**7, 2 * 10**5, 64), (10**7, 2 * 10**5, 1536), (10**6, 10, 10**6)):
+        q, c = topk.grid(n, asking, width, 12)
+        per_cell = -(-asking // q) + -(-n // c)
+        assert q >= 1 and c >= 1
+        assert per_cell * width * 8 <= 1.3 * topk.CELL_BYTES or per_cell <= 2
+    assert topk.grid(51282, 1026, 64, 12) == (1, 12) and topk.grid(100, 2, 64, 12) == (1, 1)
+
+
+def test_wide_vectors(spark, monkeypatch):
+    """Many cells by bytes alone."""
+    monkeypatch.setattr(topk, "CELL_BYTES", 8 * 30 * 40)
+    draw = np.random.default_rng(8)
+    rows = [(int(i), draw.normal(0, 0.1, 30).astype("float32").astype(float).tolist()) for i in range(200)]
+    assert _search(spark, rows) == _expected(rows)
