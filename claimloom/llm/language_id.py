@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from . import common
 
 BUCKETS, SAMPLE, AMBIGUOUS, UNKNOWN = 1 << 14, 1500, 0.4, "und"
+#: Labels that are learned at most: the most frequent ones.
+LANGUAGES = 256
 #: Outputs are sums of weights over (n-grams + PRIOR), times GAIN.
 PRIOR, GAIN = 20.0, 8.0
 SLICE = 1 << 20
@@ -156,15 +158,21 @@ def train(counts: dict[str, np.ndarray]) -> Model:
     return model
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Learns from about ``sample`` documents of each language; see the module."""
+def fit(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> Model:
+    """Learns from about ``sample`` documents of each language; see the module.
+
+    A label that is not among the ``languages`` most frequent ones (ties by name) is not learned.
+    """
     usable = common.documents(docs, "text", "lang").filter(
         F.col("doc_id").isNotNull()
         & ~held_out(F.col("doc_id"))
         & F.col("text").isNotNull()
         & F.col("lang").isNotNull()
     )
-    there = usable.groupBy("lang").count()
+    # Some hundred labels at most go to the driver and, with their models, to the tasks.
+    there = (
+        usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    )
     chance = F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = usable.join(F.broadcast(there), "lang").filter(chance * F.col("count") < sample)
 

@@ -81,3 +81,41 @@ def test_labels_alike_and_tables_without_labels_keep_their_texts(spark, small):
     one = texts.filter("lang = 'en'")
     assert language_id.keep_identified(one.withColumn("lang", spelled)).count() >= 0.95 * one.count()
     assert language_id.keep_identified(texts.withColumn("lang", F.lit(None).cast("string"))).count() == total
+
+
+def test_a_dirty_label_column_is_learned_in_part(spark, small):
+    """Of very many labels only the most frequent are learned, all others' rows are judged by these."""
+    from pyspark.sql import functions as F
+
+    dirty = small.select("doc_id", "text", F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("x"), "doc_id")).otherwise(F.col("lang")).alias("lang"))
+    model = language_id.fit(dirty, languages=4)
+    assert model.languages == sorted(r.lang for r in small.select("lang").distinct().collect())
+
+
+def _plain_prediction(model, text):
+    """Bits and decoding written out: loss of each codeword, weighted by bit, and its softmax share."""
+    import math
+
+    counts = language_id.ngrams(text) if text else None
+    if counts is None:
+        return "und", 0.0
+    total = counts.sum() + language_id.PRIOR
+    bits = [
+        language_id.GAIN * sum(counts[b] * model.weights[b, k] for b in np.flatnonzero(counts)) / total
+        for k in range(model.code.shape[1])
+    ]
+    losses = [
+        sum(w * math.log1p(math.exp(-c * o)) for w, c, o in zip(model.bit_weights, word, bits, strict=True))
+        for word in model.code
+    ]
+    shares = [math.exp(min(losses) - x) for x in losses]
+    best = min(range(len(losses)), key=lambda i: losses[i])
+    return model.languages[best], shares[best] / sum(shares)
+
+
+def test_decoding_against_a_plain_version(spark, small):
+    model = language_id.fit(small)
+    texts = {r.doc_id: r.text for r in small.collect()}
+    for r in language_id.identify(small).collect():
+        lang, score = _plain_prediction(model, texts[r.doc_id])
+        assert r.lang_pred == lang and r.score == pytest.approx(score, abs=1e-9)
