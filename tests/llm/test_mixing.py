@@ -96,3 +96,35 @@ def test_repeat(odd):
     for r in out.collect():
         words[r.source] += len(WORD.findall(r.text or ""))
     assert {s: n for s, n in words.items() if n} == {s: n for s, n in copies.items() if n}
+
+
+def _plain_pivotal(size, p, draw):
+    """Pairs in order, mass moved from one to the other until one of them is whole."""
+    p, open_one = list(p), None
+    for i in range(len(p)):
+        if not 0 < p[i] < 1:
+            continue
+        if open_one is None:
+            open_one = i
+            continue
+        k = open_one
+        # Words that may go from i to k, and from k to i.
+        gain = min((1 - p[k]) * size[k], p[i] * size[i])
+        loss = min(p[k] * size[k], (1 - p[i]) * size[i])
+        moved = gain if draw[i] < loss / (gain + loss) else -loss
+        p[k], p[i] = p[k] + moved / size[k], p[i] - moved / size[i]
+        for j in (k, i):
+            p[j] = round(p[j]) if abs(p[j] - round(p[j])) < 1e-9 else p[j]
+        open_one = next((j for j in (k, i) if 0 < p[j] < 1), None)
+    return p, -1 if open_one is None else open_one
+
+
+def test_rounding_against_a_plain_version():
+    draw = np.random.default_rng(6)
+    for _ in range(200):
+        n = int(draw.integers(1, 30))
+        size, p, u = draw.integers(1, 50, n).astype(float), draw.random(n), draw.random(n)
+        p[draw.random(n) < 0.2] = draw.choice([0.0, 1.0])
+        got, held = mixing._settle(size, p, u)
+        expected, open_one = _plain_pivotal(size, p, u)
+        assert np.allclose(got, expected, atol=1e-9) and held == open_one
