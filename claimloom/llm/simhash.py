@@ -89,8 +89,11 @@ def _ball(radius: int) -> list[int]:
 def links(bits: DataFrame, max_bits: int = 2) -> DataFrame:
     """Verified links (a, b) between distinct fingerprints that connect every near pair.
 
-    ``bits`` has one row for each distinct fingerprint, column bits.
+    ``bits`` has one row for each distinct fingerprint, column bits. They are dealt over all partitions
+    first: a fingerprint is small, its ball is not.
     """
+    # By a hash of their own, as Spark would take a split by the column itself for the one it has.
+    bits = bits.repartition(common.partitions(bits.sparkSession), F.xxhash64("bits"))
     masks = F.array(*[F.lit(m).cast("long") for m in _ball(max_bits // 2)])
     points = bits.select("bits", F.explode(masks).alias("_mask")).select(
         "bits", F.col("bits").bitwiseXOR(F.col("_mask")).alias("point")
