@@ -33,7 +33,7 @@ DIMENSIONS, CHUNK = 16, 4096
 QUERY_BLOCK, CANDIDATE_BLOCK = 4096, 32768
 #: Bytes of the doubles of a cell, of which a task holds some copies; candidates for which a further
 #: task is worth its queries.
-CELL_BYTES, LEAST_BLOCK = 32 << 20, 4096
+CELL_BYTES, LEAST_BLOCK = 32 << 20, 16384
 EXACT = float(1 << 53)
 
 

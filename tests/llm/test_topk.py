@@ -95,7 +95,7 @@ def test_grid_follows_bytes_and_cores():
         per_cell = -(-asking // q) + -(-n // c)
         assert q >= 1 and c >= 1
         assert per_cell * width * 8 <= 1.3 * topk.CELL_BYTES or per_cell <= 2
-    assert topk.grid(51282, 1026, 64, 12) == (1, 12) and topk.grid(100, 2, 64, 12) == (1, 1)
+    assert topk.grid(51282, 1026, 64, 12) == (1, 4) and topk.grid(100, 2, 64, 12) == (1, 1)
 
 
 def test_wide_vectors(spark, monkeypatch):
