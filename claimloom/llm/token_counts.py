@@ -198,11 +198,25 @@ def count_tokens(
     )
 
 
-def named(blocks: DataFrame) -> DataFrame:
-    """(file, place, doc_id) of the documents that ``flatten`` wrote."""
-    ids = blocks.select("file", "block", F.col("closed_ids").alias("ids"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.coalesce(F.sum(F.size("ids").cast("long")).over(before), F.lit(0))
-    return ids.withColumn("first", first).select(
-        "file", "first", F.posexplode("ids").alias("nth", "doc_id")
-    ).select("file", (F.col("first") + F.col("nth")).alias("place"), "doc_id")
+def named(blocks: DataFrame, span: int = SPAN) -> DataFrame:
+    """(file, place, doc_id) of the documents that ``flatten`` wrote.
+
+    Numbered like the ends: within spans of blocks, and spans by their sums.
+    """
+    ids = blocks.select(
+        "file", "block", F.floor(F.col("block") / span).alias("span"), F.col("closed_ids").alias("ids")
+    )
+    size = F.size("ids").cast("long")
+    over = Window.partitionBy("file").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ids.groupBy("file", "span").agg(F.sum(size).alias("n")).select(
+        F.col("file").alias("_file"), F.col("span").alias("_span"),
+        F.coalesce(F.sum("n").over(over), F.lit(0)).alias("start"),
+    )
+    here = Window.partitionBy("file", "span").orderBy("block")
+    first = F.coalesce(F.sum(size).over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return (
+        ids.withColumn("first", first)
+        .join(starts, F.col("file").eqNullSafe(F.col("_file")) & (F.col("span") == F.col("_span")))
+        .select("file", (F.col("start") + F.col("first")).alias("first"), F.posexplode("ids").alias("nth", "doc_id"))
+        .select("file", (F.col("first") + F.col("nth")).alias("place"), "doc_id")
+    )

@@ -29,7 +29,7 @@ def _expected(docs):
 def _found(docs, block, span):
     blocks = _flat(docs, block)
     counts = token_counts.count_tokens(blocks, EOT, span=span)
-    joined = counts.join(token_counts.named(blocks), ["file", "place"])
+    joined = counts.join(token_counts.named(blocks, span), ["file", "place"])
     assert joined.filter("not closed").count() == 0
     return Counter(map(tuple, joined.select("doc_id", "n_tokens").collect()))
 
