@@ -126,3 +126,11 @@ def test_a_full_range_stops_before_any_line_is_written(spark, tmp_path):
     with pytest.raises(ValueError, match="do not fit"):
         keys.keyed_lines(lines, t20, keys.TREATMENT, keys.SerialRanges(1), str(path))
     assert not path.exists()
+
+
+def test_claims_are_not_gathered_on_the_driver(spark):
+    claims = spark.createDataFrame([(1,), (2,)], "key_seq bigint")
+    lines = spark.createDataFrame([(1, 1), (1, 2), (3, 1)], "key_seq bigint, seq_no int")
+    counted = keys.counted_claims(lines, claims)
+    assert rows(counted) == [(1, 2)]
+    assert "Broadcast" not in counted._jdf.queryExecution().executedPlan().toString()

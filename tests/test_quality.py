@@ -36,6 +36,15 @@ def test_keys_and_nulls(spark):
     assert nulls["death", "death_date", "null"] == 0
 
 
+def test_parent_keys_are_not_gathered_on_the_driver(spark):
+    person = spark.createDataFrame([(1,), (2,)], "person_id bigint")
+    death = spark.createDataFrame([(1,), (3,), (3,)], "person_id bigint")
+    found = quality.check_foreign_keys({"person": person, "death": death})
+    assert rows(found) == [("death", "person_id", "person", 1, 2)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Broadcast" in line and "LeftAnti" in line]
+
+
 def test_text_foreign_keys(spark):
     concept = spark.createDataFrame(
         [(1, "drug"), (2, "nothing")], "concept_id int, domain_id string"
