@@ -1,4 +1,5 @@
 import os
+import threading
 
 import pytest
 from base_helpers import rows
@@ -166,3 +167,24 @@ def test_ledger_runs_out(spark, tmp_path):
         keys.keyed_lines(lines, headers, keys.TREATMENT, small, str(tmp_path / "k"), issued=5)
     keyed = keys.keyed_lines(lines, headers, keys.TREATMENT, small, str(tmp_path / "k"), issued=4)
     assert sorted(r.master_seq for r in keyed.collect()) == [35, 36, 37, 38, 39]
+
+
+def test_first_load_needs_no_persons_and_writes_at_once(spark, parts, tmp_path):
+    """All rows belong to touched persons; two tables are replaced at the same time."""
+    together = threading.Barrier(2, timeout=120)
+    replace, met = increment.Store._replace, []
+
+    def meet(*args):
+        if args[1] in ("person", "death"):
+            met.append(together.wait())
+        return replace(*args)
+
+    def never(*args):
+        raise Cut
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(increment, "_only", never)
+        patch.setattr(increment.Store, "_replace", meet)
+        store = increment.Store(spark, str(tmp_path), BUCKETS)
+        store.add(1, parts[1], parts[0])
+    assert sorted(met) == [0, 1] and store.table("person").count() == PERSONS
