@@ -134,3 +134,14 @@ def test_claims_are_not_gathered_on_the_driver(spark):
     counted = keys.counted_claims(lines, claims)
     assert rows(counted) == [(1, 2)]
     assert "Broadcast" not in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_large_orders_are_numbered_alike(spark, stages):
+    from claimloom.binding import raw
+
+    lines, lineitem = stages.line_rows, stages.lineitem
+    window = raw.numbered_lines(lines, lineitem)
+    # For the join with the header and for the place in the order, lines are shuffled once.
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert rows(raw.numbered_lines(lines, lineitem, large=5), *window.columns) == rows(window)
