@@ -2,6 +2,7 @@ import datetime as dt
 import random
 from collections import defaultdict
 
+import pytest
 from base_helpers import rows
 
 from claimloom.operators import eras, vocab
@@ -180,3 +181,27 @@ def test_a_group_of_a_million_rows_is_spread_over_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+@pytest.mark.parametrize("name", ["drug_era_spans", "dose_era_spans", "condition_era_spans"])
+def test_eras_move_twice(spark, stages, name):
+    """Exposures to their day, days to their range; islands and the order of ids need no more."""
+    from claimloom.operators import keys
+
+    inputs = (stages.condition,) if name == "condition_era_spans" else (stages.drug, stages.ingredient_map)
+    spans = getattr(eras, name)(*inputs)
+    group, order = {
+        "drug_era_spans": (eras.DRUG_GROUP, eras.DRUG_ERA_ORDER),
+        "dose_era_spans": (eras.DRUG_GROUP, eras.DOSE_ERA_ORDER),
+        "condition_era_spans": (eras.CONDITION_GROUP, eras.CONDITION_ERA_ORDER),
+    }[name]
+    plan = spans.sortWithinPartitions(*order)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange rangepartitioning") == 1
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = keys.with_identity(spans, order, "n", ranged=group)
+        assert rows(found) == rows(keys.with_identity(spans, order, "n"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")

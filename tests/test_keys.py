@@ -2,6 +2,7 @@ import random
 
 import pytest
 from base_helpers import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from claimloom.operators import keys, vocab
@@ -145,3 +146,83 @@ def test_large_orders_are_numbered_alike(spark, stages):
     plan = window._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert rows(raw.numbered_lines(lines, lineitem, large=5), *window.columns) == rows(window)
+
+
+def _claims(spark):
+    """Claims with and without header; lines of two of three sources, NULL keys among them."""
+    header = (
+        "key_seq bigint, person_id bigint, recu_fr_dt string, form_cd string, in_pat_cors_type string, "
+        "vscn int, sub_sick string"
+    )
+    t20 = [(k, k % 7, f"2008010{k % 9}", "02", "" if k % 2 else None, k, "K1") for k in range(1, 400) if k % 5]
+    t20 = spark.createDataFrame([*t20, (400, 99, None, "03", "11", None, ""), (None, 1, "", "", "", 1, "")], header)
+    lines = spark.range(1, 2001).selectExpr(
+        "if(id % 50 = 0, null, (id * 37) % 400) as key_seq", "cast(id as int) as seq_no",
+        "if(id % 3 = 0, '', 'P' || id) as div_cd", "id / 8 as amt",
+    )
+    sick = lines.selectExpr("key_seq", "seq_no", "if(seq_no % 4 = 0, null, 'K') as sick_sym").where("seq_no < 90")
+    return {keys.TREATMENT: lines, keys.DIAGNOSIS: sick, keys.PRESCRIPTION: lines.where("false")}, t20
+
+
+def test_sources_in_one_pass_are_keyed_alike(spark, tmp_path):
+    """Same lines, headers and serials as source by source, over many ranges."""
+    sources, t20 = _claims(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        keys.write_keyed_sources(sources, t20, str(tmp_path / "all"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+    for source, lines in sources.items():
+        once = keys.read_keyed_source(spark, str(tmp_path / "all"), source)
+        alone = keys.keyed_lines(lines, t20, source)
+        assert set(once.columns) == set(alone.columns)
+        assert {f.name: f.dataType for f in once.schema} == {f.name: f.dataType for f in alone.schema}
+        assert rows(once, *alone.columns) == rows(alone)
+
+
+def test_a_line_meets_each_header_of_its_claim(spark, tmp_path):
+    sources, t20 = _claims(spark)
+    t20 = t20.unionByName(t20.where("key_seq % 10 = 3").withColumn("person_id", F.lit(77).cast("bigint")))
+    keys.write_keyed_sources(sources, t20, str(tmp_path / "all"))
+    for source, lines in sources.items():
+        once = keys.read_keyed_source(spark, str(tmp_path / "all"), source)
+        columns = [c for c in once.columns if c != "master_seq"]
+        joined = lines.join(keys._header(t20), "key_seq")
+        assert rows(once, *columns) == rows(joined, *columns)
+        first = keys.RANGES.base(source) + 1
+        ordered = once.orderBy("master_seq").collect()
+        assert [r.master_seq for r in ordered] == list(range(first, first + len(ordered)))
+        assert [(r.key_seq, r.seq_no) for r in ordered] == sorted((r.key_seq, r.seq_no) for r in ordered)
+
+
+def test_a_full_range_leaves_no_lines_to_read(spark, tmp_path):
+    sources, t20 = _claims(spark)
+    with pytest.raises(ValueError, match="do not fit"):
+        keys.write_keyed_sources(sources, t20, str(tmp_path / "all"), keys.SerialRanges(1))
+    with pytest.raises(AnalysisException):
+        keys.read_keyed_source(spark, str(tmp_path / "all"), keys.TREATMENT)
+
+
+def test_lines_of_all_sources_move_once(spark):
+    """One exchange of headers and lines, by range; none for each source and none for the serials."""
+    plan = keys.sources_by_claim(*_claims(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
+
+
+def test_rows_in_ranges_are_numbered_where_they_lie(spark, tmp_path):
+    """Ids follow the order, whether rows lie in ranges as said or not."""
+    df = spark.range(3000).selectExpr("id % 41 as g", "(id * 7919) % 3000 as v")
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        expected = sorted((r.g, r.v) for r in df.collect())
+        ranged = df.repartitionByRange("g")
+        for lie in (ranged, df.repartition("g"), df.repartition("v")):
+            found = keys.with_identity(lie, ["g", "v"], "n", ranged=("g",))
+            assert [(r.g, r.v) for r in found.orderBy("n").collect()] == expected
+            assert found.agg(F.min("n"), F.max("n")).first()[:] == (1, 3000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
