@@ -11,6 +11,9 @@ equi-join on a hash of both and are verified by their edit distance.
 Cutting once only would leave groups as large as all words with a common beginning; after the further
 cuts a group holds words that differ within a few code points.
 
+The joins never gather a side on the driver: the planner sees the compressed words, of which each emits up
+to sixteen chunks.
+
 Words are counted with one partial count a task, so the shuffle holds distinct words only. Each word
 points to its most frequent near word; pointers are followed by doubling, as a stored table a round.
 
@@ -31,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import unsent
 from . import common
 
 #: Code points that may be damaged in the end, cuts of a word at most.
@@ -166,7 +170,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
     grams = same.unionAll(_emitted(words, True).withColumn("longer", F.lit(True))).select(
         "key", F.col("word").alias("b"), F.col("n").alias("bn"), "longer"
     )
-    met = chunks.join(grams, "key").filter(
+    met = chunks.join(unsent(grams), "key").filter(
         (F.col("longer") | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1)
     )
     return met.groupBy("a", "b").agg(F.first("an").alias("an"), F.first("bn").alias("bn"))
@@ -181,7 +185,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     while True:
         links = common.stored(links, "spelling-roots")
         further = links.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        stepped = links.join(further, "root", "left")
+        stepped = links.join(unsent(further), "root", "left")
         if stepped.filter(F.col("next").isNotNull()).isEmpty():
             return links
         links = stepped.select("word", F.coalesce("next", "root").alias("root"))
@@ -211,7 +215,7 @@ def variants(docs: DataFrame, every: int = 97, least: int = 5, often: int = 3, f
         "spelling-forms",
     )
     roots = _roots(formed.filter(F.col("form").isNotNull()))
-    return words.join(formed, "word", "left").join(roots, "word", "left").select(
+    return words.join(unsent(formed), "word", "left").join(unsent(roots), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n",
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), "form_n",
     )

@@ -107,3 +107,18 @@ def test_one_part_holds_any_edit():
         assert len(parts) <= 16 and max(b - a for a, b in parts) <= max(2, length // 16 + 2)
         assert all(any(a <= k < b for a, b in parts) for k in range(length))
         assert all(any(a <= k <= b for a, b in parts) for k in range(length + 1))
+
+
+def test_joins_gather_no_side_on_the_driver(spark, small, monkeypatch):
+    """A word emits many chunks: its file is far smaller than what a broadcast would hold."""
+    plans, stored = [], spelling.common.stored
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(spelling.common, "stored", seen)
+    found = spelling.variants(small)
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum(plan.count("SortMergeJoin") for plan in plans) >= 4
+    assert not [plan for plan in plans if "Broadcast" in plan]
