@@ -51,7 +51,10 @@ def written(monkeypatch):
 @pytest.mark.parametrize(
     "name",
     (
-        "visit_occurrence", "observation", "measurement",
+        "person", "observation_period", "condition_occurrence", "visit_occurrence", "observation",
+        "measurement", "drug_exposure", "procedure_occurrence", "payer_plan_period", "cost",
+        "cleanse_visit", "cleanse_payer_plan", "patch_person", "dq_outside_period",
+        "dq_measurement_numeric", "check_not_null", "check_primary_keys", "check_foreign_keys", "conform_tables",
     ),
 )
 def test_queries_send_no_growing_table(stages, name):
