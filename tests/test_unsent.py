@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.binding import increments
 from claimloom.binding.queries import QUERIES
 from claimloom.operators import keys
+from claimloom.plans import increment
 
 GROWING = ("person_id#", "key_seq#", "master_seq#", "_occurrence_id#", "_exposure_id#")
 
@@ -73,3 +75,20 @@ def test_ranks_within_groups_send_no_groups(spark):
     ranked = keys.ranked_within(rows, "person_id", ["n"], "place")
     assert not sent(ranked)
     assert ranked.where("place != floor(n / 7) + 1").isEmpty()
+
+
+def test_loads_send_no_growing_table(spark, stages, written, tmp_path):
+    """Both loads, of which the second meets what the first left."""
+    store = increment.Store(spark, str(tmp_path / "store"), buckets=2)
+    vocabulary = {
+        "concept": stages.concept, "concept_relationship": stages.relationship, "concept_ancestor": stages.ancestor
+    }
+    for number, raw in enumerate(increments.loads(stages), 1):
+        # The query's own way to the lines of a load.
+        assert not [plan for name in increment.LINES for plan in sent(raw[name])]
+        store.add(number, raw, vocabulary if number == 1 else None)
+    assert len(written) > 30 and not [plan for df in written for plan in sent(df)]
+
+
+def test_late_rows_send_no_eras(spark, stages):
+    assert not sent(QUERIES["era_stream_late"].plan(stages))
