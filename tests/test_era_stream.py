@@ -134,6 +134,24 @@ def test_drug_types_share_an_era_and_are_told_apart(spark, stages, tmp_path):
     assert {r.late for r in stream.late_rows().collect()} == {0}
 
 
+def test_state_lies_on_disk(spark, tmp_path):
+    """The store of the state and what the session says of it afterwards."""
+    _frame(spark, ORDERED[0]).write.parquet(f"{tmp_path}/in")
+    stream = eras.EraStream(spark, f"{tmp_path}/in", _frame(spark, []).schema, f"{tmp_path}/out", eras.CONDITIONS)
+    stream.run()
+    with open(f"{tmp_path}/out.checkpoint/offsets/0") as log:
+        assert "RocksDBStateStoreProvider" in log.read()
+    assert all(spark.conf.get(key, None) is None for key in eras.STATE_STORE)
+    # One that the session names is kept.
+    given = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(eras.PROVIDER, given)
+    try:
+        with eras._state_store(spark):
+            assert spark.conf.get(eras.PROVIDER) == given
+    finally:
+        spark.conf.unset(eras.PROVIDER)
+
+
 def test_state_is_one_window_aggregate_in_the_engine(spark, stream):
     """No Python in the plan; one shuffle to the state."""
     import contextlib
